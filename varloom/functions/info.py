@@ -2,13 +2,14 @@
 
 Two ways to read fields, chosen by how many are wanted:
 
-* *by position* - one array of keys, one of ``KEY=VALUE`` items, and a position lookup
-  per field. Fields that a query does not use cost nothing, since Catalyst drops them.
+* *by search* - each field is searched for in the text on its own. Fields that a query
+  does not use cost nothing, since Catalyst drops them.
 * *in one pass* - the text is re-spelled as a JSON object and parsed once by
-  ``from_json``; the cost does not grow with (fields wanted) x (fields present), which
-  is what hurts on sources declaring hundreds of fields.
+  ``from_json``; the cost does not grow with (fields wanted) x (length of the text),
+  which is what hurts on sources declaring hundreds of fields.
 
-Both take the first of duplicate keys and null for an absent one.
+Both take the first ``KEY=VALUE`` item of a repeated key and null for an absent one. A
+flag is set by the bare key, with or without a value.
 """
 
 from __future__ import annotations
@@ -29,46 +30,48 @@ INFO_TYPES = {
 }
 
 
-def info_items(info: Column) -> Column:
-    return F.split(info, ";")
+def fenced(info: Column) -> Column:
+    """INFO with a separator at both ends, so that every item looks like ``;item;``."""
+    return F.concat(F.lit(";"), info, F.lit(";"))
 
 
-def info_keys(info: Column) -> Column:
-    """Key of every item, in order (no lambda, so it stays in generated code)."""
-    return F.split(F.regexp_replace(info, "=[^;]*", ""), ";")
+def value_text(fenced_info: Column, key: str) -> Column:
+    """Value of the first ``KEY=VALUE`` item."""
+    opening = f";{key}="
+    at = F.locate(opening, fenced_info)
+    rest = F.substring(fenced_info, at + F.lit(len(opening)), F.length(fenced_info))
+    return F.when(at > 0, F.substring_index(rest, ";", 1))
 
 
-def item_text(items: Column, keys: Column, key: str) -> Column:
-    """Text of the first item with this key: null if absent, empty without ``=``."""
-    item = F.get(items, (F.array_position(keys, key) - 1).cast("int"))
-    return F.substring(item, len(key) + 2, 2**31 - 1)
+def flag_set(fenced_info: Column, key: str) -> Column:
+    """Whether the key occurs, bare or with a value."""
+    bare, valued = F.lit(f";{key};"), F.lit(f";{key}=")
+    return F.contains(fenced_info, bare) | F.contains(fenced_info, valued)
+
+
+# Marks a bare key in the JSON spelling: a character no VCF text holds.
+BARE = "\x01"
 
 
 def info_json(info: Column) -> Column:
-    """INFO as a JSON object of strings; items reversed so that the first key wins.
-
-    Control characters cannot occur inside a tab-separated line except as damage, and
-    ``allowUnquotedControlChars`` reads them as they are.
-    """
-    safe = F.replace(
-        F.replace(info, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')
-    )
+    """INFO as a JSON object of texts; items reversed so that the first of a key wins."""
+    safe = F.replace(F.replace(info, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     turned = F.array_join(F.reverse(F.split(safe, ";")), ";")
-    pairs = F.regexp_replace(turned, "([^;=]*)=?([^;]*)(;|$)", '"$1":"$2",')
+    marked = F.regexp_replace(turned, "(^|;)([^;=]++)(?=;|$)", f"$1{BARE}$2")
+    pairs = F.regexp_replace(marked, "([^;=]*+)=?([^;]*+)(;|$)", '"$1":"$2",')
     return F.concat(F.lit("{"), pairs, F.lit('"":""}'))
 
 
-def info_struct(info: Column, keys: Sequence[str]) -> Column:
+def info_struct(info: Column, values: Sequence[str], flags: Sequence[str]) -> Column:
     """All wanted fields as one struct of texts, parsed in a single pass."""
-    schema = T.StructType([T.StructField(k, T.StringType()) for k in keys])
+    keys = [*values, *flags, *[BARE + f for f in flags]]
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in dict.fromkeys(keys)])
     return F.from_json(info_json(info), schema, {"allowUnquotedControlChars": "true"})
 
 
 def typed_value(text: Column, type_name: str, number: str) -> Column:
-    """Give a field its declared type; ``.`` and unreadable values become null."""
+    """Give a value its declared type; ``.`` and unreadable values become null."""
     target = INFO_TYPES.get(type_name, T.StringType())
-    if isinstance(target, T.BooleanType):
-        return text.isNotNull()
     if number not in ("0", "1"):
         parts = F.split(F.nullif(text, F.lit(".")), ",")
         if isinstance(target, T.StringType):

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varloom.functions.paths import plain_path, variant_stem_of
 from varloom.schema import SOURCE_COL
@@ -107,11 +108,12 @@ def convert_vcf(
     Unreadable lines are counted during that pass; only if there are any are they
     written apart, to ``rejects_out`` or ``<out>_rejects``, by a second pass.
     """
-    read_back = (
-        (lambda: scan_split(spark, out, [SOURCE_COL]))
-        if partition_by_source
-        else (lambda: scan(spark, out))
-    )
+
+    def read_back(written: T.StructType | None = None) -> DataFrame:
+        if partition_by_source:
+            return scan_split(spark, out, [SOURCE_COL], written=written)
+        return scan(spark, out)
+
     if mode == "reuse" and is_reusable(spark, out, newer_than):
         return Converted(read_back(), out, False, 0, None)
     files = vcf.listed(spark, paths)
@@ -133,7 +135,7 @@ def convert_vcf(
     if rejected:
         rejects_path = rejects_out or f"{out}_rejects"
         save(spark, vcf.rejected_lines(lines), rejects_path, mode="overwrite")
-    return Converted(read_back(), out, True, rejected, rejects_path)
+    return Converted(read_back(table.schema), out, True, rejected, rejects_path)
 
 
 def read_vcf(

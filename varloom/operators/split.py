@@ -120,7 +120,7 @@ def split_by_type(
     if source_col not in variants.columns:
         variants = variants.withColumn(source_col, F.lit("all"))
     rows = explode_alleles(variants, explode_types, list_col, type_col, sep)
-    save(
+    is_new = save(
         spark,
         laid_out(rows, layout, columns),
         out,
@@ -128,7 +128,7 @@ def split_by_type(
         partition_by=columns,
         profile=profile,
     )
-    table = scan_split(spark, out, columns)
+    table = scan_split(spark, out, columns, written=rows.schema if is_new else None)
     return table, split_manifest(table, type_col, source_col)
 
 

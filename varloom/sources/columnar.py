@@ -42,15 +42,18 @@ def scan_split(
     root: str,
     partition_columns: Sequence[str] = (TYPE_COL, SOURCE_COL),
     file_format: str = "parquet",
+    written: T.StructType | None = None,
 ) -> DataFrame:
     """Scan a split layout with its directory columns read back as text.
 
-    Left to inference a source named ``02`` would come back as the number 2.
+    Left to inference a source named ``02`` would come back as the number 2. A caller
+    that has just written the table passes its schema as ``written``: this saves a
+    listing, and an empty table has no file to learn it from.
     """
     if not exists(spark, root):
         raise FileNotFoundError(f"no table at {root}")
     reader = spark.read.format(file_format)
-    stored = reader.option("recursiveFileLookup", "true").load(root).schema
+    stored = written or reader.option("recursiveFileLookup", "true").load(root).schema
     named = [T.StructField(c, T.StringType()) for c in partition_columns]
     body = [f for f in stored.fields if f.name not in partition_columns]
     return spark.read.format(file_format).schema(T.StructType(body + named)).load(root)

@@ -21,9 +21,10 @@ from varloom.sources import blocks
 from varloom.sources.listing import list_files
 
 # A body line: eight columns at least, the second a number; comments never match.
-BODY_LINE = r"^[^#\t][^\t]*\t[0-9]{1,18}\t[^\t]*\t[^\t]*\t[^\t]*\t[^\t]*\t[^\t]*\t[^\t]"
+# Quantifiers are possessive: a line that fails does so without going back.
+BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]{1,18}+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]"
 # Above this many fields the one-pass reading of INFO is cheaper (see functions.info).
-POSITION_LIMIT = 12
+SEARCH_LIMIT = 16
 RANGE_BYTES = 64 << 20
 
 Paths = DataFrame | str | Sequence[str]
@@ -251,17 +252,22 @@ def parse_lines(
         *keep,
     )
     if one_pass is None:
-        one_pass = len(wanted) > POSITION_LIMIT
-    keys = list(dict.fromkeys(["END", *[f.field for f in wanted]]))
+        one_pass = len(wanted) > SEARCH_LIMIT
+    flags = [f.field for f in wanted if f.type == "Flag"]
+    values = list(dict.fromkeys(["END", *[f.field for f in wanted if f.type != "Flag"]]))
     if one_pass:
-        staged = flat.withColumn("i", I.info_struct(F.col("info"), keys))
-        text = {k: F.col("i").getField(k) for k in keys}
+        staged = flat.withColumn("i", I.info_struct(F.col("info"), values, flags))
+        part = lambda k: F.col("i").getField(k)
+        text = {k: part(k) for k in values}
+        is_set = {k: part(k).isNotNull() | part(I.BARE + k).isNotNull() for k in flags}
     else:
-        staged = flat.withColumn("items", I.info_items(F.col("info"))).withColumn(
-            "keys", I.info_keys(F.col("info"))
-        )
-        text = {k: I.item_text(F.col("items"), F.col("keys"), k) for k in keys}
+        staged = flat.withColumn("i", I.fenced(F.col("info")))
+        text = {k: I.value_text(F.col("i"), k) for k in values}
+        is_set = {k: I.flag_set(F.col("i"), k) for k in flags}
     last = F.coalesce(text["END"].try_cast("bigint"), F.col("start") + F.length("ref") - 1)
+    typed = lambda f: (
+        is_set[f.field] if f.type == "Flag" else I.typed_value(text[f.field], f.type, f.number)
+    )
     names = info_column_names(wanted)
     return staged.select(
         "chrom",
@@ -272,7 +278,7 @@ def parse_lines(
         "alt",
         "qual",
         "filter",
-        *[I.typed_value(text[f.field], f.type, f.number).alias(names[f.field]) for f in wanted],
+        *[typed(f).alias(names[f.field]) for f in wanted],
         *keep,
     )
 
