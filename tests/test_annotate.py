@@ -9,6 +9,7 @@ from conftest import plan_of, rows
 from varloom.operators import annotate as AN
 from varloom.operators import lookup as LK
 
+MADE = ("concat('chr', id % 5) chrom", "id start", "'A' ref", "'C' alt")
 KEYS = "chrom string, start bigint, ref string, alt string"
 
 
@@ -53,7 +54,7 @@ def joined_by_hand(left, right, dedupe=False):
 
 
 @pytest.mark.parametrize("dedupe", [False, True])
-@pytest.mark.parametrize("options", [{}, {"max_bytes": 0}, {"reduce": False}])
+@pytest.mark.parametrize("options", [{"reduction": r} for r in AN.REDUCTIONS])
 def test_every_way_agrees_with_brute_force(sides, options, dedupe):
     left, right, sample, table = sides
     got = AN.annotate(sample, table, ["ann"], dedupe_keys=dedupe, **options)
@@ -67,7 +68,7 @@ def test_agreement_without_broadcast_at_all(spark, sides):
     before = spark.conf.get(key)
     spark.conf.set(key, "-1")
     try:
-        got = AN.annotate(sample, table, ["ann"], max_bytes=0)
+        got = AN.annotate(sample, table, ["ann"], reduction="none")
         assert "SortMergeJoin" in plan_of(got) and "BroadcastHashJoin" not in plan_of(got)
         assert rows(got, "sid", "ann") == joined_by_hand(left, right)
     finally:
@@ -78,10 +79,36 @@ def test_annotation_is_cut_where_it_is_scanned(spark, sides, tmp_path):
     _, _, sample, table = sides
     table.write.parquet(str(tmp_path / "a.parquet"))
     stored = spark.read.parquet(str(tmp_path / "a.parquet"))
-    plan = plan_of(AN.annotate(sample, stored, ["ann"]))
+    plan = plan_of(AN.annotate(sample, stored, ["ann"], reduction="keys"))
     assert "GreaterThanOrEqual(start" in plan and "LeftSemi" in plan
-    cut = AN.reduce_annotation(stored, sample)
-    assert cut.filter("chrom = 'chr9'").count() == 0
+    for reduction in ("keys", "bitmap"):
+        cut = AN.reduce_annotation(stored, sample, reduction=reduction)
+        assert cut.filter("chrom = 'chr9'").count() == 0
+
+
+def test_reduction_is_chosen_by_size(spark, tmp_path):
+    spark.range(200_000).selectExpr(*MADE, "uuid() ann").write.parquet(str(tmp_path / "big"))
+    spark.range(50).selectExpr(*MADE, "uuid() sid").write.parquet(str(tmp_path / "small"))
+    big, small = (spark.read.parquet(str(tmp_path / n)) for n in ("big", "small"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    assert "LeftSemi" not in plan_of(AN.annotate(small, big, ["ann"]))  # Spark broadcasts it
+    spark.conf.set(key, "10k")
+    try:
+        assert "LeftSemi" in plan_of(AN.annotate(small, big, ["ann"]))
+        assert "_bits" in plan_of(AN.annotate(small, big, ["ann"], max_bytes=10))
+        plain = plan_of(AN.annotate(big.drop("ann"), big, ["ann"]))
+        assert "LeftSemi" not in plain and "_bits" not in plain
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_bitmap_keeps_little_else(spark):
+    table = spark.range(100_000).selectExpr(*MADE)
+    sample = table.filter("start % 1000 = 0")
+    cut = AN.with_sample_bits(table, sample, AN.KEY_COLUMNS, bits=1 << 20)
+    kept = {r.start for r in cut.select("start").collect()}
+    assert kept >= {r.start for r in sample.collect()} and len(kept) < 250
 
 
 def test_many_contigs_are_not_listed(spark):

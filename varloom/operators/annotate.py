@@ -2,11 +2,18 @@
 
 The sample is the preserved, usually small, side of a left join, and Spark cannot
 broadcast a preserved side. Joining directly would therefore shuffle the whole
-annotation table. Instead the annotation table is first cut down where it is scanned,
-by the positions and then by the exact keys of the sample; only what is left takes part
-in the join. Both cuts are taken only after the sample has been measured; a sample too
-large for them is joined by shuffling both sides, where adaptive execution splits hot
-keys.
+annotation table. Instead the annotation table is cut down where it is scanned, and only
+what is left takes part in the join. How is chosen by size:
+
+* an annotation table that Spark itself would broadcast is simply joined;
+* a sample much smaller than the annotation table cuts it by position ranges and then by
+  its exact keys, broadcast while their measured bytes stay under a bound;
+* beyond that bound the keys are hashed into a bitmap, whose size is fixed whatever the
+  sample; some rows that match nothing get past it and are dropped by the join;
+* a sample as large as the annotation table is joined by shuffling both sides, where
+  adaptive execution splits hot keys.
+
+None of the cuts can drop a row that matches.
 """
 
 from __future__ import annotations
@@ -20,9 +27,14 @@ from pyspark.sql import functions as F
 from varloom.operators.lookup import annotated_only
 from varloom.schema import KEY_COLUMNS
 
+REDUCTIONS = ("auto", "keys", "bitmap", "none")
 # Most bytes of sample keys that may be broadcast; measured, since alleles can be long.
-MAX_BROADCAST_BYTES = 256 << 20
+MAX_BROADCAST_BYTES = 128 << 20
 ROW_OVERHEAD = 64
+# The bitmap covers this many hash values: 2^30 bits are 128 MB when every bit is set.
+BITMAP_BITS = 1 << 30
+# A cut pays off only if the annotation table is this many times the sample.
+WORTHWHILE_RATIO = 4
 MAX_LISTED_CHROMS = 200
 
 # Columns of the clinical source and the prefix of its frequency columns.
@@ -53,24 +65,83 @@ def sample_extent(
     return total.bytes, [(r[chrom], r.low, r.high) for r in per_chrom.collect()]
 
 
+def near_sample(annotation: DataFrame, ranges: list[tuple] | None, keys: Sequence[str]) -> DataFrame:
+    """Rows within the sample's position range of their chromosome (a pushed filter)."""
+    if ranges is None:
+        return annotation
+    near = F.lit(False)
+    for chrom, low, high in ranges:
+        near = near | ((F.col(keys[0]) == chrom) & F.col(keys[1]).between(low, high))
+    return annotation.filter(near)
+
+
+def with_sample_keys(annotation: DataFrame, sample: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs in the sample; the distinct keys are broadcast."""
+    wanted = sample.select(*keys).na.drop().distinct()
+    return annotation.join(F.broadcast(wanted), list(keys), "left_semi")
+
+
+def with_sample_bits(
+    annotation: DataFrame, sample: DataFrame, keys: Sequence[str], bits: int = BITMAP_BITS
+) -> DataFrame:
+    """Rows whose hashed key is set in a bitmap of the sample's hashed keys.
+
+    The bitmap is aggregated in pieces of 4 KB, at most ``bits / 8`` bytes in all.
+    """
+    spot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(bits))
+    pieces = (
+        sample.select(*keys)
+        .na.drop()
+        .select(spot.alias("_spot"))
+        .groupBy(F.bitmap_bucket_number("_spot").alias("_piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_spot")).alias("_bits"))
+    )
+    marked = annotation.withColumn("_spot", spot).withColumn(
+        "_piece", F.bitmap_bucket_number("_spot")
+    )
+    at = F.bitmap_bit_position(F.col("_spot"))
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = F.getbit(byte.cast("bigint"), (at % 8).cast("int")) == 1
+    joined = marked.join(F.broadcast(pieces), "_piece").filter(is_set)
+    return joined.select(*annotation.columns)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The size Spark's own planner assumes for a table, from file sizes; runs no job."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))
+
+
+def broadcast_threshold(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    digits = text.removesuffix("b")
+    unit = units.get(digits[-1:], 1)
+    return int(digits.rstrip("kmg")) * unit
+
+
 def reduce_annotation(
     annotation: DataFrame,
     sample: DataFrame,
     keys: Sequence[str] = KEY_COLUMNS,
+    reduction: str = "auto",
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Annotation rows that can match the sample; never drops one that does match."""
+    if reduction not in REDUCTIONS:
+        raise ValueError(f"reduction must be one of {REDUCTIONS}, not {reduction!r}")
+    if reduction == "none":
+        return annotation
+    if reduction == "auto":
+        size = estimated_bytes(annotation)
+        small = size <= broadcast_threshold(annotation)
+        if small or estimated_bytes(sample.select(*keys)) * WORTHWHILE_RATIO > size:
+            return annotation
     weight, ranges = sample_extent(sample, keys)
-    if ranges is not None:
-        # One bounded interval per chromosome: reaches the reader as a pushed filter.
-        near = F.lit(False)
-        for chrom, low, high in ranges:
-            near = near | ((F.col(keys[0]) == chrom) & F.col(keys[1]).between(low, high))
-        annotation = annotation.filter(near)
-    if weight <= max_bytes:
-        wanted = sample.select(*keys).na.drop().distinct()
-        annotation = annotation.join(F.broadcast(wanted), list(keys), "left_semi")
-    return annotation
+    near = near_sample(annotation, ranges, keys)
+    if reduction == "keys" or (reduction == "auto" and weight <= max_bytes):
+        return with_sample_keys(near, sample, keys)
+    return with_sample_bits(near, sample, keys)
 
 
 def one_per_key(annotation: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -84,7 +155,7 @@ def annotate(
     annotation: DataFrame,
     columns: Sequence[str],
     keys: Sequence[str] = KEY_COLUMNS,
-    reduce: bool = True,
+    reduction: str = "auto",
     dedupe_keys: bool = False,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
@@ -94,8 +165,7 @@ def annotate(
     key matches nothing.
     """
     right = annotation.select(*keys, *columns)
-    if reduce:
-        right = reduce_annotation(right, sample, keys, max_bytes)
+    right = reduce_annotation(right, sample, keys, reduction, max_bytes)
     if dedupe_keys:
         right = one_per_key(right, keys, columns)
     return sample.join(right, list(keys), "left").select(*sample.columns, *columns)

@@ -63,19 +63,19 @@ VARIANT_TEST = (
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return V.vcf_lines(V.variants(spark, sf))
+    return V.vcf_lines(columnar.spread(V.variants(spark, sf)))
 
 
 def _stored(spark: SparkSession, sf: str, label: str) -> str:
     """The variants as a stored table."""
     out = f"{new_folder(spark, label)}/variants.parquet"
-    V.variants(spark, sf).write.parquet(out)
+    columnar.spread(V.variants(spark, sf)).write.parquet(out)
     return out
 
 
 def _split(spark: SparkSession, sf: str, label: str, **options) -> tuple[DataFrame, DataFrame, str]:
     out = f"{new_folder(spark, label)}/split"
-    rows = V.variants(spark, sf).select(*SPLIT_COLUMNS)
+    rows = columnar.spread(V.variants(spark, sf).select(*SPLIT_COLUMNS))
     table, manifest = S.split_by_type(spark, rows, out, **options)
     return table, manifest, out
 
@@ -697,7 +697,27 @@ def q4_annotate(spark, sf):
 )
 def q4_shuffled(spark, sf):
     sample = V.variants(spark, sf).select("chrom", "start", "ref", "alt", "id")
-    joined = AN.annotate(sample, V.clinical(spark, sf), ["clnsig"], reduce=False)
+    joined = AN.annotate(sample, V.clinical(spark, sf), ["clnsig"], reduction="none")
+    return joined.select("id", "start", "alt", "clnsig")
+
+
+@query(
+    "q4_annotate_reduced_by_keys",
+    f"{V.WITH_BOTH} select q.id, q.start, q.alt, r.clnsig from v q left join r on {ON_KEY}",
+)
+def q4_reduced_by_keys(spark, sf):
+    sample = V.variants(spark, sf).select("chrom", "start", "ref", "alt", "id")
+    joined = AN.annotate(sample, V.clinical(spark, sf), ["clnsig"], reduction="keys")
+    return joined.select("id", "start", "alt", "clnsig")
+
+
+@query(
+    "q4_annotate_reduced_by_bitmap",
+    f"{V.WITH_BOTH} select q.id, q.start, q.alt, r.clnsig from v q left join r on {ON_KEY}",
+)
+def q4_reduced_by_bitmap(spark, sf):
+    sample = V.variants(spark, sf).select("chrom", "start", "ref", "alt", "id")
+    joined = AN.annotate(sample, V.clinical(spark, sf), ["clnsig"], reduction="bitmap")
     return joined.select("id", "start", "alt", "clnsig")
 
 

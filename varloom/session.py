@@ -17,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
-    # A task writes a few sources or types at once without sorting its rows first.
-    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.sql.session.timeZone": "UTC",
 }
 

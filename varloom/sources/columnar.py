@@ -59,6 +59,17 @@ def scan_split(
     return spark.read.format(file_format).schema(T.StructType(body + named)).load(root)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores if the scan would leave most of them idle.
+
+    One large gzip file, or one row group, is a single task however heavy the work on
+    its rows. Tables of at least as many partitions as cores are returned untouched, so
+    nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def type_directory(
     spark: SparkSession, root: str, variant_type: str, type_col: str = TYPE_COL
 ) -> str:

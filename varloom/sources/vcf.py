@@ -18,6 +18,7 @@ from varloom.functions import info as I
 from varloom.functions import paths as P
 from varloom.schema import ALLELE_SEP, CORE_COLUMNS, HEADER_SCHEMA, SOURCE_COL
 from varloom.sources import blocks
+from varloom.sources.columnar import spread
 from varloom.sources.listing import list_files
 
 # A body line: eight columns at least, the second a number; comments never match.
@@ -136,11 +137,14 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
     apart = {r[0] for r in ranged}
     text_paths = [p for p in every if p not in apart]
 
+    if not every:
+        return spark.createDataFrame([], blocks.LINES_SCHEMA)
     parts: list[DataFrame] = []
-    if text_paths or not ranged:
-        text = spark.read.text(text_paths) if text_paths else spark.createDataFrame([], "value string")
-        path = P.decoded_path(F.col("_metadata.file_path")) if text_paths else F.lit(None).cast("string")
-        parts.append(text.select("value", path.alias("path")))
+    if text_paths:
+        path = P.decoded_path(F.col("_metadata.file_path")).alias("path")
+        text = spark.read.text(text_paths).select("value", path)
+        # A gzip file is one task; parsing its lines is the heavier part.
+        parts.append(spread(text) if any(p.endswith(".gz") for p in text_paths) else text)
     if ranged:
         parts.append(_range_lines(spark, ranged, range_bytes))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
