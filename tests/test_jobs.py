@@ -35,6 +35,36 @@ def test_prepare_with_splitting(spark, landing, tmp_path):
     assert not again.converted.written and CM.same_rows(again.split_table, done.split_table)
 
 
+def test_prepare_again_takes_new_files_only(spark, landing, tmp_path):
+    def run():
+        return prepare.prepare_source(spark, str(landing), str(tmp_path / "o"), with_splitting=True)
+
+    run()
+    old = {p: os.path.getmtime(p) for p in glob.glob(f"{tmp_path}/o/split/*/*/*.parquet")}
+    wider = HEADER.replace("##INFO=<ID=DB", "##INFO=<ID=XX,Number=1,Type=Integer>\n##INFO=<ID=DB")
+    (landing / "02.vcf").write_text(wider + "chr1\t1\t.\tA\tC,G\t.\t.\tTSA=SNV;XX=4\n")
+    done = run()
+    assert done.converted.written and done.converted.rejected == 0
+    assert rows(done.split_table.groupBy("source").count()) == [("02", 2), ("a", 5), ("b", 5)]
+    assert rows(done.split_table.filter("source = '02'"), "xx") == [(4,), (4,)]
+    assert all(os.path.getmtime(p) == t for p, t in old.items())
+    assert not run().converted.written
+
+
+def test_a_source_not_marked_as_done_is_written_again(spark, landing, tmp_path):
+    out = tmp_path / "o"
+    prepare.prepare_source(spark, str(landing), str(out))
+    done = spark.read.parquet(str(out / "variants" / "_sources"))
+    kept = [r.source for r in done.collect() if r.source != "b"]
+    for name in glob.glob(f"{out}/variants/_sources/*.parquet"):
+        os.remove(name)
+    spark.createDataFrame([(k,) for k in kept], "source string").write.mode("append").parquet(
+        str(out / "variants" / "_sources")
+    )
+    again = prepare.prepare_source(spark, str(landing), str(out))
+    assert rows(again.converted.table.groupBy("source").count()) == [("a", 4), ("b", 4)]
+
+
 def test_prepare_checks_an_expected_listing(spark, landing, tmp_path):
     def run(items):
         expected = spark.createDataFrame(items, "name string, size bigint")

@@ -57,12 +57,10 @@ def sample_extent(
         .groupBy(chrom)
         .agg(F.sum(weight).alias("bytes"), F.min(start).alias("low"), F.max(start).alias("high"))
     )
-    total = per_chrom.agg(
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("n")
-    ).first()
-    if total.n > MAX_LISTED_CHROMS:
-        return total.bytes, None
-    return total.bytes, [(r[chrom], r.low, r.high) for r in per_chrom.collect()]
+    found = per_chrom.limit(MAX_LISTED_CHROMS + 1).collect()
+    if len(found) <= MAX_LISTED_CHROMS:
+        return sum(r.bytes for r in found), [(r[chrom], r.low, r.high) for r in found]
+    return per_chrom.agg(F.sum("bytes")).first()[0], None
 
 
 def near_sample(annotation: DataFrame, ranges: list[tuple] | None, keys: Sequence[str]) -> DataFrame:
@@ -130,14 +128,12 @@ def reduce_annotation(
     """Annotation rows that can match the sample; never drops one that does match."""
     if reduction not in REDUCTIONS:
         raise ValueError(f"reduction must be one of {REDUCTIONS}, not {reduction!r}")
-    if reduction == "none":
+    size = estimated_bytes(annotation)
+    if reduction == "none" or (reduction == "auto" and size <= broadcast_threshold(annotation)):
         return annotation
-    if reduction == "auto":
-        size = estimated_bytes(annotation)
-        small = size <= broadcast_threshold(annotation)
-        if small or estimated_bytes(sample.select(*keys)) * WORTHWHILE_RATIO > size:
-            return annotation
     weight, ranges = sample_extent(sample, keys)
+    if reduction == "auto" and weight * WORTHWHILE_RATIO > size:
+        return near_sample(annotation, ranges, keys)
     near = near_sample(annotation, ranges, keys)
     if reduction == "keys" or (reduction == "auto" and weight <= max_bytes):
         return with_sample_keys(near, sample, keys)

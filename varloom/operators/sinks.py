@@ -17,6 +17,9 @@ from varloom.sources.files import exists, is_complete, modified_ms
 
 # Encoding profiles: the codec, and whether rows are ordered for tighter encoding.
 PROFILES = {"default": "snappy", "compact": "zstd"}
+SAVE_MODES = ("fail", "reuse", "overwrite", "partitions")
+# Hidden folder of a table naming the sources written to it in full.
+DONE_FOLDER = "_sources"
 
 
 def default_output(path: str, suffix: str = ".parquet") -> str:
@@ -57,10 +60,11 @@ def save(
     """Write a table; returns False if a finished one was reused.
 
     ``mode``: ``fail`` if something is there, ``reuse`` a finished output (an unfinished
-    one is rewritten), or ``overwrite``. ``batch_size`` bounds the rows of a row group.
+    one is rewritten), ``overwrite``, or ``partitions`` to replace only the partitions
+    that the rows fall into. ``batch_size`` bounds the rows of a row group.
     """
-    if mode not in ("fail", "reuse", "overwrite"):
-        raise ValueError(f"mode must be fail, reuse or overwrite, not {mode!r}")
+    if mode not in SAVE_MODES:
+        raise ValueError(f"mode must be one of {SAVE_MODES}, not {mode!r}")
     if profile not in PROFILES:
         raise ValueError(f"profile must be one of {sorted(PROFILES)}, not {profile!r}")
     if mode == "reuse" and is_reusable(spark, out, newer_than):
@@ -69,6 +73,7 @@ def save(
         raise FileExistsError(out)
     writer = df.write.format(file_format).mode("overwrite")
     writer = writer.option("compression", PROFILES[profile])
+    writer = writer.option("partitionOverwriteMode", "dynamic" if mode == "partitions" else "static")
     if batch_size is not None and file_format == "parquet":
         writer = writer.option("parquet.block.row.count.limit", str(batch_size))
     if max_file_rows is not None:
@@ -79,6 +84,24 @@ def save(
     return True
 
 
+def finished_sources(spark: SparkSession, out: str) -> list[str]:
+    """Sources that a table partitioned by source holds in full.
+
+    A job that died while writing has not named its sources, so they are written again,
+    each replacing whatever partitions it left.
+    """
+    if not exists(spark, f"{out}/{DONE_FOLDER}"):
+        return []
+    done = spark.read.schema(f"{SOURCE_COL} string").parquet(f"{out}/{DONE_FOLDER}")
+    return [r[0] for r in done.distinct().collect()]
+
+
+def mark_sources(sources: DataFrame, out: str) -> None:
+    """Record sources (one string column) as written in full."""
+    named = sources.toDF(SOURCE_COL).na.drop().distinct().coalesce(1)
+    named.write.mode("append").parquet(f"{out}/{DONE_FOLDER}")
+
+
 @dataclass(frozen=True)
 class Converted:
     """Outcome of a conversion: the stored table and what happened to it."""
@@ -105,37 +128,50 @@ def convert_vcf(
 ) -> Converted:
     """Convert VCF files to one table in one pass over the text, without a shuffle.
 
-    Unreadable lines are counted during that pass; only if there are any are they
-    written apart, to ``rejects_out`` or ``<out>_rejects``, by a second pass.
+    With ``partition_by_source`` a later run converts only the files whose source is not
+    in the table yet. Unreadable lines are counted during the pass; only if there are any
+    are they written apart, to ``rejects_out`` or ``<out>_rejects``, by a second pass.
     """
-
-    def read_back(written: T.StructType | None = None) -> DataFrame:
-        if partition_by_source:
-            return scan_split(spark, out, [SOURCE_COL], written=written)
-        return scan(spark, out)
-
-    if mode == "reuse" and is_reusable(spark, out, newer_than):
-        return Converted(read_back(), out, False, 0, None)
+    if mode not in ("fail", "reuse", "overwrite"):
+        raise ValueError(f"mode must be fail, reuse or overwrite, not {mode!r}")
     files = vcf.listed(spark, paths)
+    write_mode = "overwrite" if mode == "reuse" else mode
+    if mode == "reuse" and partition_by_source:
+        done = finished_sources(spark, out)
+        if done:
+            files = files.filter(~vcf.source_of(F.col("path")).isin(done))
+            write_mode = "partitions"
+            if files.isEmpty():
+                return Converted(scan_split(spark, out, [SOURCE_COL]), out, False, 0, None)
+    elif mode == "reuse" and is_reusable(spark, out, newer_than):
+        return Converted(scan(spark, out), out, False, 0, None)
+
     fields = vcf.wanted_fields(spark, files, info_fields)
     lines = vcf.with_source(vcf.read_lines(spark, files, range_bytes))
-    seen = Observation()
-    bad = F.count_if(vcf.is_rejected_line(F.col("value"))).alias("rejected")
-    table = vcf.parse_lines(lines.observe(seen, bad), fields, [SOURCE_COL], malformed)
+    bodies, parsed = Observation(), Observation()
+    seen = F.count_if(vcf.is_content_line(F.col("value"))).alias("n")
+    table = vcf.parse_lines(lines.observe(bodies, seen), fields, [SOURCE_COL], malformed)
     save(
         spark,
-        table,
+        table.observe(parsed, F.count(F.lit(1)).alias("n")),
         out,
-        mode="overwrite" if mode == "reuse" else mode,
+        mode=write_mode,
         partition_by=[SOURCE_COL] if partition_by_source else [],
         profile=profile,
     )
-    rejected = int(seen.get["rejected"])
+    if partition_by_source:
+        mark_sources(files.select(vcf.source_of(F.col("path"))), out)
+    rejected = int(bodies.get["n"]) - int(parsed.get["n"])
     rejects_path = None
     if rejected:
         rejects_path = rejects_out or f"{out}_rejects"
         save(spark, vcf.rejected_lines(lines), rejects_path, mode="overwrite")
-    return Converted(read_back(table.schema), out, True, rejected, rejects_path)
+    if not partition_by_source:
+        stored = scan(spark, out)
+    else:
+        written = None if write_mode == "partitions" else table.schema
+        stored = scan_split(spark, out, [SOURCE_COL], written=written)
+    return Converted(stored, out, True, rejected, rejects_path)
 
 
 def read_vcf(

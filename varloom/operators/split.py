@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions.alleles import allele_count, allele_rows
 from varloom.functions.paths import decoded_path
-from varloom.operators.sinks import save
+from varloom.operators.sinks import finished_sources, mark_sources, save
 from varloom.schema import (
     ALLELE_SEP,
     EXPLODE_TYPES,
@@ -110,8 +110,8 @@ def split_by_type(
 ) -> tuple[DataFrame, DataFrame]:
     """Write a table split by type and source; returns (table, splits manifest).
 
-    The input is scanned once however many types it holds. A finished output is reused
-    unless ``overwrite``.
+    The input is scanned once however many types it holds. Sources that the output holds
+    already are left as they are, unless ``overwrite``; new ones are added.
     """
     missing = [c for c in (type_col, list_col) if c not in variants.columns]
     if missing:
@@ -119,16 +119,25 @@ def split_by_type(
     columns = (type_col, source_col)
     if source_col not in variants.columns:
         variants = variants.withColumn(source_col, F.lit("all"))
-    rows = explode_alleles(variants, explode_types, list_col, type_col, sep)
-    is_new = save(
-        spark,
-        laid_out(rows, layout, columns),
-        out,
-        mode="overwrite" if overwrite else "reuse",
-        partition_by=columns,
-        profile=profile,
-    )
-    table = scan_split(spark, out, columns, written=rows.schema if is_new else None)
+    source = F.col(source_col)
+    done = [] if overwrite else finished_sources(spark, out)
+    if done:
+        variants = variants.filter(~F.coalesce(source.isin(done), F.lit(False)))
+    named = variants.select(source).distinct()
+    written = None
+    if not done or not named.isEmpty():
+        rows = explode_alleles(variants, explode_types, list_col, type_col, sep)
+        save(
+            spark,
+            laid_out(rows, layout, columns),
+            out,
+            mode="partitions" if done else "overwrite",
+            partition_by=columns,
+            profile=profile,
+        )
+        mark_sources(named, out)
+        written = None if done else rows.schema
+    table = scan_split(spark, out, columns, written=written)
     return table, split_manifest(table, type_col, source_col)
 
 

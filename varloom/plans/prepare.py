@@ -46,7 +46,7 @@ def prepare_source(
     layout: str = "rebalance",
 ) -> Prepared:
     """Convert the variant files of a location to ``<out>/variants``; optionally split
-    them to ``<out>/split``.
+    them to ``<out>/split``. Run again, it takes only the files that are new.
 
     ``expected`` (name, size) is a listing the location must agree with: a missing name
     or a differing known size is an error.
@@ -74,7 +74,7 @@ def prepare_source(
             explode_types,
             type_col=type_col,
             layout=layout,
-            overwrite=overwrite or converted.written,
+            overwrite=overwrite,
         )
         M.fail_on_problems(split_problems(converted.table, splits))
     return Prepared(

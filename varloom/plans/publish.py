@@ -138,12 +138,29 @@ def publish(
     if not dry_run:
         copied = _copy_planned(spark, plan, target, folder)
         if stale == "remove":
-            for row in old.toLocalIterator():
-                delete_tree(spark, f"{target}/{row.path_in_repo}")
+            _remove_stale(old, target, folder)
     stats = M.dataset_stats(chosen, source_dir)
     return Published(plan, M.publish_summary(plan), stats, copied)
 
 
+def remove_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task body: delete ``from_path``; one that is gone already is left alone."""
+    from pyarrow.fs import FileType
+
+    for batch in batches:
+        for path in batch.column("from_path").to_pylist():
+            fs, inner = file_system(path)
+            if fs.get_file_info(inner).type != FileType.NotFound:
+                fs.delete_file(inner)
+        yield _copied(batch, [0] * batch.num_rows)
+
+
+def _remove_stale(old: DataFrame, target: str, folder: str) -> None:
+    place = F.concat(F.lit(P.plain_path(target) + "/"), F.col("path_in_repo"))
+    named = old.select(place.alias("from_path"), place.alias("to_path"))
+    named.mapInArrow(remove_files, COPY_SCHEMA).write.parquet(f"{folder}/removed")
+
+
 def _copy_planned(spark: SparkSession, plan: DataFrame, target: str, folder: str) -> int:
     todo = plan.filter("uploaded")
     count = todo.count()

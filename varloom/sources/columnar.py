@@ -53,7 +53,12 @@ def scan_split(
     if not exists(spark, root):
         raise FileNotFoundError(f"no table at {root}")
     reader = spark.read.format(file_format)
-    stored = written or reader.option("recursiveFileLookup", "true").load(root).schema
+    if written is None:
+        # Sources added later may have brought further columns.
+        reader = reader.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+        stored = reader.load(root).schema
+    else:
+        stored = written
     named = [T.StructField(c, T.StringType()) for c in partition_columns]
     body = [f for f in stored.fields if f.name not in partition_columns]
     return spark.read.format(file_format).schema(T.StructType(body + named)).load(root)

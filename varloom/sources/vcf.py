@@ -128,7 +128,7 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
         blocks.probe_blocks, "path string, size bigint, blocked boolean"
     )
     # A listing of paths is what any multi-file scan keeps on the driver.
-    every = [r.path for r in files.select("path").orderBy("path").collect()]
+    every = sorted(r.path for r in files.select("path").collect())
     ranged = [
         (r.path, r.size, r.blocked)
         for r in probed.collect()
@@ -185,10 +185,15 @@ def is_body_line(value: Column) -> Column:
     return F.regexp_like(value, F.lit(BODY_LINE))
 
 
-def is_rejected_line(value: Column) -> Column:
-    """Neither a comment nor blank, and not a readable body line either."""
+def is_content_line(value: Column) -> Column:
+    """Neither a comment nor blank."""
     text = F.coalesce(value, F.lit(""))
-    return (F.trim(text) != "") & ~F.startswith(text, F.lit("#")) & ~is_body_line(text)
+    return (F.trim(text) != "") & ~F.startswith(text, F.lit("#"))
+
+
+def is_rejected_line(value: Column) -> Column:
+    """A content line that is not a readable body line."""
+    return is_content_line(value) & ~is_body_line(F.coalesce(value, F.lit("")))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
@@ -316,5 +321,9 @@ def scan_vcf(
     return parse_lines(lines, fields, [SOURCE_COL], malformed)
 
 
+def source_of(path: Column) -> Column:
+    return P.variant_stem(P.base_name(path))
+
+
 def with_source(lines: DataFrame) -> DataFrame:
-    return lines.withColumn(SOURCE_COL, P.variant_stem(P.base_name(F.col("path"))))
+    return lines.withColumn(SOURCE_COL, source_of(F.col("path")))
