@@ -27,6 +27,7 @@ BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]{1,18}+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t
 # Above this many fields the one-pass reading of INFO is cheaper (see functions.info).
 SEARCH_LIMIT = 16
 RANGE_BYTES = 64 << 20
+BLOCK_SUFFIXES = (".bgz", ".bgzf")
 
 Paths = DataFrame | str | Sequence[str]
 
@@ -93,13 +94,8 @@ def header_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
 def info_definitions_of(spark: SparkSession, paths: Paths) -> list[InfoField]:
     """INFO fields declared by the files, in header order (a header is small)."""
     files = listed(spark, paths)
-    rows = (
-        merged_definitions(info_definitions(header_lines(spark, files)))
-        .orderBy("place")
-        .select("field", "number", "type")
-        .collect()
-    )
-    return [InfoField(r.field, r.number, r.type) for r in rows]
+    merged = merged_definitions(info_definitions(header_lines(spark, files))).collect()
+    return [InfoField(r.field, r.number, r.type) for r in sorted(merged, key=lambda r: r.place)]
 
 
 def info_fields(spark: SparkSession, paths: Paths) -> list[str]:
@@ -118,20 +114,17 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
     * ``.bgz`` files, and gzip files larger than one range that turn out to be block
       compressed, are cut into ranges that tasks decode independently.
     """
-    files = listed(spark, paths)
-    name = F.col("name")
-    ends = [P.has_suffix(name, s) for s in (".bgz", ".bgzf")]
-    is_block_name = ends[0] | ends[1]
-    is_large_gzip = P.has_suffix(name, ".gz") & (F.col("size") > range_bytes)
-    candidates = files.filter(is_block_name | is_large_gzip).select("path", "size")
-    probed = candidates.mapInArrow(
-        blocks.probe_blocks, "path string, size bigint, blocked boolean"
-    )
     # A listing of paths is what any multi-file scan keeps on the driver.
-    every = sorted(r.path for r in files.select("path").collect())
+    files = {r.path: r.size for r in listed(spark, paths).select("path", "size").collect()}
+    every = sorted(files)
+    to_probe = [
+        (path, size)
+        for path, size in files.items()
+        if path.endswith(BLOCK_SUFFIXES) or (path.endswith(".gz") and size > range_bytes)
+    ]
     ranged = [
         (r.path, r.size, r.blocked)
-        for r in probed.collect()
+        for r in _probed(spark, to_probe)
         if r.blocked or not r.path.endswith(".gz")
     ]
     apart = {r[0] for r in ranged}
@@ -150,6 +143,15 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _probed(spark: SparkSession, files: list[tuple[str, int]]) -> list:
+    if not files:
+        return []
+    found = spark.createDataFrame(files, "path string, size bigint").mapInArrow(
+        blocks.probe_blocks, "path string, size bigint, blocked boolean"
+    )
+    return found.collect()
+
+
 def _range_lines(
     spark: SparkSession, files: list[tuple[str, int, bool]], range_bytes: int
 ) -> DataFrame:
