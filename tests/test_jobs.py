@@ -142,6 +142,15 @@ def test_publish_copies_whole_files_once(spark, dataset, tmp_path):
     assert again.copied == 0 and again.summary.first().num_skipped == total
 
 
+def test_publish_between_relative_folders(spark, dataset, tmp_path):
+    hub = str(tmp_path / "hub")
+    publish.publish(spark, os.path.relpath(dataset), "file://" + hub)
+    assert columnar.scan_split(spark, f"{hub}/data").count() == 100
+    again = publish.publish(spark, "file:" + dataset, os.path.relpath(hub))
+    assert again.copied == 0
+    assert publish.refresh_stats(spark, os.path.relpath(dataset)).first().variant_types == ["SNV", "indel"]
+
+
 def test_publish_replaces_a_changed_file(spark, dataset, tmp_path):
     hub = str(tmp_path / "hub")
     publish.publish(spark, dataset, hub)

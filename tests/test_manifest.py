@@ -158,6 +158,12 @@ def test_listing(spark, tmp_path):
     assert rows(list_files(spark, str(tmp_path), "^a.*f$"), "name") == [("a 1.vcf",)]
     assert rows(collect_parquet(spark, str(tmp_path)), "name") == [("b+%41.parquet",), ("c.parquet",)]
     assert collect_parquet(spark, str(tmp_path), recursive=False).count() == 1
+    both = list_files(spark, [str(tmp_path), str(tmp_path / "sub")])
+    assert rows(both, "name")[-1] == ("c.parquet",)
+    assert rows(list_files(spark, str(tmp_path / "a 1.vcf")), "name") == [("a 1.vcf",)]
+    import os
+
+    assert list_files(spark, os.path.relpath(tmp_path)).count() == 2
     with pytest.raises(FileNotFoundError):
         list_files(spark, str(tmp_path / "none"))
 

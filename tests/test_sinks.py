@@ -183,6 +183,15 @@ def test_tree_keeps_relative_names_and_skips_broken_files(spark, tmp_path):
     assert again.count() == 7
 
 
+def test_tree_of_files_with_different_columns(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    pq.write_table(spark.range(2).toArrow(), str(tmp_path / "t" / "a.parquet"))
+    wider = spark.range(3).selectExpr("id", "'x' extra")
+    pq.write_table(wider.toArrow(), str(tmp_path / "t" / "b.parquet"))
+    table, _ = RE.reencode_tree(spark, os.path.relpath(tmp_path / "t"), str(tmp_path / "o"))
+    assert rows(table.groupBy("source").agg({"extra": "count"})) == [("a", 0), ("b", 3)]
+
+
 def test_tree_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         RE.reencode_tree(spark, str(tmp_path / "none"), str(tmp_path / "o"))

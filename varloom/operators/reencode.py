@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from varloom.functions import paths as P
 from varloom.operators.sinks import is_reusable, save
 from varloom.schema import SOURCE_COL
-from varloom.sources.columnar import scan
-from varloom.sources.files import file_system, is_directory
+from varloom.sources.columnar import scan, scan_split
+from varloom.sources.files import file_system, is_directory, qualified
 from varloom.sources.listing import collect_parquet, list_files
 
 FOOTER_SCHEMA = "path string, rows bigint, problem string"
@@ -103,6 +103,7 @@ def reencode_tree(
     files = collect_parquet(spark, root, recursive)
     if not is_directory(spark, root):
         raise NotADirectoryError(root)
+    root = qualified(spark, root)
     broken = (
         check_footers(files).filter(F.col("problem").isNotNull()).select("path", "problem")
     )
@@ -120,7 +121,8 @@ def reencode_tree(
         wanted = [r.path for r in sound.collect()]
         if not wanted:
             return None, broken
-    reader = spark.read
+    # Files may differ in columns; the result has all of them.
+    reader = spark.read.option("mergeSchema", "true")
     if partition_by:
         reader = reader.option("basePath", root)
         rows = reader.load(wanted)
@@ -148,8 +150,6 @@ def reencode_tree(
 def _tree_table(
     spark: SparkSession, out: str, partition_by: Sequence[str] | None
 ) -> DataFrame:
-    from varloom.sources.columnar import scan_split
-
     return scan_split(spark, out, tuple(partition_by) if partition_by else (SOURCE_COL,))
 
 
@@ -172,6 +172,6 @@ def size_report(before: DataFrame, after: DataFrame, key: str = "key") -> DataFr
 def tree_sizes(spark: SparkSession, root: str) -> DataFrame:
     """(key, size) per folder of a tree, ready for :func:`size_report`."""
     files = list_files(spark, root, recursive=True)
-    relative = P.relative_path(F.col("path"), root)
+    relative = P.relative_path(F.col("path"), qualified(spark, root))
     folder = F.regexp_extract(relative, "^(.*)/[^/]*$", 1)
     return files.select(folder.alias("key"), "size")

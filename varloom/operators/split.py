@@ -123,21 +123,22 @@ def split_by_type(
     done = [] if overwrite else finished_sources(spark, out)
     if done:
         variants = variants.filter(~F.coalesce(source.isin(done), F.lit(False)))
-    named = variants.select(source).distinct()
-    written = None
-    if not done or not named.isEmpty():
-        rows = explode_alleles(variants, explode_types, list_col, type_col, sep)
-        save(
-            spark,
-            laid_out(rows, layout, columns),
-            out,
-            mode="partitions" if done else "overwrite",
-            partition_by=columns,
-            profile=profile,
-        )
-        mark_sources(named, out)
-        written = None if done else rows.schema
-    table = scan_split(spark, out, columns, written=written)
+        new = [r[0] for r in variants.select(source).distinct().collect()]
+        if not new:
+            table = scan_split(spark, out, columns)
+            return table, split_manifest(table, type_col, source_col)
+    rows = explode_alleles(variants, explode_types, list_col, type_col, sep)
+    save(
+        spark,
+        laid_out(rows, layout, columns),
+        out,
+        mode="partitions" if done else "overwrite",
+        partition_by=columns,
+        profile=profile,
+    )
+    table = scan_split(spark, out, columns, written=None if done else rows.schema)
+    added = table.select(source).distinct()
+    mark_sources(added.filter(source.isin(new)) if done else added, out)
     return table, split_manifest(table, type_col, source_col)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from varloom.functions import paths as P
 from varloom.operators import manifest as M
 from varloom.session import new_folder
-from varloom.sources.files import delete_tree, exists, file_system
+from varloom.sources.files import delete_tree, exists, file_system, qualified
 from varloom.sources.listing import collect_parquet, list_files
 
 COPY_SCHEMA = "from_path string, to_path string, bytes bigint"
@@ -89,7 +89,7 @@ def remote_files(spark: SparkSession, target: str) -> DataFrame:
         return spark.createDataFrame([], "path_in_repo string, size bigint")
     files = list_files(spark, target, recursive=True)
     return files.select(
-        P.relative_path(F.col("path"), target).alias("path_in_repo"), "size"
+        P.relative_path(F.col("path"), qualified(spark, target)).alias("path_in_repo"), "size"
     )
 
 
@@ -122,6 +122,7 @@ def publish(
         raise ValueError(f"stale must be fail, remove or keep, not {stale!r}")
     chosen = collect_parquet(spark, source_dir) if files is None else files
     M.guard_extension(chosen)
+    source_dir, target = qualified(spark, source_dir), qualified(spark, target)
     planned = M.target_paths(chosen, prefix, source_dir)
     M.guard_targets(planned)
     remote = remote_files(spark, target)
@@ -156,7 +157,7 @@ def remove_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _remove_stale(old: DataFrame, target: str, folder: str) -> None:
-    place = F.concat(F.lit(P.plain_path(target) + "/"), F.col("path_in_repo"))
+    place = F.concat(F.lit(target + "/"), F.col("path_in_repo"))
     named = old.select(place.alias("from_path"), place.alias("to_path"))
     named.mapInArrow(remove_files, COPY_SCHEMA).write.parquet(f"{folder}/removed")
 
@@ -167,8 +168,7 @@ def _copy_planned(spark: SparkSession, plan: DataFrame, target: str, folder: str
     if not count:
         return 0
     tasks = min(count, MAX_COPY_TASKS)
-    root = P.plain_path(target)
-    staging = f"{root}/.staging-{uuid.uuid4().hex}"
+    staging = f"{target}/.staging-{uuid.uuid4().hex}"
     place = lambda base: F.concat(F.lit(base + "/"), F.col("path_in_repo"))
     staged = (
         todo.select(F.col("file").alias("from_path"), place(staging).alias("to_path"))
@@ -177,7 +177,7 @@ def _copy_planned(spark: SparkSession, plan: DataFrame, target: str, folder: str
     )
     staged.write.parquet(f"{folder}/staged")
     moved = (
-        todo.select(place(staging).alias("from_path"), place(root).alias("to_path"))
+        todo.select(place(staging).alias("from_path"), place(target).alias("to_path"))
         .repartition(tasks)
         .mapInArrow(move_files, COPY_SCHEMA)
     )
@@ -188,4 +188,5 @@ def _copy_planned(spark: SparkSession, plan: DataFrame, target: str, folder: str
 
 def refresh_stats(spark: SparkSession, source_dir: str) -> DataFrame:
     """Statistics of the data set below a folder: files, GiB, variant types."""
-    return M.dataset_stats(collect_parquet(spark, source_dir), source_dir)
+    files = collect_parquet(spark, source_dir)
+    return M.dataset_stats(files, qualified(spark, source_dir))

@@ -23,11 +23,13 @@ def scan(
 ) -> DataFrame:
     """Scan a table; both the column list and the predicate reach the file reader.
 
-    The predicate may use columns that are not selected.
+    The predicate may use columns that are not selected. Several paths are read with all
+    the columns any of them has.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    reader = spark.read.format(file_format).option("mergeSchema", str(len(paths) > 1).lower())
     try:
-        df = spark.read.format(file_format).load(paths)
+        df = reader.load(paths)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no table at {paths}") from error

@@ -15,6 +15,12 @@ def _hadoop(spark: SparkSession, path: str):
     return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as scans report it: absolute, with the default host filled in."""
+    fs, target = _hadoop(spark, path)
+    return plain_path(fs.makeQualified(target).toString())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _hadoop(spark, path)
     return bool(fs.exists(target))

@@ -6,11 +6,15 @@ appears in a manifest.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions import paths as P
+from varloom.sources.files import qualified
 
 
 def with_names(files: DataFrame) -> DataFrame:
@@ -51,8 +55,10 @@ def list_files(
     )
     is_glob = any(c in place for place in places for c in "*?[{")
     if not recursive and not is_glob:
-        below = F.coalesce(*[P.relative_path(F.col("path"), p) for p in places], F.lit(""))
-        files = files.filter(~F.contains(below, F.lit("/")))
+        below = [P.relative_path(F.col("path"), qualified(spark, p)) for p in places]
+        direct = [b.isNotNull() & ~F.contains(b, F.lit("/")) for b in below]
+        is_place_itself = reduce(and_, [b.isNull() for b in below])
+        files = files.filter(reduce(or_, direct, is_place_itself))
     files = matching(files, pattern)
     return with_names(files).select("path", "name", "size", "modified", "is_variant_file")
 
