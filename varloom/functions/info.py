@@ -38,9 +38,10 @@ def fenced(info: Column) -> Column:
 def value_text(fenced_info: Column, key: str) -> Column:
     """Value of the first ``KEY=VALUE`` item."""
     opening = f";{key}="
-    at = F.locate(opening, fenced_info)
-    rest = F.substring(fenced_info, at + F.lit(len(opening)), F.length(fenced_info))
-    return F.when(at > 0, F.substring_index(rest, ";", 1))
+    # Null where the key is absent, which makes the whole expression null.
+    at = F.nullif(F.locate(opening, fenced_info), F.lit(0))
+    rest = F.substring(fenced_info, at + F.lit(len(opening)), F.lit(2**31 - 1))
+    return F.substring_index(rest, ";", 1)
 
 
 def flag_set(fenced_info: Column, key: str) -> Column:

@@ -7,12 +7,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Suffixes that mark an index file, and the byte units of reports.
+# Suffixes of index files and of variant files, byte units of reports.
 INDEX_SUFFIXES = (".tbi", ".csi", ".idx")
+VARIANT_SUFFIXES = (".vcf.gz", ".vcf.bgz", ".vcf")
 BYTE_UNITS = ("B", "KB", "MB", "GB", "TB")
 
 _VARIANT_NAME = r"^[.]*[^.].*[.]vcf([.]|$)|^[.]*[^.][.]vcf([.]|$)"
-_VARIANT_ENDING = r"[.]vcf([.]b?gz)?$"
 _LAST_SUFFIX = r"(?<=.)[.][^.]+$"
 
 
@@ -23,12 +23,18 @@ def plain_path(path: str) -> str:
 
 
 def plain_path_col(path: Column) -> Column:
-    return F.regexp_replace(path, "^file:/+", "/")
+    """The same for a column: evaluated per row, so without patterns or decoding."""
+    return (
+        F.when(F.startswith(path, F.lit("file:///")), F.substring(path, 8, 2**31 - 1))
+        .when(F.startswith(path, F.lit("file:/")), F.substring(path, 6, 2**31 - 1))
+        .otherwise(path)
+    )
 
 
 def decoded_path(uri: Column) -> Column:
     """``_metadata.file_path`` is percent-encoded; ``+`` in it is a literal plus."""
-    return plain_path_col(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return plain_path_col(F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri))
 
 
 def base_name(path: Column) -> Column:
@@ -55,15 +61,19 @@ def variant_stem(name: Column) -> Column:
     ``.vcf``, ``.vcf.gz`` and ``.vcf.bgz`` are removed as a whole; of any other name
     only the last suffix goes.
     """
-    return F.when(
-        F.regexp_like(name, F.lit(_VARIANT_ENDING)), F.regexp_replace(name, _VARIANT_ENDING, "")
-    ).otherwise(F.regexp_replace(name, _LAST_SUFFIX, ""))
+    cut = lambda s: F.substring(name, F.lit(1), F.length(name) - len(s))
+    stem = F.when(F.endswith(name, F.lit(VARIANT_SUFFIXES[0])), cut(VARIANT_SUFFIXES[0]))
+    for suffix in VARIANT_SUFFIXES[1:]:
+        stem = stem.when(F.endswith(name, F.lit(suffix)), cut(suffix))
+    return stem.otherwise(F.regexp_replace(name, _LAST_SUFFIX, ""))
 
 
 def variant_stem_of(name: str) -> str:
     """Driver-side twin of :func:`variant_stem` for a single output path."""
-    cut = re.sub(_VARIANT_ENDING, "", name)
-    return cut if cut != name else re.sub(_LAST_SUFFIX, "", name)
+    for suffix in VARIANT_SUFFIXES:
+        if name.endswith(suffix):
+            return name.removesuffix(suffix)
+    return re.sub(_LAST_SUFFIX, "", name)
 
 
 def relative_path(path: Column, root: str) -> Column:

@@ -27,6 +27,7 @@ BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]{1,18}+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t
 # Above this many fields the one-pass reading of INFO is cheaper (see functions.info).
 SEARCH_LIMIT = 16
 RANGE_BYTES = 64 << 20
+MIN_RANGE_BYTES = 4 << 20
 BLOCK_SUFFIXES = (".bgz", ".bgzf")
 
 Paths = DataFrame | str | Sequence[str]
@@ -111,8 +112,9 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
 
     * Plain text splits by byte ranges inside Spark's own reader, and so do small gzip
       files, one task each.
-    * ``.bgz`` files, and gzip files larger than one range that turn out to be block
-      compressed, are cut into ranges that tasks decode independently.
+    * ``.bgz`` files, and gzip files beyond 4 MB that turn out to be block compressed, are
+      cut into ranges that tasks decode independently. Ranges are ``range_bytes`` long,
+      or shorter where that would leave cores idle.
     """
     # A listing of paths is what any multi-file scan keeps on the driver.
     files = {r.path: r.size for r in listed(spark, paths).select("path", "size").collect()}
@@ -120,7 +122,8 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
     to_probe = [
         (path, size)
         for path, size in files.items()
-        if path.endswith(BLOCK_SUFFIXES) or (path.endswith(".gz") and size > range_bytes)
+        if path.endswith(BLOCK_SUFFIXES)
+        or (path.endswith(".gz") and size > min(range_bytes, MIN_RANGE_BYTES))
     ]
     ranged = [
         (r.path, r.size, r.blocked)
@@ -155,10 +158,13 @@ def _probed(spark: SparkSession, files: list[tuple[str, int]]) -> list:
 def _range_lines(
     spark: SparkSession, files: list[tuple[str, int, bool]], range_bytes: int
 ) -> DataFrame:
-    count = sum(-(-size // range_bytes) if blocked else 1 for _, size, blocked in files)
+    total = sum(size for _, size, blocked in files if blocked)
+    share = max(MIN_RANGE_BYTES, total // spark.sparkContext.defaultParallelism)
+    step = min(range_bytes, share)
+    count = sum(-(-size // step) if blocked else 1 for _, size, blocked in files)
     starts = F.when(
         F.col("blocked"),
-        F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(range_bytes).cast("bigint")),
+        F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(step).cast("bigint")),
     ).otherwise(F.array(F.lit(0).cast("bigint")))
     ranges = (
         spark.createDataFrame(files, "path string, size bigint, blocked boolean")
@@ -166,7 +172,7 @@ def _range_lines(
         .withColumn(
             "stop",
             F.when(
-                F.col("blocked"), F.least(F.col("start") + range_bytes, F.col("size"))
+                F.col("blocked"), F.least(F.col("start") + step, F.col("size"))
             ).otherwise(F.col("size")),
         )
     )
