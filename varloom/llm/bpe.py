@@ -21,10 +21,8 @@ from pyspark.sql import functions as F
 
 from varloom.llm.common import per_batch, texts_of
 
-#: Distinct words whose ids a task remembers before it starts anew.
-REMEMBERED = 500_000
-#: Text bytes a task turns into ids at once.
-BATCH_BYTES = 4 << 20
+#: Distinct words whose ids a task remembers: those used since as many others were met.
+REMEMBERED = 150_000
 #: What stands before the first token.
 START = (1 << 20) - 1
 
@@ -68,6 +66,7 @@ class Codec:
         self.ends.make_automaton()
         self.fits: dict[int, bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
@@ -124,10 +123,12 @@ class Codec:
             ids = known.get(word)
             if ids is None:
                 if len(known) >= REMEMBERED:
-                    known.clear()
+                    self.before, self.known = known, (known := {})
                 if len(self.fits) >= 2 * REMEMBERED:
                     self.fits.clear()
-                ids = self.encode_word(word.encode().decode("latin-1").translate(self.table))
+                ids = self.before.get(word)
+                if ids is None:
+                    ids = self.encode_word(word.encode().decode("latin-1").translate(self.table))
                 if len(word) < 64:
                     known[word] = ids
             out.append(ids)
@@ -191,19 +192,7 @@ class Tokenizer:
 
         def start():
             codec = Codec(content.value)
-
-            def work(batch: pa.Array) -> pa.Array:
-                parts, at, texts = [], 0, texts_of(batch)
-                while at < len(texts) or not parts:
-                    end, size = at, 0
-                    while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_BYTES):
-                        size += len(texts[end])
-                        end += 1
-                    parts.append(work_on(codec, texts[at:end]))
-                    at = end
-                return pa.concat_arrays(parts)
-
-            return work
+            return lambda batch: work_on(codec, texts_of(batch))
 
         return per_batch(start, returns)(F.col(text))
 

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from varloom.session import new_folder
 
+#: Text bytes and rows that a task's Python code works on at once.
+SLICE_BYTES = 2 << 20
+SLICE_ROWS = 2048
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -39,18 +45,35 @@ def unit_hash(name: str, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.col(name), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
 
 
+def slices(batch: pa.Array) -> Iterator[pa.Array]:
+    """A batch in pieces of about ``SLICE_BYTES`` of text, or of ``SLICE_ROWS`` rows."""
+    if pa.types.is_string(batch.type) or pa.types.is_binary(batch.type):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    else:
+        ends = np.zeros(len(batch), np.int64)
+    at = 0
+    while at < len(batch):
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(ends, before + SLICE_BYTES))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def per_batch(
     start: Callable[[], Callable[[pa.Array], pa.Array]], returns: DataType | str
 ) -> Callable[..., Column]:
-    """A column function applied to Arrow batches; ``start`` runs once per task.
+    """A column function applied to pieces of Arrow batches; ``start`` runs once per task.
 
-    It counts as not deterministic so that the optimizer never copies it into a second place.
+    Results leave a task piece by piece, so what it holds does not depend on the size of
+    Spark's batches. The function counts as not deterministic, so that the optimizer never
+    copies it into a second place.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = start()
         for batch in batches:
-            yield work(batch)
+            for piece in slices(batch):
+                yield work(piece)
 
     return F.arrow_udf(run, returns).asNondeterministic()
 

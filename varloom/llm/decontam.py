@@ -29,8 +29,6 @@ SHINGLE = 5
 BLOCK = 4
 #: Text bytes of the items searched for in one pass; more items take more passes.
 PASS_BYTES = 16 << 20
-#: Text bytes a task works on at once.
-BATCH_BYTES = 1 << 20
 
 WORD = re.compile(r"\w+")
 SENTENCE_END = re.compile(r"[.!?]\s+")
@@ -277,14 +275,7 @@ def _leaks_of_pass(df: DataFrame, rows: list, text: str, made: StructType):
         indexes, vocabulary = shared.value
 
         def work(batch: pa.Array) -> pa.Array:
-            texts, out, at = texts_of(batch), [], 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_BYTES):
-                    size += len(texts[end])
-                    end += 1
-                out += search(indexes, vocabulary, texts[at:end])
-                at = end
+            out = search(indexes, vocabulary, texts_of(batch))
             return pa.array([[dict(zip(names, x, strict=True)) for x in xs] for xs in out], kind)
 
         return work
