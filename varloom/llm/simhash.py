@@ -261,7 +261,9 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     kept = found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("_n_"))
     kept = stored(kept, "kept")
     nulls = df.filter(F.col(key).isNull())
-    stay = df.join(kept, key)
+    # At scale both sides are shuffled; asking for it keeps small inputs to the same plan,
+    # and building from the keys spares a sort of the texts.
+    stay = df.join(kept.hint("shuffle_hash"), key)
     again = stay.filter("_n_ > 1").drop("_n_")
     once = stay.filter("_n_ = 1").drop("_n_")
     if not kept.filter("_n_ > 1").isEmpty():
