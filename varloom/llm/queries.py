@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import bpe, decontam, langid, pii, simhash
+from varloom.llm import bpe, decontam, langid, licenses, pii, quality, sharding, simhash, topk, warc
 from varloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,11 +39,47 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*")
 
 
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    archives = warc.write_archives(pages, warc.archive_folder(pages))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc.read_archives(archives).select(*columns)
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", held_out())
+    trees = quality.learn(docs, table(spark, folder, "labels").filter(~held_out()))
+    scored = docs.select("doc_id", "held_out", quality.score(trees).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), "id % 20 = 0")
+
+
+@query
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return sharding.shuffle(rows, 40).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 @query
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -58,3 +94,34 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out())
     net = langid.learn(docs.filter("not held_out"))
     return langid.identify(docs, net).select("doc_id", "held_out", "lang_pred", "score")
+
+
+ORACLE["op6_licenses"] = licenses.oracle()
+
+# SHA-1 in base32: ten hex digits are eight letters of five bits.
+ORACLE["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS sha FROM p),
+g AS (SELECT sha, max(page_id) AS last FROM h GROUP BY sha),
+letters AS (
+  SELECT sha, last, [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+      CAST('0x' || substr(sha, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))::INTEGER) & 31)::INTEGER, 1)
+    FOR i IN range(0, 32)] AS l
+  FROM g)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(l, '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM h JOIN letters USING (sha)
+"""
+
+ORACLE["op7_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
