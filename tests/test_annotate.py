@@ -81,9 +81,8 @@ def test_annotation_is_cut_where_it_is_scanned(spark, sides, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "a.parquet"))
     plan = plan_of(AN.annotate(sample, stored, ["ann"], reduction="keys"))
     assert "GreaterThanOrEqual(start" in plan and "LeftSemi" in plan
-    for reduction in ("keys", "bitmap"):
-        cut = AN.reduce_annotation(stored, sample, reduction=reduction)
-        assert cut.filter("chrom = 'chr9'").count() == 0
+    cut = AN.reduce_annotation(stored, sample, reduction="keys")
+    assert cut.filter("chrom = 'chr9'").count() == 0
 
 
 def test_reduction_is_chosen_by_size(spark, tmp_path):
@@ -96,19 +95,28 @@ def test_reduction_is_chosen_by_size(spark, tmp_path):
     spark.conf.set(key, "10k")
     try:
         assert "LeftSemi" in plan_of(AN.annotate(small, big, ["ann"]))
-        assert "_bits" in plan_of(AN.annotate(small, big, ["ann"], max_bytes=10))
-        plain = plan_of(AN.annotate(big.drop("ann"), big, ["ann"]))
-        assert "LeftSemi" not in plain and "_bits" not in plain
+        for reduction in ("auto", "keys"):
+            beyond = plan_of(AN.annotate(small, big, ["ann"], reduction=reduction, max_bytes=10))
+            assert "LeftSemi" not in beyond and "GreaterThanOrEqual(start" in beyond
+        assert "LeftSemi" not in plan_of(AN.annotate(big.drop("ann"), big, ["ann"]))
     finally:
         spark.conf.set(key, before)
 
 
-def test_bitmap_keeps_little_else(spark):
-    table = spark.range(100_000).selectExpr(*MADE)
-    sample = table.filter("start % 1000 = 0")
-    cut = AN.with_sample_bits(table, sample, AN.KEY_COLUMNS, bits=1 << 20)
-    kept = {r.start for r in cut.select("start").collect()}
-    assert kept >= {r.start for r in sample.collect()} and len(kept) < 250
+@pytest.mark.parametrize("keys", [["sid"], ["start", "sid"], ["sid", "start", "chrom"]])
+@pytest.mark.parametrize("threshold", ["1", "1t"])
+def test_any_keys_in_any_order(spark, keys, threshold):
+    sample = spark.range(40).selectExpr("id sid", "id * 2 start", "'c' chrom", "'x' ref")
+    table = spark.range(20, 60).selectExpr("id sid", "id * 2 start", "'c' chrom", "uuid() ann")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        for reduction in AN.REDUCTIONS:
+            got = AN.annotate(sample, table, ["ann"], keys=keys, reduction=reduction)
+            assert got.count() == 40 and got.filter("ann is not null").count() == 20
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_many_contigs_are_not_listed(spark):

@@ -1,21 +1,13 @@
 """Column expressions over the INFO column of a VCF line.
 
-Two ways to read fields, chosen by how many are wanted:
-
-* *by search* - each field is searched for in the text on its own. Fields that a query
-  does not use cost nothing, since Catalyst drops them.
-* *in one pass* - the text is re-spelled as a JSON object and parsed once by
-  ``from_json``; the cost does not grow with (fields wanted) x (length of the text),
-  which is what hurts on sources declaring hundreds of fields.
-
-Both take the first ``KEY=VALUE`` item of a repeated key and null for an absent one. A
-flag is set by the bare key, with or without a value.
+Each field is searched for in the text on its own. Fields that a query does not use cost
+nothing, since Catalyst drops them. The first ``KEY=VALUE`` item of a repeated key counts,
+an absent one is null; keys are matched in their exact case. A flag is set by the bare key,
+with or without a value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,24 +42,10 @@ def flag_set(fenced_info: Column, key: str) -> Column:
     return F.contains(fenced_info, bare) | F.contains(fenced_info, valued)
 
 
-# Marks a bare key in the JSON spelling: a character no VCF text holds.
-BARE = "\x01"
-
-
-def info_json(info: Column) -> Column:
-    """INFO as a JSON object of texts; items reversed so that the first of a key wins."""
-    safe = F.replace(F.replace(info, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    turned = F.array_join(F.reverse(F.split(safe, ";")), ";")
-    marked = F.regexp_replace(turned, "(^|;)([^;=]++)(?=;|$)", f"$1{BARE}$2")
-    pairs = F.regexp_replace(marked, "([^;=]*+)=?([^;]*+)(;|$)", '"$1":"$2",')
-    return F.concat(F.lit("{"), pairs, F.lit('"":""}'))
-
-
-def info_struct(info: Column, values: Sequence[str], flags: Sequence[str]) -> Column:
-    """All wanted fields as one struct of texts, parsed in a single pass."""
-    keys = [*values, *flags, *[BARE + f for f in flags]]
-    schema = T.StructType([T.StructField(k, T.StringType()) for k in dict.fromkeys(keys)])
-    return F.from_json(info_json(info), schema, {"allowUnquotedControlChars": "true"})
+def stored_type(type_name: str, number: str) -> T.DataType:
+    """Spark type that :func:`typed_value` gives a field."""
+    target = INFO_TYPES.get(type_name, T.StringType())
+    return target if number in ("0", "1") else T.ArrayType(target)
 
 
 def typed_value(text: Column, type_name: str, number: str) -> Column:

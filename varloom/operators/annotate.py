@@ -6,14 +6,16 @@ annotation table. Instead the annotation table is cut down where it is scanned,
 what is left takes part in the join. How is chosen by size:
 
 * an annotation table that Spark itself would broadcast is simply joined;
-* a sample much smaller than the annotation table cuts it by position ranges and then by
-  its exact keys, broadcast while their measured bytes stay under a bound;
-* beyond that bound the keys are hashed into a bitmap, whose size is fixed whatever the
-  sample; some rows that match nothing get past it and are dropped by the join;
-* a sample as large as the annotation table is joined by shuffling both sides, where
-  adaptive execution splits hot keys.
-
-None of the cuts can drop a row that matches.
+* a sample much smaller than the annotation table cuts it by position ranges, where both
+  position columns are among the keys, and then by its exact keys, broadcast only while
+  their measured bytes stay under a bound;
+* beyond that bound, or with a sample as large as the annotation table, both sides are
+  shuffled, where adaptive execution splits hot keys of the sample.
+
+The cuts are taken from keys that are stored once, and the join uses the sample itself. A
+sample that is another table each time it is read, such as one with an unordered limit,
+must be stored by the caller, or its rows may be cut off. A key that the annotation table
+repeats very often cannot be split in a left join; ``dedupe_keys`` is the way out.
 """
 
 from __future__ import annotations
@@ -26,13 +28,14 @@ from pyspark.sql import functions as F
 
 from varloom.operators.lookup import annotated_only
 from varloom.schema import KEY_COLUMNS
+from varloom.session import new_folder
 
-REDUCTIONS = ("auto", "keys", "bitmap", "none")
+REDUCTIONS = ("auto", "keys", "none")
 # Most bytes of sample keys that may be broadcast; measured, since alleles can be long.
 MAX_BROADCAST_BYTES = 128 << 20
 ROW_OVERHEAD = 64
-# The bitmap covers this many hash values: 2^30 bits are 128 MB when every bit is set.
-BITMAP_BITS = 1 << 30
+# Key columns whose ranges can cut the annotation table where it is scanned.
+POSITION_COLUMNS = ("chrom", "start")
 # A cut pays off only if the annotation table is this many times the sample.
 WORTHWHILE_RATIO = 4
 MAX_LISTED_CHROMS = 200
@@ -42,68 +45,43 @@ CLINICAL_COLUMNS = ("clnsig", "clndn", "clnrevstat", "clnvc", "mc")
 FREQUENCY_PATTERN = "af_.*"
 
 
-def sample_extent(
-    sample: DataFrame, keys: Sequence[str] = KEY_COLUMNS
-) -> tuple[int, list[tuple] | None]:
-    """(bytes of all keys, position range per chromosome) of a sample.
+def stored_keys(sample: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The sample's distinct keys without nulls, written below the shared folder."""
+    wanted = sample.select(*keys).na.drop().distinct()
+    path = new_folder(sample.sparkSession, "sample-keys")
+    wanted.write.parquet(path)
+    return sample.sparkSession.read.schema(wanted.schema).parquet(path)
+
 
-    The ranges are None where there are too many chromosomes or contigs to list.
+def sample_extent(stored: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> tuple[int, list[tuple] | None]:
+    """(bytes of all keys, position range per chromosome) of stored keys.
+
+    The ranges are None where the position is not part of the keys, or there are too many
+    chromosomes or contigs to list.
     """
-    chrom, start = keys[0], keys[1]
     weight = sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(ROW_OVERHEAD))
-    per_chrom = (
-        sample.select(*keys)
-        .na.drop()
-        .groupBy(chrom)
-        .agg(F.sum(weight).alias("bytes"), F.min(start).alias("low"), F.max(start).alias("high"))
-    )
+    total = F.coalesce(F.sum(weight), F.lit(0)).alias("bytes")
+    if not set(POSITION_COLUMNS) <= set(keys):
+        return stored.agg(total).first().bytes, None
+    chrom, start = POSITION_COLUMNS
+    per_chrom = stored.groupBy(chrom).agg(total, F.min(start).alias("low"), F.max(start).alias("high"))
     found = per_chrom.limit(MAX_LISTED_CHROMS + 1).collect()
     if len(found) <= MAX_LISTED_CHROMS:
         return sum(r.bytes for r in found), [(r[chrom], r.low, r.high) for r in found]
-    return per_chrom.agg(F.sum("bytes")).first()[0], None
+    return stored.agg(total).first().bytes, None
 
 
-def near_sample(annotation: DataFrame, ranges: list[tuple] | None, keys: Sequence[str]) -> DataFrame:
+def near_sample(annotation: DataFrame, ranges: list[tuple] | None) -> DataFrame:
     """Rows within the sample's position range of their chromosome (a pushed filter)."""
     if ranges is None:
         return annotation
+    chrom, start = (F.col(c) for c in POSITION_COLUMNS)
     near = F.lit(False)
-    for chrom, low, high in ranges:
-        near = near | ((F.col(keys[0]) == chrom) & F.col(keys[1]).between(low, high))
+    for name, low, high in ranges:
+        near = near | ((chrom == name) & start.between(low, high))
     return annotation.filter(near)
 
 
-def with_sample_keys(annotation: DataFrame, sample: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in the sample; the distinct keys are broadcast."""
-    wanted = sample.select(*keys).na.drop().distinct()
-    return annotation.join(F.broadcast(wanted), list(keys), "left_semi")
-
-
-def with_sample_bits(
-    annotation: DataFrame, sample: DataFrame, keys: Sequence[str], bits: int = BITMAP_BITS
-) -> DataFrame:
-    """Rows whose hashed key is set in a bitmap of the sample's hashed keys.
-
-    The bitmap is aggregated in pieces of 4 KB, at most ``bits / 8`` bytes in all.
-    """
-    spot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(bits))
-    pieces = (
-        sample.select(*keys)
-        .na.drop()
-        .select(spot.alias("_spot"))
-        .groupBy(F.bitmap_bucket_number("_spot").alias("_piece"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_spot")).alias("_bits"))
-    )
-    marked = annotation.withColumn("_spot", spot).withColumn(
-        "_piece", F.bitmap_bucket_number("_spot")
-    )
-    at = F.bitmap_bit_position(F.col("_spot"))
-    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    is_set = F.getbit(byte.cast("bigint"), (at % 8).cast("int")) == 1
-    joined = marked.join(F.broadcast(pieces), "_piece").filter(is_set)
-    return joined.select(*annotation.columns)
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """The size Spark's own planner assumes for a table, from file sizes; runs no job."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -111,11 +89,9 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_threshold(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    digits = text.removesuffix("b")
-    unit = units.get(digits[-1:], 1)
-    return int(digits.rstrip("kmg")) * unit
+    """Spark's own bound in bytes, whatever unit it is written in."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
 def reduce_annotation(
@@ -125,19 +101,21 @@ def reduce_annotation(
     reduction: str = "auto",
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Annotation rows that can match the sample; never drops one that does match."""
+    """Annotation rows that can match the sample.
+
+    Keys above ``max_bytes`` are never broadcast, also not with ``reduction="keys"``.
+    """
     if reduction not in REDUCTIONS:
         raise ValueError(f"reduction must be one of {REDUCTIONS}, not {reduction!r}")
     size = estimated_bytes(annotation)
     if reduction == "none" or (reduction == "auto" and size <= broadcast_threshold(annotation)):
         return annotation
-    weight, ranges = sample_extent(sample, keys)
-    if reduction == "auto" and weight * WORTHWHILE_RATIO > size:
-        return near_sample(annotation, ranges, keys)
-    near = near_sample(annotation, ranges, keys)
-    if reduction == "keys" or (reduction == "auto" and weight <= max_bytes):
-        return with_sample_keys(near, sample, keys)
-    return with_sample_bits(near, sample, keys)
+    wanted = stored_keys(sample, keys)
+    weight, ranges = sample_extent(wanted, keys)
+    near = near_sample(annotation, ranges)
+    if weight > max_bytes or (reduction == "auto" and weight * WORTHWHILE_RATIO > size):
+        return near
+    return near.join(F.broadcast(wanted), list(keys), "left_semi")
 
 
 def one_per_key(annotation: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

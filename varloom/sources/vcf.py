@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varloom.functions import alleles as A
 from varloom.functions import info as I
@@ -23,9 +24,7 @@ from varloom.sources.listing import list_files
 
 # A body line: eight columns at least, the second a number; comments never match.
 # Quantifiers are possessive: a line that fails does so without going back.
-BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]{1,18}+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]"
-# Above this many fields the one-pass reading of INFO is cheaper (see functions.info).
-SEARCH_LIMIT = 16
+BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]++\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]"
 RANGE_BYTES = 64 << 20
 MIN_RANGE_BYTES = 4 << 20
 BLOCK_SUFFIXES = (".bgz", ".bgzf")
@@ -138,7 +137,9 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
     parts: list[DataFrame] = []
     if text_paths:
         path = P.decoded_path(F.col("_metadata.file_path")).alias("path")
-        text = spark.read.text(text_paths).select("value", path)
+        # Lines end at a line feed, and one carriage return before it goes, as in ranges.
+        value = F.regexp_replace("value", "\r\\z", "").alias("value")
+        text = spark.read.text(text_paths, lineSep="\n").select(value, path)
         # A gzip file is one task; parsing its lines is the heavier part.
         parts.append(spread(text) if any(p.endswith(".gz") for p in text_paths) else text)
     if ranged:
@@ -190,7 +191,9 @@ def listed(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def is_body_line(value: Column) -> Column:
-    return F.regexp_like(value, F.lit(BODY_LINE))
+    """Eight columns, and a position that a bigint holds."""
+    position = F.substring_index(F.substring_index(value, "\t", 2), "\t", -1)
+    return F.regexp_like(value, F.lit(BODY_LINE)) & position.try_cast("bigint").isNotNull()
 
 
 def is_content_line(value: Column) -> Column:
@@ -211,6 +214,11 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(is_rejected_line(F.col("value"))).withColumn("reason", reason)
 
 
+def column_type(field: InfoField) -> T.DataType:
+    """Type of a field's column; a flag is true or false whatever its number."""
+    return T.BooleanType() if field.type == "Flag" else I.stored_type(field.type, field.number)
+
+
 def info_column_names(fields: Sequence[InfoField]) -> dict[str, str]:
     """Output column of each field: lower case, prefixed where a name is taken."""
     taken = {*CORE_COLUMNS, SOURCE_COL}
@@ -239,7 +247,6 @@ def parse_lines(
     fields: Sequence[InfoField | str | tuple] = (),
     keep: Sequence[str] = (),
     malformed: str = "reject",
-    one_pass: bool | None = None,
 ) -> DataFrame:
     """VCF lines (column ``value``) as core columns plus one typed column per field.
 
@@ -268,19 +275,11 @@ def parse_lines(
         cell(7).alias("info"),
         *keep,
     )
-    if one_pass is None:
-        one_pass = len(wanted) > SEARCH_LIMIT
     flags = [f.field for f in wanted if f.type == "Flag"]
     values = list(dict.fromkeys(["END", *[f.field for f in wanted if f.type != "Flag"]]))
-    if one_pass:
-        staged = flat.withColumn("i", I.info_struct(F.col("info"), values, flags))
-        part = lambda k: F.col("i").getField(k)
-        text = {k: part(k) for k in values}
-        is_set = {k: part(k).isNotNull() | part(I.BARE + k).isNotNull() for k in flags}
-    else:
-        staged = flat.withColumn("i", I.fenced(F.col("info")))
-        text = {k: I.value_text(F.col("i"), k) for k in values}
-        is_set = {k: I.flag_set(F.col("i"), k) for k in flags}
+    staged = flat.withColumn("i", I.fenced(F.col("info")))
+    text = {k: I.value_text(F.col("i"), k) for k in values}
+    is_set = {k: I.flag_set(F.col("i"), k) for k in flags}
     last = F.coalesce(text["END"].try_cast("bigint"), F.col("start") + F.length("ref") - 1)
     typed = lambda f: (
         is_set[f.field] if f.type == "Flag" else I.typed_value(text[f.field], f.type, f.number)
