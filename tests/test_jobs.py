@@ -51,20 +51,63 @@ def test_prepare_again_takes_new_files_only(spark, landing, tmp_path):
     assert not run().converted.written
 
 
-def test_a_source_not_marked_as_done_is_written_again(spark, landing, tmp_path):
+def test_a_file_not_marked_as_done_is_written_again(spark, landing, tmp_path):
     out = tmp_path / "o"
     prepare.prepare_source(spark, str(landing), str(out))
     done = spark.read.parquet(str(out / "variants" / "_sources"))
-    kept = [r.source for r in done.collect() if r.source != "b"]
+    kept, schema = [tuple(r) for r in done.collect() if r.source != "b"], done.schema
     for name in glob.glob(f"{out}/variants/_sources/*.parquet"):
         os.remove(name)
-    spark.createDataFrame([(k,) for k in kept], "source string").write.mode("append").parquet(
-        str(out / "variants" / "_sources")
-    )
+    spark.createDataFrame(kept, schema).write.mode("append").parquet(str(out / "variants" / "_sources"))
     again = prepare.prepare_source(spark, str(landing), str(out))
     assert rows(again.converted.table.groupBy("source").count()) == [("a", 4), ("b", 4)]
 
 
+def test_equal_stems_and_changed_files(spark, landing, tmp_path):
+    """Another folder's file of a known stem is added, and a changed file replaces its old rows."""
+
+    def run():
+        places = [str(landing), str(tmp_path / "more")]
+        return prepare.prepare_source(spark, places, str(tmp_path / "o"), with_splitting=True)
+
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "z.vcf").write_text(HEADER + BODY)
+    first = run()
+    assert first.converted.rejected == 6
+    (tmp_path / "more" / "a.vcf").write_text(HEADER + BODY)
+    (tmp_path / "more" / "a.vcf.gz").write_bytes(gzip.compress((HEADER + BODY).encode()))
+    second = run()
+    assert rows(second.converted.table.groupBy("source").count()) == [("a", 12), ("b", 4), ("z", 4)]
+    assert rows(second.split_table.groupBy("source").count()) == [("a", 15), ("b", 5), ("z", 5)]
+    assert spark.read.parquet(second.converted.rejects_path).count() == 10
+    (landing / "a.vcf").write_text(HEADER)
+    later = os.path.getmtime(landing / "a.vcf") + 10
+    os.utime(landing / "a.vcf", (later, later))
+    third = run()
+    assert rows(third.converted.table.groupBy("source").count()) == [("a", 8), ("b", 4), ("z", 4)]
+    assert rows(third.split_table.groupBy("source").count()) == [("a", 10), ("b", 5), ("z", 5)]
+    assert spark.read.parquet(f"{tmp_path}/o/variants_rejects").count() == 8
+    status = {os.path.relpath(r.path, tmp_path): r.status for r in third.status.collect()}
+    assert status == {"in/a.vcf": "no rows", **dict.fromkeys(["in/b.vcf.gz", "more/a.vcf", "more/a.vcf.gz", "more/z.vcf"], "converted")}
+    assert not run().converted.written
+
+
+@pytest.mark.parametrize("number", ["A", "."])
+def test_a_header_that_cannot_fit_fails_before_anything_is_written(spark, landing, tmp_path, number):
+    out = str(tmp_path / "o")
+    (landing / "b.vcf.gz").rename(tmp_path / "b.vcf.gz")
+    wider = HEADER.replace("ID=TSA,Number=1", "ID=TSA,Number=.")
+    (landing / "a.vcf").write_text(wider + BODY)
+    prepare.prepare_source(spark, str(landing), out)
+    (tmp_path / "b.vcf.gz").rename(landing / "b.vcf.gz")
+    both = prepare.prepare_source(spark, str(landing), out).converted.table
+    assert both.count() == 8 and dict(both.dtypes)["tsa"] == "array<string>"
+    (landing / "c.vcf").write_text(HEADER.replace("ID=DB,Number=0,Type=Flag", f"ID=DB,Number={number},Type=Integer") + BODY)
+    with pytest.raises(ValueError, match="DB"):
+        prepare.prepare_source(spark, str(landing), out)
+    assert columnar.scan_split(spark, f"{out}/variants", ["source"]).count() == 8
+
+
 def test_prepare_checks_an_expected_listing(spark, landing, tmp_path):
     def run(items):
         expected = spark.createDataFrame(items, "name string, size bigint")
@@ -76,7 +119,7 @@ def test_prepare_checks_an_expected_listing(spark, landing, tmp_path):
     assert run([("a.vcf", size)]).converted.table.count() == 4
     with pytest.raises(FileNotFoundError, match="lost.vcf"):
         run([("a.vcf", size), ("lost.vcf", 1)])
-    with pytest.raises(ValueError, match="vs remote 1 B"):
+    with pytest.raises(ValueError, match="bytes, not 1"):
         run([("a.vcf", 1)])
 
 
@@ -117,6 +160,8 @@ def test_split_existing(spark, tmp_path):
     ]
     with pytest.raises(ValueError):
         prepare.split_existing(spark, ["a.txt"], str(tmp_path / "n"))
+    again, _ = prepare.split_existing(spark, [os.path.relpath(p) for p in paths], str(tmp_path / "relative"))
+    assert rows(again.groupBy("source").count()) == [("x", 3), ("y", 3)]
 
 
 @pytest.fixture
@@ -186,10 +231,14 @@ def test_moving_twice_is_harmless(tmp_path):
     import pyarrow as pa
 
     (tmp_path / "s").write_text("abc")
-    batch = pa.RecordBatch.from_pylist([{"from_path": str(tmp_path / "s"), "to_path": str(tmp_path / "x/y")}])
+    places = {"from_path": tmp_path / "s", "to_path": tmp_path / "x/y", "kept_path": tmp_path / "k/y"}
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x/y").write_text("old file")
+    batch = pa.RecordBatch.from_pylist([{k: str(v) for k, v in places.items()}])
     for _ in range(2):
         done = list(publish.move_files(iter([batch])))
         assert done[0].column("bytes").to_pylist() == [3]
+    assert (tmp_path / "k/y").read_text() == "old file" and (tmp_path / "x/y").read_text() == "abc"
 
 
 def test_incremental_takes_each_file_once(spark, landing, tmp_path):

@@ -37,7 +37,8 @@ def stored(spark, tmp_path):
 @pytest.mark.parametrize("file_format", ["parquet", "orc"])
 @pytest.mark.parametrize("profile", ["compact", "default"])
 def test_reencode_round_trip(spark, stored, tmp_path, profile, file_format):
-    out = RE.reencode(spark, stored, str(tmp_path / "o"), profile, 2, file_format)
+    rows_in_group = 2 if file_format == "parquet" else None
+    out = RE.reencode(spark, stored, str(tmp_path / "o"), profile, rows_in_group, file_format)
     again = columnar.scan(spark, out, file_format=file_format)
     assert again.columns == spark.read.parquet(stored).columns
     assert [tuple(r) for r in again.orderBy("chrom", "start").collect()] == SAMPLE
@@ -53,6 +54,39 @@ def test_batch_size_bounds_row_groups(spark, tmp_path):
     assert out.endswith("n.compact")
 
 
+def test_copies_are_made_again_and_kept_apart(spark, tmp_path):
+    path = str(tmp_path / "n.parquet")
+    spark.range(5).write.parquet(path)
+    first = RE.reencode(spark, path)
+    assert RE.reencode(spark, path) == first
+    spark.range(9).write.mode("overwrite").parquet(path)
+    later = os.path.getmtime(f"{first}/_SUCCESS") + 10
+    os.utime(f"{path}/_SUCCESS", (later, later))
+    assert spark.read.parquet(RE.reencode(spark, path)).count() == 9
+    orc = RE.reencode(spark, path, file_format="orc")
+    assert orc.endswith("n.compact.orc") and spark.read.orc(orc).count() == 9
+    with pytest.raises(ValueError, match="batch_size"):
+        RE.reencode(spark, path, batch_size=3, file_format="orc")
+
+
+def test_a_single_file_that_exists_is_reused(spark, vcf_file, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "made"))
+    target = str(tmp_path / "x.parquet")
+    os.rename(glob.glob(f"{tmp_path}/made/*.parquet")[0], target)
+    assert K.vcf_to_parquet(spark, vcf_file, target)[0].count() == 3
+    assert os.path.isfile(target)
+
+
+def test_read_vcf_modes(spark, vcf_file, tmp_path):
+    out = str(tmp_path / "m.parquet")
+    K.read_vcf(spark, vcf_file, save_to=out)
+    with pytest.raises(FileExistsError):
+        K.read_vcf(spark, vcf_file, save_to=out, mode="fail")
+    made = os.path.getmtime(f"{out}/_SUCCESS")
+    assert K.read_vcf(spark, vcf_file, save_to=out, mode="reuse").count() == 4
+    assert os.path.getmtime(f"{out}/_SUCCESS") == made
+
+
 def test_missing_table(spark):
     with pytest.raises(FileNotFoundError):
         columnar.scan(spark, "/tmp/no-such-table.parquet")

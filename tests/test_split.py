@@ -105,6 +105,24 @@ def test_finished_output_is_reused(spark, table, tmp_path):
     assert fresh.count() == 2
 
 
+def test_a_second_table_without_sources_is_no_silent_loss(spark, table, tmp_path):
+    out = str(tmp_path / "out")
+    S.split_by_type(spark, table.drop("source"), out)
+    with pytest.raises(FileExistsError, match="source"):
+        S.split_by_type(spark, table.drop("source"), out)
+    again, _ = S.split_by_type(spark, table.drop("source"), out, overwrite=True)
+    assert again.count() == len(EXPLODED)
+
+
+def test_a_source_of_another_stamp_is_split_again(spark, table, tmp_path):
+    out = str(tmp_path / "out")
+    stamps = spark.createDataFrame([("02", "1"), ("x y", "1")], "source string, stamp string")
+    S.split_by_type(spark, table, out, stamps=stamps)
+    changed = spark.createDataFrame([("02", "2"), ("x y", "1")], "source string, stamp string")
+    got, _ = S.split_by_type(spark, table.filter("start = 2 or source = 'x y'"), out, stamps=changed)
+    assert rows(got, "start") == [(2,), (4,), (4,), (7,)]
+
+
 def test_empty_table(spark, table, tmp_path):
     # Nothing is written below the folder, so the schema cannot come from a file.
     out = str(tmp_path / "out")
@@ -147,5 +165,7 @@ def test_type_directory_places(spark, table, tmp_path):
     nested = columnar.scan_type(spark, str(tmp_path / "pub"), "insertion")
     assert rows(nested, "start", "tsa") == [(5, "insertion")]
     assert columnar.scan_type(spark, str(tmp_path / "plain"), "SNV").count() == 4
+    odd = columnar.scan_type(spark, str(tmp_path / "pub"), "a/b")
+    assert rows(odd, "start", "tsa", "source") == [(7, "a/b", "x y")]
     with pytest.raises(FileNotFoundError):
         columnar.type_directory(spark, str(tmp_path / "pub"), "nope")

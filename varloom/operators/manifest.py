@@ -18,21 +18,14 @@ def missing_by(expected: DataFrame, present: DataFrame, key: str = "name") -> Da
     return expected.join(present.select(key).distinct(), key, "left_anti")
 
 
-def one_per_name(files: DataFrame, name: str = "name") -> DataFrame:
-    """One file per name: the one with the greatest path, where folders repeat a name."""
-    return files.groupBy(name).agg(F.max(F.struct("path", "size")).alias("f")).select(
-        name, F.col("f.path").alias("path"), F.col("f.size").alias("size")
-    )
-
-
 def reconcile_sizes(expected: DataFrame, present: DataFrame) -> DataFrame:
     """Compare sizes of files matched by name.
 
     ``expected`` holds (name, size) with null for an unknown size; ``present`` holds
-    (name, path, size). Result: name, local_path, local_size, remote_size, diff, status
+    (name, path, size). Where folders repeat a name each file is compared. Result: name, local_path, local_size, remote_size, diff, status
     (``size_match``, ``size_differs``, ``size_unknown``).
     """
-    local = one_per_name(present).select(
+    local = present.select(
         "name", F.col("path").alias("local_path"), F.col("size").alias("local_size")
     )
     joined = expected.select("name", F.col("size").alias("remote_size")).join(local, "name")
@@ -52,21 +45,8 @@ def reconcile_sizes(expected: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def size_mismatches(expected: DataFrame, present: DataFrame) -> DataFrame:
-    """Files whose sizes differ, with a readable line per file."""
-    bad = reconcile_sizes(expected, present).filter(F.col("status") == "size_differs")
-    sign = F.when(F.col("diff") > 0, "+").otherwise("")
-    detail = F.concat(
-        F.col("local_path"),
-        F.lit(": local "),
-        P.human_bytes(F.col("local_size")),
-        F.lit(" vs remote "),
-        P.human_bytes(F.col("remote_size")),
-        F.lit(" ("),
-        sign,
-        F.col("diff").cast("string"),
-        F.lit(" B)"),
-    )
-    return bad.select("name", "local_size", "remote_size", "diff", detail.alias("detail"))
+    """Files whose sizes differ: name, local_path, local_size, remote_size, diff."""
+    return reconcile_sizes(expected, present).filter("status = 'size_differs'").drop("status")
 
 
 def conversion_counts(files: DataFrame) -> DataFrame:
@@ -129,10 +109,8 @@ def guard_extension(files: DataFrame, shown: int = 3) -> None:
     bad = not_publishable(files)
     count = bad.count()
     if count:
-        names = [r.name for r in bad.select("name").orderBy("name").limit(shown).collect()]
-        raise ValueError(
-            f"Only .parquet files can be published. Found {count} others. Examples: {names}"
-        )
+        some = [r.name for r in bad.select("name").orderBy("name").limit(shown).collect()]
+        raise ValueError(f"{count} files do not end in .parquet, such as {', '.join(some)}")
 
 
 def guard_targets(planned: DataFrame, shown: int = 3) -> None:

@@ -12,7 +12,7 @@ from varloom.functions import paths as P
 from varloom.operators.sinks import is_reusable, save
 from varloom.schema import SOURCE_COL
 from varloom.sources.columnar import scan, scan_split
-from varloom.sources.files import file_system, is_directory, qualified
+from varloom.sources.files import file_system, is_directory, modified_ms, qualified
 from varloom.sources.listing import collect_parquet, list_files
 
 FOOTER_SCHEMA = "path string, rows bigint, problem string"
@@ -30,13 +30,21 @@ def reencode(
     table: str,
     out: str | None = None,
     profile: str = "compact",
-    batch_size: int = 100_000,
+    batch_size: int | None = None,
     file_format: str = "parquet",
     overwrite: bool = False,
 ) -> str:
-    """Rewrite one table; an existing finished output is reused unless ``overwrite``."""
-    target = out or P.plain_path(table).removesuffix(".parquet") + ".compact"
-    if not overwrite and is_reusable(spark, target):
+    """Rewrite one table; a finished output not older than the table is reused.
+
+    The default output names the profile, and the format if it is not Parquet.
+    ``batch_size`` bounds the rows of a Parquet row group, by default at 100,000; ORC has
+    no such bound.
+    """
+    if file_format != "parquet" and batch_size is not None:
+        raise ValueError(f"batch_size needs Parquet, not {file_format}")
+    ending = f".{profile}" + ("" if file_format == "parquet" else f".{file_format}")
+    target = out or P.plain_path(table).removesuffix(".parquet") + ending
+    if not overwrite and is_reusable(spark, target, table):
         return target
     save(
         spark,
@@ -45,7 +53,7 @@ def reencode(
         mode="overwrite",
         profile=profile,
         file_format=file_format,
-        batch_size=batch_size,
+        batch_size=batch_size or (100_000 if file_format == "parquet" else None),
     )
     return target
 
@@ -66,7 +74,7 @@ def read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 problems.append(None)
             except (OSError, pa.ArrowException) as error:
                 rows.append(None)
-                problems.append(str(error)[:500])
+                problems.append(str(error))
         yield pa.RecordBatch.from_arrays(
             [pa.array(paths, pa.string()), pa.array(rows, pa.int64()), pa.array(problems, pa.string())],
             names=["path", "rows", "problem"],
@@ -110,7 +118,9 @@ def reencode_tree(
     if on_error == "fail":
         broken = broken.filter(F.lit(False))
     if not overwrite and is_reusable(spark, out):
-        return _tree_table(spark, out, partition_by), broken
+        made = F.timestamp_millis(F.lit(modified_ms(spark, f"{out}/_SUCCESS")))
+        if files.filter(F.col("modified") > made).isEmpty():
+            return _tree_table(spark, out, partition_by), broken
     if files.isEmpty():
         return None, broken
     # Without a broken file the folder itself is read; only a repair run needs the list.

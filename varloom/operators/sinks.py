@@ -5,21 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from varloom.functions.paths import plain_path, variant_stem_of
-from varloom.schema import SOURCE_COL
+from varloom.schema import FILE_COL, SOURCE_COL
+from varloom.session import new_folder
 from varloom.sources import vcf
-from varloom.sources.columnar import scan, scan_split
-from varloom.sources.files import exists, is_complete, modified_ms
+from varloom.sources.columnar import scan, scan_split, stored_schema
+from varloom.sources.files import delete_tree, exists, is_complete, is_directory, modified_ms
 
 # Encoding profiles: the codec, and whether rows are ordered for tighter encoding.
 PROFILES = {"default": "snappy", "compact": "zstd"}
 SAVE_MODES = ("fail", "reuse", "overwrite", "partitions")
-# Hidden folder of a table naming the sources written to it in full.
+# Hidden folder of a table naming what was written to it in full.
 DONE_FOLDER = "_sources"
+FILES_DONE = f"{SOURCE_COL} string, path string, size bigint, modified timestamp"
 
 
 def default_output(path: str, suffix: str = ".parquet") -> str:
@@ -37,12 +38,23 @@ def resolve_output(save_to: str | None, path: str, suffix: str = ".parquet") ->
 
 
 def is_reusable(spark: SparkSession, out: str, newer_than: str | None = None) -> bool:
-    """A finished output exists and, if asked, is not older than its input."""
-    if not is_complete(spark, out):
+    """A finished output exists and, if asked, is not older than its input.
+
+    A single file is finished; a folder is so once its committed-job marker exists.
+    """
+    single = exists(spark, out) and not is_directory(spark, out)
+    if not single and not is_complete(spark, out):
         return False
     if newer_than is None:
         return True
-    return modified_ms(spark, f"{out}/_SUCCESS") >= modified_ms(spark, newer_than)
+    made = modified_ms(spark, out if single else f"{out}/_SUCCESS")
+    return made >= changed_ms(spark, newer_than)
+
+
+def changed_ms(spark: SparkSession, path: str) -> int:
+    """When a file, or a folder's finished table, was written."""
+    marker = f"{path}/_SUCCESS"
+    return modified_ms(spark, marker if exists(spark, marker) else path)
 
 
 def save(
@@ -84,22 +96,56 @@ def save(
     return True
 
 
-def finished_sources(spark: SparkSession, out: str) -> list[str]:
-    """Sources that a table partitioned by source holds in full.
+def finished(spark: SparkSession, out: str, schema: str) -> DataFrame | None:
+    """What a table says was written to it in full; None while it says nothing.
 
-    A job that died while writing has not named its sources, so they are written again,
-    each replacing whatever partitions it left.
+    A job that died while writing has not recorded its input, so that is written again,
+    replacing whatever partitions it left.
     """
     if not exists(spark, f"{out}/{DONE_FOLDER}"):
-        return []
-    done = spark.read.schema(f"{SOURCE_COL} string").parquet(f"{out}/{DONE_FOLDER}")
-    return [r[0] for r in done.distinct().collect()]
+        return None
+    return spark.read.schema(schema).parquet(f"{out}/{DONE_FOLDER}")
+
+
+def mark_finished(done: DataFrame, out: str) -> None:
+    done.write.mode("append").parquet(f"{out}/{DONE_FOLDER}")
+
+
+def file_mark(path: Column) -> Column:
+    """Partition value of one input file, from its whole path."""
+    return F.concat(F.lit("f"), F.lower(F.hex(F.xxhash64(path))))
+
+
+def fixed(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table of its own, so that later steps see the same rows."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def not_finished(files: DataFrame, done: DataFrame | None) -> DataFrame:
+    """Files that were not converted as they are now: new ones, and those of other size or time."""
+    if done is None:
+        return files
+    same = (files["path"] == done["path"]) & (files["size"] == done["size"])
+    return files.join(done, same & files["modified"].eqNullSafe(done["modified"]), "left_anti")
 
-def mark_sources(sources: DataFrame, out: str) -> None:
-    """Record sources (one string column) as written in full."""
-    named = sources.toDF(SOURCE_COL).na.drop().distinct().coalesce(1)
-    named.write.mode("append").parquet(f"{out}/{DONE_FOLDER}")
+
+def forget_changed(spark: SparkSession, pending: DataFrame, done: DataFrame | None, *tables: str) -> None:
+    """Remove what earlier forms of changed files left in the tables, one file at a time.
+
+    A job that dies afterwards converts them anew, as their new form is not recorded.
+    """
+    if done is None:
+        return
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    known = done.select("path").distinct()
+    changed = pending.join(known, "path", "left_semi").select(
+        vcf.source_of(F.col("path")).alias("source"), file_mark(F.col("path")).alias("mark")
+    )
+    for row in changed.toLocalIterator():
+        for table in tables:
+            delete_tree(spark, f"{table}/{SOURCE_COL}={escape(row.source)}/{FILE_COL}={row.mark}")
 
 
 @dataclass(frozen=True)
@@ -125,53 +171,97 @@ def convert_vcf(
     range_bytes: int = vcf.RANGE_BYTES,
     newer_than: str | None = None,
     rejects_out: str | None = None,
+    agree_with: str | None = None,
 ) -> Converted:
     """Convert VCF files to one table in one pass over the text, without a shuffle.
 
-    With ``partition_by_source`` a later run converts only the files whose source is not
-    in the table yet. Unreadable lines are counted during the pass; only if there are any
-    are they written apart, to ``rejects_out`` or ``<out>_rejects``, by a second pass.
+    With ``partition_by_source`` a later run converts only files that the table does not
+    hold as they are now, by path, size and time; files of one stem in several folders are
+    kept apart. Unreadable lines are counted during the pass; only if there are any are
+    they written apart, to ``rejects_out`` or ``<out>_rejects``, by a second pass; those of
+    files not converted again stay. ``agree_with`` names a table whose columns the fields
+    must fit, as those of ``out`` must where rows are added to it.
     """
     if mode not in ("fail", "reuse", "overwrite"):
         raise ValueError(f"mode must be fail, reuse or overwrite, not {mode!r}")
     files = vcf.listed(spark, paths)
+    rejects_path = rejects_out or f"{out}_rejects"
     write_mode = "overwrite" if mode == "reuse" else mode
-    if mode == "reuse" and partition_by_source:
-        done = finished_sources(spark, out)
-        if done:
-            files = files.filter(~vcf.source_of(F.col("path")).isin(done))
+    if partition_by_source:
+        done = finished(spark, out, FILES_DONE) if mode == "reuse" else None
+        files = fixed(not_finished(files, done), "pending-files")
+        if done is not None:
             write_mode = "partitions"
             if files.isEmpty():
                 return Converted(scan_split(spark, out, [SOURCE_COL]), out, False, 0, None)
+            forget_changed(spark, files, done, out, rejects_path)
     elif mode == "reuse" and is_reusable(spark, out, newer_than):
         return Converted(scan(spark, out), out, False, 0, None)
 
     fields = vcf.wanted_fields(spark, files, info_fields)
+    if agree_with or write_mode == "partitions":
+        fields = agreed_fields(spark, agree_with or out, fields)
     lines = vcf.with_source(vcf.read_lines(spark, files, range_bytes))
+    keep = [SOURCE_COL]
+    if partition_by_source:
+        lines = lines.withColumn(FILE_COL, file_mark(F.col("path")))
+        keep.append(FILE_COL)
     bodies, parsed = Observation(), Observation()
     seen = F.count_if(vcf.is_content_line(F.col("value"))).alias("n")
-    table = vcf.parse_lines(lines.observe(bodies, seen), fields, [SOURCE_COL], malformed)
-    save(
-        spark,
-        table.observe(parsed, F.count(F.lit(1)).alias("n")),
-        out,
-        mode=write_mode,
-        partition_by=[SOURCE_COL] if partition_by_source else [],
-        profile=profile,
-    )
-    if partition_by_source:
-        mark_sources(files.select(vcf.source_of(F.col("path"))), out)
+    table = vcf.parse_lines(lines.observe(bodies, seen), fields, keep, malformed)
+    parts = keep if partition_by_source else []
+    counted = table.observe(parsed, F.count(F.lit(1)).alias("n"))
+    save(spark, counted, out, mode=write_mode, partition_by=parts, profile=profile)
     rejected = int(bodies.get["n"]) - int(parsed.get["n"])
-    rejects_path = None
     if rejected:
-        rejects_path = rejects_out or f"{out}_rejects"
-        save(spark, vcf.rejected_lines(lines), rejects_path, mode="overwrite")
+        kept_mode = write_mode if partition_by_source and exists(spark, rejects_path) else "overwrite"
+        save(spark, vcf.rejected_lines(lines), rejects_path, mode=kept_mode, partition_by=parts)
+    elif write_mode == "overwrite":
+        delete_tree(spark, rejects_path)
     if not partition_by_source:
         stored = scan(spark, out)
     else:
-        written = None if write_mode == "partitions" else table.schema
-        stored = scan_split(spark, out, [SOURCE_COL], written=written)
-    return Converted(stored, out, True, rejected, rejects_path)
+        written = vcf.source_of(F.col("path")).alias(SOURCE_COL)
+        mark_finished(files.select(written, "path", "size", "modified"), out)
+        made = table.drop(FILE_COL).schema
+        first = None if write_mode == "partitions" else made
+        stored = scan_split(spark, out, [SOURCE_COL], written=first, empty=made)
+    return Converted(stored, out, True, rejected, rejects_path if rejected else None)
+
+
+def agreed_fields(
+    spark: SparkSession, out: str, fields: Sequence[vcf.InfoField]
+) -> list[vcf.InfoField]:
+    """Field definitions that fit the columns a table has already.
+
+    A value becomes a list, or any type a text, where that is how the table stores the
+    field. A field that would need the stored column to change is an error, raised before
+    anything is written: convert the whole table again with ``mode="overwrite"``.
+    """
+    if not exists(spark, out):
+        return list(fields)
+    has = {f.name: f.dataType for f in (stored_schema(spark, out) or ())}
+    names = vcf.info_column_names(fields)
+    agreed, wrong = [], []
+    for field in fields:
+        stored = has.get(names[field.field])
+        fits = [
+            f
+            for f in (
+                field,
+                vcf.InfoField(field.field, ".", field.type),
+                vcf.InfoField(field.field, field.number, "String"),
+                vcf.InfoField(field.field, ".", "String"),
+            )
+            if stored is None or vcf.column_type(f) == stored
+        ]
+        if fits and not (field.type == "Flag" and fits[0] != field):
+            agreed.append(fits[0])
+        else:
+            wrong.append(f"{field.field} ({field.type}, {field.number}) against {stored.simpleString()}")
+    if wrong:
+        raise ValueError(f"fields that do not fit the stored table: {', '.join(wrong)}")
+    return agreed
 
 
 def read_vcf(
@@ -181,9 +271,13 @@ def read_vcf(
     save_to: str | None = "auto",
     save_compact: str | None = None,
     malformed: str = "reject",
+    mode: str = "overwrite",
 ) -> DataFrame:
     """Read one VCF (or Parquet) location, storing it on the way if wanted.
 
+    ``mode`` says what happens where an output exists: ``overwrite``, ``reuse`` it if it is
+    not older than the input, or ``fail``.
+
     A Parquet input is scanned as it is. ``save_to`` and ``save_compact`` follow the
     three-way policy; ``save_compact="auto"`` goes beside the saved table, or beside the
     input if none is saved. With ``save_to=None`` the result stays an unexecuted plan.
@@ -196,10 +290,10 @@ def read_vcf(
         table = vcf.scan_vcf(spark, path, info_fields, malformed)
     else:
         table = convert_vcf(
-            spark, path, out, info_fields, mode="overwrite", malformed=malformed
+            spark, path, out, info_fields, mode=mode, malformed=malformed, newer_than=path
         ).table
     if compact is not None:
-        save(spark, table, compact, mode="overwrite", profile="compact")
+        save(spark, table, compact, mode=mode, profile="compact", newer_than=path)
     return table
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions.alleles import allele_count, allele_rows
 from varloom.functions.paths import decoded_path
-from varloom.operators.sinks import finished_sources, mark_sources, save
+from varloom.operators.sinks import finished, fixed, mark_finished, save
 from varloom.schema import (
     ALLELE_SEP,
     EXPLODE_TYPES,
@@ -18,8 +18,11 @@ from varloom.schema import (
     TYPE_COL,
 )
 from varloom.sources.columnar import scan_split
+from varloom.sources.files import delete_tree
 
 LAYOUTS = ("rebalance", "range", "direct")
+# A source that was split, and what its input was like then.
+SOURCES_DONE = f"{SOURCE_COL} string, stamp string"
 
 
 def variant_types(variants: DataFrame, type_col: str = TYPE_COL) -> DataFrame:
@@ -107,47 +110,69 @@ def split_by_type(
     layout: str = "rebalance",
     overwrite: bool = False,
     profile: str = "default",
+    stamps: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write a table split by type and source; returns (table, splits manifest).
 
     The input is scanned once however many types it holds. Sources that the output holds
-    already are left as they are, unless ``overwrite``; new ones are added.
+    already are left as they are, unless ``overwrite``; new ones are added. ``stamps``
+    (source, stamp) says what each source's input is like: a source of another stamp is
+    split again in place of its old rows. A table without a source column has nothing to
+    tell it from an earlier one, so it is an error where the output holds something.
     """
     missing = [c for c in (type_col, list_col) if c not in variants.columns]
     if missing:
         raise ValueError(f"columns {missing} not in the table; have {variants.columns}")
     columns = (type_col, source_col)
+    done = None if overwrite else finished(spark, out, SOURCES_DONE)
     if source_col not in variants.columns:
+        if done is not None:
+            raise FileExistsError(f"{out} holds a table, and this one has no column {source_col!r}")
         variants = variants.withColumn(source_col, F.lit("all"))
-    source = F.col(source_col)
-    done = [] if overwrite else finished_sources(spark, out)
-    if done:
-        variants = variants.filter(~F.coalesce(source.isin(done), F.lit(False)))
-        new = [r[0] for r in variants.select(source).distinct().collect()]
-        if not new:
+    present = variants.select(F.col(source_col).alias(SOURCE_COL)).distinct()
+    if stamps is not None:
+        present = present.join(stamps.select(SOURCE_COL, "stamp"), SOURCE_COL, "left")
+    else:
+        present = present.withColumn("stamp", F.lit(None).cast("string"))
+    if done is not None:
+        same = (present[SOURCE_COL].eqNullSafe(done[SOURCE_COL])) & present["stamp"].eqNullSafe(done["stamp"])
+        present = present.join(done, same, "left_anti")
+    pending = fixed(present, "pending-sources")
+    if done is not None:
+        if pending.isEmpty():
             table = scan_split(spark, out, columns)
             return table, split_manifest(table, type_col, source_col)
+        wanted = pending.select(F.col(SOURCE_COL).alias("_source"))
+        variants = variants.join(wanted, F.col(source_col).eqNullSafe(F.col("_source")), "left_semi")
+        forget_sources(spark, out, pending, done, type_col, source_col)
     rows = explode_alleles(variants, explode_types, list_col, type_col, sep)
-    save(
-        spark,
-        laid_out(rows, layout, columns),
-        out,
-        mode="partitions" if done else "overwrite",
-        partition_by=columns,
-        profile=profile,
-    )
-    table = scan_split(spark, out, columns, written=None if done else rows.schema)
-    added = table.select(source).distinct()
-    mark_sources(added.filter(source.isin(new)) if done else added, out)
+    mode = "overwrite" if done is None else "partitions"
+    save(spark, laid_out(rows, layout, columns), out, mode=mode, partition_by=columns, profile=profile)
+    mark_finished(pending.select(SOURCE_COL, "stamp"), out)
+    table = scan_split(spark, out, columns, written=rows.schema if done is None else None)
     return table, split_manifest(table, type_col, source_col)
 
 
+def forget_sources(
+    spark: SparkSession, out: str, pending: DataFrame, done: DataFrame, type_col: str, source_col: str
+) -> None:
+    """Remove the folders of sources whose input has changed, one at a time."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    changed = pending.join(done.select(SOURCE_COL).distinct(), SOURCE_COL, "left_semi").select(SOURCE_COL)
+    if changed.isEmpty():
+        return
+    kinds = scan_split(spark, out, (type_col, source_col)).select(type_col, source_col).distinct()
+    for row in kinds.join(changed, kinds[source_col] == changed[SOURCE_COL], "left_semi").toLocalIterator():
+        kind = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else escape(row[0])
+        delete_tree(spark, f"{out}/{type_col}={kind}/{source_col}={escape(row[1])}")
+
+
 def split_manifest(
     table: DataFrame, type_col: str = TYPE_COL, source_col: str = SOURCE_COL
 ) -> DataFrame:
     """Files of a split table: variant_type, source, path, size, rows.
 
-    Reads no column: row counts come from the file footers, the rest from the listing.
+    Reads no column, but counts the rows of each file where the ``rows`` are asked for.
     """
     return (
         table.select(

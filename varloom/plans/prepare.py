@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.functions.paths import variant_stem
+from varloom.functions.paths import base_name, decoded_path, variant_stem
 from varloom.operators import manifest as M
-from varloom.operators.sinks import Converted, convert_listed
+from varloom.operators.sinks import FILES_DONE, Converted, convert_listed, file_mark, finished
 from varloom.operators.split import merge_catalogues, split_by_type
-from varloom.schema import EXPLODE_TYPES, SOURCE_COL, TYPE_COL
+from varloom.schema import EXPLODE_TYPES, FILE_COL, SOURCE_COL, TYPE_COL
 from varloom.sources.columnar import scan
-from varloom.sources.listing import list_files
+from varloom.sources.files import qualified
+from varloom.sources.listing import collect_parquet, list_files
 from varloom.sources.presets import Preset, preset
+from varloom.sources.vcf import source_of
 
 
 @dataclass(frozen=True)
@@ -28,6 +30,8 @@ class Prepared:
     counts: DataFrame
     split_table: DataFrame | None
     splits: DataFrame | None
+    status: DataFrame
+    sizes: DataFrame | None
 
 
 def prepare_source(
@@ -49,12 +53,13 @@ def prepare_source(
     them to ``<out>/split``. Run again, it takes only the files that are new.
 
     ``expected`` (name, size) is a listing the location must agree with: a missing name
-    or a differing known size is an error.
+    or a differing known size is an error; ``sizes`` of the result tells how each file
+    compared, also where the listing knows no size. ``status`` says what became of every
+    variant file; one that was not converted is an error.
     """
     places = location if isinstance(location, str) else list(location)
     files = list_files(spark, places, pattern)
-    if expected is not None:
-        check_expected(expected, files)
+    sizes = None if expected is None else check_expected(expected, files)
     mode = "overwrite" if overwrite else "reuse"
     converted, passed = convert_listed(
         spark,
@@ -65,6 +70,11 @@ def prepare_source(
         always_variant=always_variant,
         malformed=malformed,
     )
+    status = file_status(spark, files, converted, always_variant)
+    lost = status.filter("status = 'not converted'")
+    if not lost.isEmpty():
+        some = [r.path for r in lost.orderBy("path").limit(20).collect()]
+        raise FileNotFoundError(f"{lost.count()} files were not converted, such as {some}")
     split_table = splits = None
     if with_splitting and converted is not None:
         split_table, splits = split_by_type(
@@ -75,41 +85,80 @@ def prepare_source(
             type_col=type_col,
             layout=layout,
             overwrite=overwrite,
+            stamps=source_stamps(spark, converted.path),
         )
         M.fail_on_problems(split_problems(converted.table, splits))
-    return Prepared(
-        files, passed, converted, conversion_counts(files, converted, always_variant), split_table, splits
+    counts = conversion_counts(files, converted, always_variant)
+    return Prepared(files, passed, converted, counts, split_table, splits, status, sizes)
+
+
+def source_stamps(spark: SparkSession, converted: str) -> DataFrame:
+    """(source, stamp): a number over the latest path, size and time of each source's files."""
+    done = finished(spark, converted, FILES_DONE)
+    latest = done.groupBy(SOURCE_COL, "path").agg(F.max(F.struct("modified", "size")).alias("f"))
+    marks = latest.select(SOURCE_COL, F.xxhash64("path", "f.modified", "f.size").alias("h"))
+    return marks.groupBy(SOURCE_COL).agg(F.hex(F.bit_xor("h")).alias("stamp"))
+
+
+def file_status(
+    spark: SparkSession, files: DataFrame, converted: Converted | None, always_variant: bool = False
+) -> DataFrame:
+    """(path, size, source, status) of the variant files, from listings alone.
+
+    ``converted``, ``no rows`` for a file that holds no readable variant, or ``not
+    converted`` for one that the table does not name in its present form.
+    """
+    wanted = files.filter(F.lit(True) if always_variant else F.col("is_variant_file"))
+    named = wanted.select("path", "size", "modified", source_of(F.col("path")).alias(SOURCE_COL))
+    if converted is None:
+        return named.drop("modified").withColumn("status", F.lit("not converted"))
+    done = finished(spark, converted.path, FILES_DONE).select("path", "size", "modified").distinct()
+    done = done.withColumn("done", F.lit(True))
+    mark = F.regexp_extract("path", f"/{FILE_COL}=([^/]*)/", 1).alias("mark")
+    stored = collect_parquet(spark, converted.path).select(mark).distinct().withColumn("stored", F.lit(True))
+    same = (named["path"] == done["path"]) & (named["size"] == done["size"])
+    met = named.join(done, same & named["modified"].eqNullSafe(done["modified"]), "left").select(
+        named["path"], named["size"], SOURCE_COL, "done", file_mark(named["path"]).alias("mark")
+    )
+    status = (
+        F.when(F.col("done").isNull(), "not converted").when(F.col("stored").isNull(), "no rows").otherwise("converted")
     )
+    return met.join(stored, "mark", "left").select("path", "size", SOURCE_COL, status.alias("status"))
 
 
 def prepare_named(
     spark: SparkSession,
     name: str | Preset,
-    location: str | None,
+    location: str | Sequence[str],
     out: str,
     release: str | None = None,
     pattern: str | None = None,
     **options,
 ) -> Prepared:
-    """Prepare a named source. ``location`` is where its files lie for this cluster (any
-    Hadoop path); None takes the public address, which the cluster must be able to list."""
+    """Prepare a named source. ``location`` is where its files lie for this cluster, any path
+    that Hadoop can list; the public addresses of the presets are not of that kind."""
     chosen = name if isinstance(name, Preset) else preset(name, release)
     options.setdefault("type_col", chosen.type_col)
     options.setdefault("always_variant", chosen.always_variant)
     return prepare_source(
-        spark, location or chosen.location, out, pattern or chosen.pattern, **options
+        spark, location, out, pattern or chosen.pattern, **options
     )
 
 
-def check_expected(expected: DataFrame, files: DataFrame) -> None:
-    """Raise if an expected name is missing or its known size differs."""
-    missing = M.missing_by(expected, files)
-    lost = [r.name for r in missing.select("name").orderBy("name").limit(20).collect()]
-    if lost:
-        raise FileNotFoundError(f"no files for: {lost}")
-    wrong = M.size_mismatches(expected, files).orderBy("name").limit(20).collect()
-    if wrong:
-        raise ValueError("file size mismatches:\n" + "\n".join(r.detail for r in wrong))
+def check_expected(expected: DataFrame, files: DataFrame) -> DataFrame:
+    """How sizes compare (see ``reconcile_sizes``); a lost name or differing size is an error."""
+    lost = M.missing_by(expected, files).select("name")
+    count = lost.count()
+    if count:
+        some = [r.name for r in lost.orderBy("name").limit(20).collect()]
+        raise FileNotFoundError(f"no files for {count} names, such as {some}")
+    sizes = M.reconcile_sizes(expected, files)
+    wrong = sizes.filter("status = 'size_differs'")
+    count = wrong.count()
+    if count:
+        some = [f"{r.local_path} has {r.local_size} bytes, not {r.remote_size}" for r in wrong.orderBy("name").limit(20).collect()]
+        raise ValueError(f"{count} files differ in size:\n" + "\n".join(some))
+    return sizes
 
 
 def conversion_counts(
@@ -153,18 +202,17 @@ def split_existing(
         raise ValueError("no .parquet input")
     table = scan(spark, chosen)
     if SOURCE_COL not in table.columns:
-        table = table.withColumn(SOURCE_COL, stem_of_input(chosen))
+        table = table.withColumn(SOURCE_COL, stem_of_input(spark, chosen))
     return split_by_type(spark, table, out, explode_types, **options)
 
 
-def stem_of_input(paths: Sequence[str]):
-    """Stem of the given path a row was read from: the file, or the table folder."""
-    from varloom.functions.paths import base_name, decoded_path, plain_path
-
+def stem_of_input(spark: SparkSession, paths: Sequence[str]) -> Column:
+    """Stem of the given path a row was read from: the longest one that its file lies in."""
     uri = decoded_path(F.col("_metadata.file_path"))
-    folders = {plain_path(p) for p in paths}
-    parent = F.regexp_extract(uri, "^(.*)/[^/]*$", 1)
-    owner = F.when(parent.isin(*folders), parent).otherwise(uri)
+    owner = uri
+    for place in sorted({qualified(spark, p) for p in paths}, key=len):
+        inside = (uri == place) | F.startswith(uri, F.lit(place + "/"))
+        owner = F.when(inside, F.lit(place)).otherwise(owner)
     return variant_stem(base_name(owner))
 
 

@@ -2,7 +2,10 @@
 
 Files are copied by tasks into a staging folder of the target; only when every copy has
 succeeded are they moved into place. Both steps may be repeated safely, so a lost
-executor costs a retry and nothing else.
+executor costs a retry and nothing else. Moving many files is not one atomic step: readers
+may meet old and new files while it lasts. Files that are replaced are kept in a hidden
+folder ``.replaced-<id>`` of the target until every move is done, so a job that dies there
+loses none; publishing again completes it.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions import paths as P
 from varloom.operators import manifest as M
+from varloom.operators.sinks import fixed
 from varloom.session import new_folder
 from varloom.sources.files import delete_tree, exists, file_system, qualified
 from varloom.sources.listing import collect_parquet, list_files
@@ -54,7 +58,10 @@ def copy_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def move_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task body: move staged files into place; one already moved is left alone."""
+    """Task body: move staged files into place; one already moved is left alone.
+
+    A file that stands there is moved to ``kept_path`` first.
+    """
     from pyarrow.fs import FileType
 
     for batch in batches:
@@ -63,6 +70,10 @@ def move_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             (fs, src), (_, dst) = file_system(row["from_path"]), file_system(row["to_path"])
             if fs.get_file_info(src).type != FileType.NotFound:
                 fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+                kept = file_system(row["kept_path"])[1]
+                if fs.get_file_info(dst).type != FileType.NotFound and fs.get_file_info(kept).type == FileType.NotFound:
+                    fs.create_dir(kept.rsplit("/", 1)[0], recursive=True)
+                    fs.move(dst, kept)
                 _move(fs, src, dst)
             sizes.append(fs.get_file_info(dst).size)
         yield _copied(batch, sizes)
@@ -120,12 +131,13 @@ def publish(
     """
     if stale not in ("fail", "remove", "keep"):
         raise ValueError(f"stale must be fail, remove or keep, not {stale!r}")
-    chosen = collect_parquet(spark, source_dir) if files is None else files
+    # Listed once: every later step reads these tables.
+    chosen = fixed(collect_parquet(spark, source_dir) if files is None else files, "publish-files")
     M.guard_extension(chosen)
     source_dir, target = qualified(spark, source_dir), qualified(spark, target)
     planned = M.target_paths(chosen, prefix, source_dir)
     M.guard_targets(planned)
-    remote = remote_files(spark, target)
+    remote = fixed(remote_files(spark, target), "publish-remote")
     # Stored before anything is copied: the plan must not see its own effects.
     folder = new_folder(spark, "publish")
     M.publish_plan(planned, remote).write.parquet(f"{folder}/plan")
@@ -168,7 +180,8 @@ def _copy_planned(spark: SparkSession, plan: DataFrame, target: str, folder: str
     if not count:
         return 0
     tasks = min(count, MAX_COPY_TASKS)
-    staging = f"{target}/.staging-{uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    staging, replaced = f"{target}/.staging-{run}", f"{target}/.replaced-{run}"
     place = lambda base: F.concat(F.lit(base + "/"), F.col("path_in_repo"))
     staged = (
         todo.select(F.col("file").alias("from_path"), place(staging).alias("to_path"))
@@ -177,12 +190,15 @@ def _copy_planned(spark: SparkSession, plan: DataFrame, target: str, folder: str
     )
     staged.write.parquet(f"{folder}/staged")
     moved = (
-        todo.select(place(staging).alias("from_path"), place(target).alias("to_path"))
+        todo.select(
+            place(staging).alias("from_path"), place(target).alias("to_path"), place(replaced).alias("kept_path")
+        )
         .repartition(tasks)
         .mapInArrow(move_files, COPY_SCHEMA)
     )
     moved.write.parquet(f"{folder}/moved")
     delete_tree(spark, staging)
+    delete_tree(spark, replaced)
     return spark.read.parquet(f"{folder}/moved").count()
 
 

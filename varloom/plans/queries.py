@@ -119,7 +119,28 @@ def s3_projection(spark, sf):
 @query("s3_info_projection_one_pass", f"{V.WITH_VARIANTS} select id, tsa, db, score as sc from v")
 def s3_one_pass(spark, sf):
     wanted = [("TSA", "1", "String"), ("DB", "0", "Flag"), ("SC", "1", "Float")]
-    return vcf.parse_lines(_lines(spark, sf), wanted, one_pass=True).select("id", "tsa", "db", "sc")
+    return vcf.parse_lines(_lines(spark, sf), wanted).select("id", "tsa", "db", "sc")
+
+
+MANY_FIELDS = [("X" + str(n), "1", "Integer") for n in range(18)]
+
+
+@query(
+    "s3_many_fields",
+    f"{V.WITH_VARIANTS} select id, start as dp, -start as dp_other, start + 17 as x17, tsa from v",
+)
+def s3_many(spark, sf):
+    """Over sixteen fields, two of which differ only in case."""
+    extra = [F.concat(F.lit(f";X{n}="), (F.col("start") + n).cast("string")) for n in range(18)]
+    start = F.col("start").cast("string")
+    lines = columnar.spread(V.variants(spark, sf)).select(
+        F.concat_ws(
+            "\t", "chrom", start, "id", "ref", F.lit("A"), F.lit("."), F.lit("."),
+            F.concat(F.lit("DP="), start, F.lit(";Dp=-"), start, *extra, F.lit(";TSA="), "tsa"),
+        ).alias("value")
+    )
+    wanted = [("DP", "1", "Integer"), ("Dp", "1", "Integer"), *MANY_FIELDS, ("TSA", "1", "String")]
+    return vcf.parse_lines(lines, wanted).select("id", "dp", F.col("info_dp").alias("dp_other"), "x17", "tsa")
 
 
 @query("s4_parquet_scan", f"{V.WITH_VARIANTS} select chrom, start, id, ref, alt, tsa from v")
@@ -134,6 +155,15 @@ def s5_gzip(spark, sf):
     return vcf.scan_vcf(spark, folder).select(*PARSED_COLUMNS)
 
 
+@query("s5_block_gzip_scan", f"{V.WITH_VARIANTS} {PARSED}")
+def s5_blocks(spark, sf):
+    """Gzip members one behind another are cut into many ranges, each read on its own."""
+    folder = V.write_vcf(spark, _lines(spark, sf), new_folder(spark, "s5b"))
+    V.write_blocks(spark, f"{folder}/head", f"{folder}_bgz/head")
+    V.write_blocks(spark, f"{folder}/body", f"{folder}_bgz/body")
+    return vcf.scan_vcf(spark, f"{folder}_bgz", range_bytes=100_000).select(*PARSED_COLUMNS)
+
+
 @query(
     "s6_scan_columns_and_predicate",
     f"{V.WITH_VARIANTS} select chrom, start, ref, alt from v where qual >= 25 and tsa = 'SNV'",
@@ -174,6 +204,18 @@ def s9_directory(spark, sf):
     return columnar.scan_type(spark, out, "deletion").select("chrom", "start", "id", "ref", "alt")
 
 
+@query(
+    "s9_odd_type_value",
+    f"{V.WITH_VARIANTS} select chrom, start, id, ref, alt, 'a/b 02%' as tsa from v where tsa = 'deletion'",
+)
+def s9_odd(spark, sf):
+    odd = F.when(F.col("tsa") == "deletion", "a/b 02%").otherwise(F.col("tsa"))
+    rows = columnar.spread(V.variants(spark, sf).select(*SPLIT_COLUMNS)).withColumn("tsa", odd)
+    out = f"{new_folder(spark, 's9o')}/split"
+    S.split_by_type(spark, rows, out)
+    return columnar.scan_type(spark, out, "a/b 02%").select("chrom", "start", "id", "ref", "alt", "tsa")
+
+
 @query(
     "s10_variant_file_classifier",
     f"{V.WITH_FILES} select name, {VARIANT_TEST} as is_variant_file from expected",
@@ -292,6 +334,38 @@ def t9_catalogue(spark, sf):
     return merged.select("variant_type", "total_rows")
 
 
+@query(
+    "t9_files_and_rows",
+    f"""{V.WITH_VARIANTS}, x as ({EXPLODED})
+    select tsa as variant_type, count(*) as total_rows, true as has_files, true as sizes_agree
+    from x group by tsa""",
+)
+def t9_files(spark, sf):
+    """Files and bytes per type are those that a listing of the folder finds."""
+    _, splits, out = _split(spark, sf, "t9f")
+    summary = S.catalogue_summary(splits)
+    listed = M.with_variant_type(collect_parquet(spark, out), out).groupBy("variant_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")
+    )
+    agree = (F.col("n") == F.col("num_files")) & (F.col("bytes") == F.col("total_size"))
+    return summary.join(listed, "variant_type").select(
+        "variant_type", "total_rows", (F.col("num_files") > 0).alias("has_files"), agree.alias("sizes_agree")
+    )
+
+
+@query(
+    "t8_second_table_added",
+    f"{V.WITH_VARIANTS}, y as ({EXPLODED}) select * from y union all select chrom, start, id, ref, alt, tsa, "
+    "concat('more ', source) from y",
+)
+def t8_second(spark, sf):
+    """A second table with other sources is added to the first."""
+    _, _, out = _split(spark, sf, "t8s")
+    more = columnar.spread(V.variants(spark, sf).select(*SPLIT_COLUMNS))
+    more = more.withColumn("source", F.concat(F.lit("more "), "source"))
+    return S.split_by_type(spark, more, out)[0].select(*SPLIT_COLUMNS)
+
+
 @query(
     "t9_paths_by_type",
     f"{V.WITH_FILES} select lang as variant_type, path from expected "
@@ -368,6 +442,61 @@ def k5_batch(spark, sf):
     return done.table.select(*PARSED_COLUMNS)
 
 
+def _two_folders(spark: SparkSession, sf: str, label: str) -> tuple[str, DataFrame]:
+    """A folder that holds a file of one stem, and the lines for a second of that stem."""
+    folder = new_folder(spark, label)
+    lines = _lines(spark, sf)
+    V.write_named(spark, lines, f"{folder}/in/x", "chr1.vcf")
+    return folder, lines
+
+
+def _convert_below(spark: SparkSession, folder: str) -> K.Converted:
+    files = list_files(spark, f"{folder}/in", recursive=True)
+    return K.convert_listed(spark, files, f"{folder}/out", ["TSA", "DB", "SC"])[0]
+
+
+TWICE = f"""{V.WITH_VARIANTS}, y as (
+  select chrom, start, id, ref, alt, qual, tsa, db, score as sc, 'chr1' as source from v)
+select * from y union all select * from y"""
+TWICE_COLUMNS = ("chrom", "start", "id", "ref", "alt", "qual", "tsa", "db", "sc", "source")
+
+
+@query("k5_same_name_two_folders", TWICE)
+def k5_two_folders(spark, sf):
+    """A file of a known stem in another folder is converted too, on a later run."""
+    folder, lines = _two_folders(spark, sf, "k5n")
+    _convert_below(spark, folder)
+    V.write_named(spark, lines, f"{folder}/in/y", "chr1.vcf")
+    return _convert_below(spark, folder).table.select(*TWICE_COLUMNS)
+
+
+@query(
+    "k5_rejects_of_two_runs",
+    "select concat(l_orderkey, ' is no position') as value, count(*) * 2 as n from lineitem group by 1",
+)
+def k5_rejects(spark, sf):
+    """Unreadable lines of an earlier run stay where a later run has some too."""
+    folder = new_folder(spark, "k5r")
+    keys = columnar.spread(V.table(spark, sf, "lineitem").select("l_orderkey"))
+    bad = keys.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(" is no position")).alias("value"))
+    for name in ("x", "y"):
+        V.write_named(spark, bad, f"{folder}/in/{name}", "chr1.vcf")
+        done = _convert_below(spark, folder)
+    kept = spark.read.parquet(done.rejects_path)
+    return kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k6_rebuilt_when_input_changes", f"{V.WITH_VARIANTS} select chrom, start, id, tsa from v")
+def k6_rebuilt(spark, sf):
+    """A copy older than its table is made again."""
+    out = f"{new_folder(spark, 'k6r')}/variants.parquet"
+    rows = columnar.spread(V.variants(spark, sf).select("chrom", "start", "id", "tsa"))
+    rows.filter("start % 20 = 1").write.parquet(out)
+    RE.reencode(spark, out)
+    rows.write.mode("overwrite").parquet(out)
+    return columnar.scan(spark, RE.reencode(spark, out))
+
+
 @query("k6_compact_reencode", f"{V.WITH_VARIANTS} select chrom, start, id, ref, alt, tsa, score from v")
 def k6_reencode(spark, sf):
     out = RE.reencode(spark, _stored(spark, sf, "k6"), batch_size=100_000)
@@ -425,6 +554,28 @@ def k10_incremental(spark, sf):
     return run().select(*PARSED_COLUMNS)
 
 
+@query(
+    "k10_later_header_widens",
+    f"""{V.WITH_VARIANTS}
+    select start, cast(null as varchar) as af from v
+    union all select start, concat(start, ',', start) from v
+    union all select start, cast(start as varchar) from v""",
+)
+def k10_widens(spark, sf):
+    """Batches without a field, with a list of it, and with one value of it."""
+    folder = new_folder(spark, "k10w")
+    rows = columnar.spread(V.variants(spark, sf).select("chrom", "start"))
+    at = F.col("start").cast("string")
+    for name, number, info in (("a", None, F.lit(".")), ("b", "A", F.concat(F.lit("AF="), at, F.lit(","), at)), ("c", "1", F.concat(F.lit("AF="), at))):
+        dot = F.lit(".")
+        lines = rows.select(F.concat_ws("\t", "chrom", at, dot, F.lit("A"), F.lit("C"), dot, dot, info).alias("value"))
+        header = [f"##INFO=<ID=AF,Number={number},Type=Float>"] if number else []
+        V.write_named(spark, lines, f"{folder}/in/{name}", f"{name}.vcf", header)
+        table = incremental_convert(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state")
+    whole = F.transform("af", lambda x: x.cast("bigint").cast("string"))
+    return table.select("start", F.array_join(whole, ",").alias("af"))
+
+
 # ---------------------------------------------------------------- manifests
 
 
@@ -446,26 +597,33 @@ def m2_missing(spark, sf):
     return M.missing_by(V.expected(spark, sf), V.present(spark, sf), "path").select("path", "size")
 
 
-SHOW = (
-    "case when {0} < 1024 then printf('%d B', {0}) "
-    "when {0} < 1048576 then printf('%.1f KB', {0} / 1024.0) "
-    "else printf('%.1f MB', {0} / 1048576.0) end"
-)
-
-
 @query(
     "m3_size_reconciliation",
     f"""{V.WITH_FILES}
-    select e.name, p.size as local_size, e.size as remote_size, p.size - e.size as diff,
-           concat(p.path, ': local ', {SHOW.format("p.size")}, ' vs remote ',
-                  {SHOW.format("e.size")}, ' (', case when p.size > e.size then '+' else '' end,
-                  p.size - e.size, ' B)') as detail
+    select e.name, p.path as local_path, p.size as local_size, e.size as remote_size,
+           p.size - e.size as diff
     from expected e join present p on e.name = p.name where p.size <> e.size""",
 )
 def m3_mismatches(spark, sf):
     return M.size_mismatches(V.expected(spark, sf).select("name", "size"), V.present(spark, sf))
 
 
+@query(
+    "m3_repeated_names",
+    f"""{V.WITH_FILES}, everywhere as (
+      select name, path, size from present
+      union all select name, concat('again/', path), size + 7 from present)
+    select e.name, b.path as local_path, b.size as local_size, e.size as remote_size,
+           b.size - e.size as diff
+    from expected e join everywhere b on e.name = b.name where b.size <> e.size""",
+)
+def m3_repeated(spark, sf):
+    """Every file of a name is compared, whichever folder it lies in."""
+    here = V.present(spark, sf).select("name", "path", "size")
+    there = here.select("name", F.concat(F.lit("again/"), "path").alias("path"), (F.col("size") + 7).alias("size"))
+    return M.size_mismatches(V.expected(spark, sf).select("name", "size"), here.unionAll(there))
+
+
 @query(
     "m3_size_status",
     f"""{V.WITH_FILES}
@@ -572,6 +730,21 @@ def m10_publish(spark, sf):
     return columnar.scan_split(spark, f"{target}/data").select(*SPLIT_COLUMNS)
 
 
+@query(
+    "m10_publish_twice",
+    f"{V.WITH_VARIANTS}, y as ({EXPLODED}) select * from y where start % 20 = 1",
+)
+def m10_twice(spark, sf):
+    """A table written anew replaces what was published, and nothing hidden stays behind."""
+    _, _, out = _split(spark, sf, "m10t")
+    target = f"{new_folder(spark, 'm10t')}/hub"
+    publish.publish(spark, out, target)
+    rows = columnar.spread(V.variants(spark, sf).select(*SPLIT_COLUMNS)).filter("start % 20 = 1")
+    S.split_by_type(spark, rows, out, overwrite=True)
+    publish.publish(spark, out, target, stale="remove")
+    return columnar.scan_split(spark, f"{target}/data").select(*SPLIT_COLUMNS)
+
+
 STATS_SQL = """
 select count(*) as num_files, sum(size) / 1073741824.0 as total_size_gb,
        string_agg(distinct source, ',' order by source) as variant_types from expected
@@ -717,10 +890,31 @@ def q4_reduced_by_keys(spark, sf):
 )
 def q4_reduced_by_bitmap(spark, sf):
     sample = V.variants(spark, sf).select("chrom", "start", "ref", "alt", "id")
-    joined = AN.annotate(sample, V.clinical(spark, sf), ["clnsig"], reduction="bitmap")
+    # Keys above the bound are not broadcast: the cut by position remains.
+    joined = AN.annotate(sample, V.clinical(spark, sf), ["clnsig"], reduction="keys", max_bytes=1)
     return joined.select("id", "start", "alt", "clnsig")
 
 
+@query(
+    "q4_annotate_by_id_key",
+    f"{V.WITH_BOTH} select q.id, q.start, r.clnsig from v q "
+    "left join r on q.chrom = r.chrom and q.ref = r.ref and q.alt = r.alt and q.start = r.start",
+)
+def q4_by_other_keys(spark, sf):
+    """Position columns are not among the keys: one text names the variant."""
+    name = F.concat_ws(":", "chrom", F.col("start").cast("string"), "ref", "alt")
+    keyed = F.when(F.col("alt").isNotNull(), name).alias("key")
+    sample = V.variants(spark, sf).select(keyed, "id", "start")
+    known = V.clinical(spark, sf).select(keyed, "clnsig")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        joined = AN.annotate(sample, known, ["clnsig"], keys=["key"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    return joined.select("id", "start", "clnsig")
+
+
 @query(
     "q4_annotate_exploded_one_per_key",
     f"""{V.WITH_BOTH}, x as (
@@ -809,6 +1003,22 @@ def p1_prepare(spark, sf):
     return done.split_table.select("chrom", "start", "id", "ref", "alt", "tsa")
 
 
+@query(
+    "p1_status_per_file",
+    f"{V.WITH_VARIANTS} select distinct source, 'converted' as status from v "
+    "union all select 'empty', 'no rows'",
+)
+def p1_status(spark, sf):
+    folder = new_folder(spark, "p1s")
+    names = [r[0] for r in V.variants(spark, sf).select("source").distinct().orderBy("source").collect()]
+    for name in names:
+        chosen = columnar.spread(V.variants(spark, sf).filter(F.col("source") == name))
+        V.write_named(spark, V.vcf_lines(chosen), f"{folder}/in", f"{name}.vcf")
+    V.write_named(spark, spark.createDataFrame([("##nothing",)], "value string"), f"{folder}/in", "empty.vcf")
+    done = prepare.prepare_source(spark, f"{folder}/in", f"{folder}/out", info_fields=["TSA"])
+    return done.status.select("source", "status")
+
+
 @query("p2_prepare_named_source", PREPARED_SPLIT)
 def p2_named(spark, sf):
     folder = new_folder(spark, "p2")
@@ -831,6 +1041,20 @@ def p3_existing(spark, sf):
     return table.select("chrom", "start", "id", "ref", "alt", "tsa")
 
 
+@query(
+    "p3_partitioned_input",
+    f"""{V.WITH_VARIANTS}, x as ({EXPLODED})
+    select start, alt, tsa, 'variants' as source from x""",
+)
+def p3_partitioned(spark, sf):
+    """A table in folders by chromosome is one source, named after the table."""
+    out = f"{new_folder(spark, 'p3p')}/variants.parquet"
+    rows = columnar.spread(V.variants(spark, sf).drop("source"))
+    rows.write.partitionBy("chrom").parquet(out)
+    table, _ = prepare.split_existing(spark, [out + "/"], f"{out}_split")
+    return table.select("start", "alt", "tsa", "source")
+
+
 @query(
     "p4_publish_data_set",
     f"""{V.WITH_VARIANTS}, x as ({EXPLODED})

@@ -6,9 +6,18 @@ and its oracle. Every view covers its whole base tables.
 
 from __future__ import annotations
 
+import struct
+import zlib
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.session import new_folder
+from varloom.sources.files import file_system
+from varloom.sources.listing import list_files
+
 # Variants (from lineitem): keys repeat, alleles are lists, single or null.
 VARIANTS = """
 select concat('chr', l_orderkey % 22 + 1) as chrom, l_orderkey * 10 + 1 as start,
@@ -57,8 +66,6 @@ WITH_VARIANTS = f"with v as ({VARIANTS})"
 WITH_BOTH = f"with v as ({VARIANTS}), r as ({CLINICAL})"
 WITH_FILES = f"with expected as ({EXPECTED}), present as ({PRESENT})"
 
-BASE_TABLES = ("lineitem", "orders", "documents", "labels", "pages", "part", "supplier", "nation")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -144,3 +151,49 @@ def write_vcf(spark: SparkSession, lines: DataFrame, folder: str, compression: s
     vcf_header(spark).coalesce(1).write.option("compression", compression).text(f"{folder}/head")
     lines.write.option("compression", compression).text(f"{folder}/body")
     return folder
+
+
+def write_named(
+    spark: SparkSession, lines: DataFrame, folder: str, name: str, header: Sequence[str] | None = None
+) -> str:
+    """Write lines as one file of a given name, which takes one task, the header before them."""
+    top = vcf_header(spark)
+    if header is not None:
+        top = spark.createDataFrame([(h,) for h in ["##fileformat=VCFv4.2", *header]], "value string")
+    place = new_folder(spark, "named")
+    both = top.withColumn("part", F.lit(0)).unionAll(lines.select("value").withColumn("part", F.lit(1)))
+    both.repartition(1).sortWithinPartitions("part").select("value").write.text(place)
+    whole = [r.path for r in list_files(spark, place).collect()]
+    (fs, source), (_, target) = file_system(whole[0]), file_system(f"{folder}/{name}")
+    fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+    fs.move(source, target)
+    return f"{folder}/{name}"
+
+
+def write_blocks(spark: SparkSession, source: str, folder: str) -> str:
+    """Copies of text files as block-compressed ``.vcf.bgz`` files, one task each."""
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                (fs, inner), target = file_system(path), f"{folder}/{path.rsplit('/', 1)[1]}.vcf.bgz"
+                fs.create_dir(file_system(folder)[1], recursive=True)
+                with fs.open_input_stream(inner, compression=None) as text, fs.open_output_stream(
+                    file_system(target)[1], compression=None
+                ) as out:
+                    while piece := text.read(60_000):
+                        out.write(block_of(piece))
+                    out.write(block_of(b""))
+            yield batch
+
+    files = list_files(spark, source).select("path")
+    files.repartition(8).mapInArrow(copy, "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def block_of(piece: bytes) -> bytes:
+    """One block of the block-compressed form: a gzip member that tells its own size."""
+    raw = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = raw.compress(piece) + raw.flush()
+    head = b"\x1f\x8b\x08\x04" + b"\0" * 4 + b"\0\xff" + struct.pack("<HBBHH", 6, 66, 67, 2, len(body) + 25)
+    return head + body + struct.pack("<II", zlib.crc32(piece), len(piece))

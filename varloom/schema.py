@@ -8,11 +8,9 @@ KEY_COLUMNS = ("chrom", "start", "ref", "alt")
 TYPE_COL = "tsa"
 LIST_COL = "alt"
 SOURCE_COL = "source"
+# Partition of a converted table that tells files of equal stem apart; not shown to readers.
+FILE_COL = "source_file"
 ALLELE_SEP = "|"
 EXPLODE_TYPES = ("SNV",)
 
 HEADER_SCHEMA = "path string, line_no bigint, value string"
-DEFINITION_COLUMNS = ("field", "number", "type")
-FILES_COLUMNS = ("path", "name", "size", "modified", "is_variant_file")
-SPLITS_COLUMNS = ("variant_type", "source", "path", "size", "rows")
-PLAN_COLUMNS = ("file", "path_in_repo", "uploaded", "reason", "local_size", "remote_size")

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varloom.functions.paths import partition_value
-from varloom.schema import SOURCE_COL, TYPE_COL
+from varloom.schema import FILE_COL, SOURCE_COL, TYPE_COL
 from varloom.sources.files import exists
 
 
@@ -45,25 +44,35 @@ def scan_split(
     partition_columns: Sequence[str] = (TYPE_COL, SOURCE_COL),
     file_format: str = "parquet",
     written: T.StructType | None = None,
+    empty: T.StructType | None = None,
 ) -> DataFrame:
     """Scan a split layout with its directory columns read back as text.
 
     Left to inference a source named ``02`` would come back as the number 2. A caller
-    that has just written the table passes its schema as ``written``: this saves a
-    listing, and an empty table has no file to learn it from.
+    that has just written the table passes its schema as ``written``, which saves a
+    listing; ``empty`` is the schema of a table without a file to learn it from.
     """
     if not exists(spark, root):
         raise FileNotFoundError(f"no table at {root}")
-    reader = spark.read.format(file_format)
-    if written is None:
-        # Sources added later may have brought further columns.
-        reader = reader.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-        stored = reader.load(root).schema
-    else:
-        stored = written
+    stored = written or stored_schema(spark, root, file_format) or empty
+    if stored is None:
+        raise FileNotFoundError(f"no file to learn the columns of {root} from")
     named = [T.StructField(c, T.StringType()) for c in partition_columns]
-    body = [f for f in stored.fields if f.name not in partition_columns]
-    return spark.read.format(file_format).schema(T.StructType(body + named)).load(root)
+    body = [f for f in stored.fields if f.name not in (*partition_columns, FILE_COL)]
+    table = spark.read.format(file_format).schema(T.StructType(body + named)).load(root)
+    return table.drop(FILE_COL)
+
+
+def stored_schema(spark: SparkSession, root: str, file_format: str = "parquet") -> T.StructType | None:
+    """Columns of all files below a folder together; None where there is no file."""
+    # Sources added later may have brought further columns.
+    reader = spark.read.format(file_format).option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    try:
+        return reader.load(root).schema
+    except AnalysisException as error:
+        if "UNABLE_TO_INFER_SCHEMA" in str(error):
+            return None
+        raise
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -81,8 +90,9 @@ def type_directory(
     spark: SparkSession, root: str, variant_type: str, type_col: str = TYPE_COL
 ) -> str:
     """Folder of one variant type: under the root, or under ``data`` below it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for place in (root, f"{root}/data"):
-        for name in (f"{type_col}={variant_type}", variant_type):
+        for name in (f"{type_col}={escape(variant_type)}", variant_type):
             if exists(spark, f"{place}/{name}"):
                 return f"{place}/{name}"
     raise FileNotFoundError(f"no folder for type {variant_type!r} under {root}")
@@ -91,11 +101,13 @@ def type_directory(
 def scan_type(
     spark: SparkSession, root: str, variant_type: str, type_col: str = TYPE_COL
 ) -> DataFrame:
-    """Rows of one variant type of a table laid out by type."""
+    """Rows of one variant type of a table laid out by type; folder values stay text."""
     folder = type_directory(spark, root, variant_type, type_col)
-    base = folder.rsplit("/", 1)[0]
-    df = spark.read.option("basePath", base).parquet(folder)
-    return df if type_col in df.columns else df.withColumn(type_col, F.lit(variant_type))
+    base, name = folder.rsplit("/", 1)
+    if not name.startswith(f"{type_col}="):
+        return spark.read.parquet(folder).withColumn(type_col, F.lit(variant_type))
+    below = [c for c in (SOURCE_COL,) if c in spark.read.parquet(folder).columns]
+    return scan_split(spark, base, (type_col, *below)).filter(F.col(type_col) == variant_type)
 
 
 def read_one(
@@ -108,8 +120,3 @@ def read_one(
     """One type, optionally one source, of a split table: only those folders are read."""
     chosen = table.filter(F.col(type_col) == variant_type)
     return chosen if source is None else chosen.filter(F.col(source_col) == source)
-
-
-def partition_of(path: Column, column: str) -> Column:
-    """Value of a ``column=value`` folder inside a path, unescaped."""
-    return partition_value(F.nullif(F.regexp_extract(path, f"/({column}=[^/]*)/", 1), F.lit("")))

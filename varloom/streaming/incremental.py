@@ -66,6 +66,7 @@ def incremental_convert(
             mode="overwrite",
             malformed=malformed,
             rejects_out=f"{out}_rejects/batch={number}",
+            agree_with=out,
         )
 
     query = (
