@@ -187,12 +187,16 @@ def s7_listing(spark, sf):
 
 @query(
     "s8_collect_parquet_files",
-    f"{V.WITH_VARIANTS} select tsa as variant_type from v group by tsa",
+    f"{V.WITH_VARIANTS} select tsa as variant_type, true as as_the_scan_says from v group by tsa",
 )
 def s8_collect(spark, sf):
-    _, _, out = _split(spark, sf, "s8")
-    files = collect_parquet(spark, out)
-    return M.with_variant_type(files, out).select("variant_type").distinct()
+    """The listing has the files that a scan of the table reads, with their sizes."""
+    _, manifest, out = _split(spark, sf, "s8")
+    files = M.with_variant_type(collect_parquet(spark, out), out)
+    scanned = manifest.select("path", F.col("size").alias("scanned"))
+    met = files.join(scanned, "path", "full")
+    same = F.coalesce(F.col("size") == F.col("scanned"), F.lit(False))
+    return met.groupBy("variant_type").agg(F.bool_and(same).alias("as_the_scan_says"))
 
 
 @query(
@@ -1072,12 +1076,24 @@ def p4_publish(spark, sf):
 
 @query(
     "p5_refresh_statistics",
-    f"{V.WITH_VARIANTS} select string_agg(distinct tsa, ',' order by tsa) as variant_types from v",
+    f"{V.WITH_VARIANTS} select string_agg(distinct tsa, ',' order by tsa) as variant_types, "
+    "true as files_agree, true as sizes_agree from v",
 )
 def p5_stats(spark, sf):
-    _, _, out = _split(spark, sf, "p5")
-    return publish.refresh_stats(spark, out).select(
-        F.concat_ws(",", "variant_types").alias("variant_types")
+    """Counts and sizes are those of the files that a scan of the table reads."""
+    _, manifest, out = _split(spark, sf, "p5")
+    stats = publish.refresh_stats(spark, out).select(
+        F.concat_ws(",", "variant_types").alias("variant_types"), "num_files", "total_size_gb"
+    )
+    scanned = manifest.agg(
+        F.lit(None).cast("string").alias("variant_types"),
+        F.count(F.lit(1)).alias("num_files"),
+        (F.sum("size") / F.lit(float(1024**3))).alias("total_size_gb"),
+    )
+    return stats.unionByName(scanned).agg(
+        F.max("variant_types").alias("variant_types"),
+        (F.min("num_files") == F.max("num_files")).alias("files_agree"),
+        (F.max("total_size_gb") - F.min("total_size_gb") < 1e-12).alias("sizes_agree"),
     )
 
 

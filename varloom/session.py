@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -27,16 +28,22 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+@functools.cache
+def local_folder() -> str:
+    return tempfile.mkdtemp(prefix="varloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting may fall back to a temporary folder.
+    Only a local session without that setting falls back to a temporary folder, one for
+    the whole process.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="varloom-")
+        return local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
