@@ -23,6 +23,8 @@ EMBEDDING = 8
 DOCS_PER_LANG = 400
 WINDOWS_PER_DOC = 3
 EPOCHS = 10
+#: Languages learned, the most frequent ones.
+LANGUAGES = 200
 UNDETERMINED = "und"
 
 
@@ -145,19 +147,20 @@ def has_letter(text: str) -> bool:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Network | None:
     """A network from rows of known language; None if there is none.
 
-    At most ``DOCS_PER_LANG`` documents of each language are learned from, those of smallest
+    At most ``DOCS_PER_LANG`` documents of each of ``LANGUAGES`` languages are learned from, those of smallest
     hash, with ``WINDOWS_PER_DOC`` windows each; only these windows reach the driver.
     """
     rows = labelled.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
     rows = rows.filter("l is not null and t is not null and t != ''")
-    counts = {r.l: r["count"] for r in rows.groupBy("l").count().collect()}
+    frequent = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(LANGUAGES)
+    counts = {r.l: r["count"] for r in frequent.collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(v) for l, n in counts.items() for v in (l, 2.0 * DOCS_PER_LANG / n + 20.0 / n)])
     cut = per_batch(_cutter, "array<binary>")
     few = (
         rows.withColumn("u", unit_hash("k", 11))
-        .filter(F.col("u") < share[F.col("l")])
+        .filter(F.col("u") < F.coalesce(share[F.col("l")], F.lit(-1.0)))
         .withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("u", "k", F.xxhash64("t"))))
         .filter(F.col("r") <= DOCS_PER_LANG)
         .select("l", "r", F.posexplode(cut("t")).alias("p", "w"))

@@ -2,13 +2,15 @@
 
 A routing tree over a bounded sample cuts the fingerprints into shards by their Hamming
 distance to vantage points. Each fingerprint has one home shard, and visits every shard
-its search ball reaches across a boundary. A shard is searched with a tree of its own.
-Linked fingerprints are then joined into components with tables of edges.
+of lower number that its search ball reaches across a boundary: of two close fingerprints
+in different shards, the one in the higher shard meets the other. A shard is searched with
+a tree of its own. Linked fingerprints are then joined into components with tables of edges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -183,6 +185,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
             for shard, rows in reaching(root, values, everything, 0):
                 home[rows] = shard
             for shard, rows in reaching(root, values, everything, radius):
+                rows = rows[home[rows] >= shard]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(rows), shard, np.int32)),
@@ -192,7 +195,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
                     ["shard", "bits", "lives"],
                 )
 
-    def search(key, shard: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple[Any, ...], shard: pd.DataFrame) -> pd.DataFrame:
         lives = shard["lives"].to_numpy()
         values = shard["bits"].to_numpy().view(np.uint64)
         bits, low = shard_groups(np.sort(values[lives]), np.sort(values[~lives]), radius)
