@@ -131,8 +131,7 @@ def publish(
     """
     if stale not in ("fail", "remove", "keep"):
         raise ValueError(f"stale must be fail, remove or keep, not {stale!r}")
-    # Listed once: every later step reads these tables.
-    chosen = fixed(collect_parquet(spark, source_dir) if files is None else files, "publish-files")
+    chosen = collect_parquet(spark, source_dir) if files is None else fixed(files, "publish-files")
     M.guard_extension(chosen)
     source_dir, target = qualified(spark, source_dir), qualified(spark, target)
     planned = M.target_paths(chosen, prefix, source_dir)

@@ -1,5 +1,7 @@
 """File listings as DataFrames ("manifests"); no file body is ever read.
 
+A listing is stored once below the shared folder and read from there by whatever uses it.
+
 Spark skips names starting with ``_`` or ``.`` and files of zero bytes, so neither
 appears in a manifest.
 """
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions import paths as P
+from varloom.session import new_folder
 from varloom.sources.files import qualified
 
 
@@ -37,8 +40,15 @@ def list_files(
     recursive: bool = False,
     glob: str | None = None,
 ) -> DataFrame:
-    """Manifest of a folder, file or glob: path, name, size, modified, is_variant_file."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    """Manifest of a folder, file or glob: path, name, size, modified, is_variant_file.
+
+    Spark packs files into tasks by their length, though none is opened here. A session of
+    its own lifts the bound on a task's bytes, so that a listing takes as many tasks as
+    there are cores, not one per large file.
+    """
+    lister = spark.newSession()
+    lister.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    reader = lister.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     places = [location] if isinstance(location, str) else list(location)
@@ -60,7 +70,10 @@ def list_files(
         is_place_itself = reduce(and_, [b.isNull() for b in below])
         files = files.filter(reduce(or_, direct, is_place_itself))
     files = matching(files, pattern)
-    return with_names(files).select("path", "name", "size", "modified", "is_variant_file")
+    named = with_names(files).select("path", "name", "size", "modified", "is_variant_file")
+    stored = new_folder(spark, "listing")
+    named.write.parquet(stored)
+    return spark.read.schema(named.schema).parquet(stored)
 
 
 def collect_parquet(spark: SparkSession, source_dir: str, recursive: bool = True) -> DataFrame:

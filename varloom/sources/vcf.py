@@ -27,6 +27,8 @@ from varloom.sources.listing import list_files
 BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]++\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]"
 RANGE_BYTES = 64 << 20
 MIN_RANGE_BYTES = 4 << 20
+# Beyond this many ranges they grow instead: each is a task, dealt out by one.
+MAX_RANGES = 50_000
 BLOCK_SUFFIXES = (".bgz", ".bgzf")
 
 Paths = DataFrame | str | Sequence[str]
@@ -113,7 +115,7 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
       files, one task each.
     * ``.bgz`` files, and gzip files beyond 4 MB that turn out to be block compressed, are
       cut into ranges that tasks decode independently. Ranges are ``range_bytes`` long,
-      or shorter where that would leave cores idle.
+      shorter where that would leave cores idle, longer where there would be too many.
     """
     # A listing of paths is what any multi-file scan keeps on the driver.
     files = {r.path: r.size for r in listed(spark, paths).select("path", "size").collect()}
@@ -161,7 +163,7 @@ def _range_lines(
 ) -> DataFrame:
     total = sum(size for _, size, blocked in files if blocked)
     share = max(MIN_RANGE_BYTES, total // spark.sparkContext.defaultParallelism)
-    step = min(range_bytes, share)
+    step = max(min(range_bytes, share), total // MAX_RANGES)
     count = sum(-(-size // step) if blocked else 1 for _, size, blocked in files)
     starts = F.when(
         F.col("blocked"),
@@ -177,7 +179,8 @@ def _range_lines(
             ).otherwise(F.col("size")),
         )
     )
-    return ranges.repartition(max(count, 1)).mapInArrow(blocks.read_ranges, blocks.LINES_SCHEMA)
+    # From one partition rows are dealt in turn, so that every task gets one range.
+    return ranges.coalesce(1).repartition(max(count, 1)).mapInArrow(blocks.read_ranges, blocks.LINES_SCHEMA)
 
 
 def listed(spark: SparkSession, paths: Paths) -> DataFrame:
