@@ -7,12 +7,14 @@ threshold fits items of any length. Retrieved items are confirmed by their word
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -267,12 +269,13 @@ def _leaks_of_pass(df: DataFrame, rows: list, text: str, made: StructType):
             vocabulary.setdefault(t.term, len(vocabulary))
         classes.setdefault(length_class(r.length), []).append((r.id, r.text, [(t.term, t.w / r["self"]) for t in r.terms]))
     indexes = [build(rs, vocabulary, span) for span, rs in sorted(classes.items())]
-    shared = df.sparkSession.sparkContext.broadcast((indexes, vocabulary))
+    # As bytes that carry their classes along: executors need no copy of this package.
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps((indexes, vocabulary)))
     kind = pa.list_(to_arrow_type(made))
     names = made.names
 
     def start():
-        indexes, vocabulary = shared.value
+        indexes, vocabulary = pickle.loads(shared.value)
 
         def work(batch: pa.Array) -> pa.Array:
             out = search(indexes, vocabulary, texts_of(batch))
