@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from varloom.llm.common import per_batch, texts_of
 
-#: Distinct words whose ids a task remembers: those used since as many others were met.
+#: Distinct words whose ids a worker remembers: those used since as many others were met.
 REMEMBERED = 150_000
 #: What stands before the first token.
 START = (1 << 20) - 1
@@ -157,11 +157,22 @@ def read_file(path: str) -> str:
         return f.read()
 
 
+def codec_of(holder: dict) -> Codec:
+    """The codec of a broadcast file.
+
+    A Python worker keeps the value of a broadcast from task to task, so the tables are
+    built, and words remembered, once per worker and not once per task.
+    """
+    if "codec" not in holder:
+        holder["codec"] = Codec(holder["content"])
+    return holder["codec"]
+
+
 class Tokenizer:
     """Column functions of one tokenizer file; tasks get the file with the job."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.content = spark.sparkContext.broadcast(read_file(path))
+        self.shared = spark.sparkContext.broadcast({"content": read_file(path)})
 
     def encode(self, text: str) -> Column:
         """array<int> of ids; null texts count as empty and have none."""
@@ -169,10 +180,10 @@ class Tokenizer:
 
     def decode(self, ids: str) -> Column:
         """The text of an array of ids; null counts as no ids."""
-        content = self.content
+        shared = self.shared
 
         def start():
-            codec = Codec(content.value)
+            codec = codec_of(shared.value)
             return lambda batch: pa.array([codec.decode(x.values.to_pylist() if x.is_valid else []) for x in batch])
 
         return per_batch(start, "string")(F.col(ids))
@@ -188,10 +199,10 @@ class Tokenizer:
         return self._column(text, both, "ids array<int>, decoded string")
 
     def _column(self, text: str, work_on, returns: str) -> Column:
-        content = self.content
+        shared = self.shared
 
         def start():
-            codec = Codec(content.value)
+            codec = codec_of(shared.value)
             return lambda batch: work_on(codec, texts_of(batch))
 
         return per_batch(start, returns)(F.col(text))
