@@ -32,6 +32,13 @@ def test_random_texts_encode_as_the_library_does(codec, library):
         assert codec.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
+def test_both_ways_of_cutting_agree():
+    for c in [*range(0x250), 0x2028, 0x3000]:
+        text = f"a{chr(c)}b {chr(c)}{chr(c)}1{chr(c)} 's{chr(c)}  {chr(c)}"
+        if not bpe.NOT_LATIN.search(text):
+            assert bpe.LATIN_WORDS.findall(text) == bpe.WORDS.findall(text), c
+
+
 def test_runs_without_a_break_stay_linear_and_right(codec, library):
     for text in ["a" * 5000, "aab" * 2000, "=" * 5000, " " * 5000, "😀" * 2000]:
         assert codec.encode(text) == library.encode(text, add_special_tokens=False).ids

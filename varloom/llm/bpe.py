@@ -10,6 +10,7 @@ from the end gives the ids.
 from __future__ import annotations
 
 import json
+import re
 from itertools import chain
 
 import ahocorasick
@@ -28,6 +29,13 @@ START = (1 << 20) - 1
 
 # How the byte-level vocabularies cut texts into words before the merges.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# The same cuts where a text has no characters but ASCII and the Latin letters up to U+024F:
+# classes that can be listed are found twice as fast.
+LATIN, SPACE = "A-Za-zÀ-ÖØ-öø-ɏ", r"\t\n\x0b\x0c\r "
+LATIN_WORDS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN}]+| ?[0-9]+| ?[^{SPACE}{LATIN}0-9]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+)
+NOT_LATIN = re.compile(rf"[^\x00-\x7f{LATIN}]")
 
 
 def byte_letters() -> list[str]:
@@ -119,7 +127,8 @@ class Codec:
 
     def words_to_ids(self, text: str) -> list[tuple[int, ...]]:
         known, out = self.known, []
-        for word in WORDS.findall(text):
+        words = WORDS if NOT_LATIN.search(text) else LATIN_WORDS
+        for word in words.findall(text):
             ids = known.get(word)
             if ids is None:
                 if len(known) >= REMEMBERED:
