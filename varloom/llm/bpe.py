@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from varloom.llm.common import per_batch, texts_of
 
 #: Distinct words whose ids a worker remembers: those used since as many others were met.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: What stands before the first token.
 START = (1 << 20) - 1
 
