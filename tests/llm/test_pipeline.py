@@ -1,17 +1,25 @@
 import re
 
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from test_pii import plain_spans
 from test_simhash import slow_components, slow_fingerprint
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from varloom.llm import decontam, queries
+from varloom.llm import decontam, langid, queries
 
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def short_training(monkeypatch):
+    """The stages' effects do not hang on a well-trained network."""
+    monkeypatch.setattr(langid, "EPOCHS", 2)
+    monkeypatch.setattr(langid, "DOCS_PER_LANG", 60)
+
+
 def test_stages_follow_each_other_as_brute_force_says(spark, tmp_path):
     """Each stage against a plain version of it on what its predecessor kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
