@@ -67,3 +67,24 @@ def test_counts_beyond_numpys_limit():
     assert abs(np.mean(got) - 750) < 3 and 9 < np.std(got) < 19
     row = sharding.split(rng, np.array([good, 0, bad]), 500)
     assert row.sum() == 500 and row[1] == 0
+
+
+def test_texts_themselves_are_dealt(spark, monkeypatch):
+    dealt, shuffle = [], sharding.shuffle
+    monkeypatch.setattr(sharding, "shuffle", lambda df, *a, **k: dealt.append(shuffle(df, *a, **k)) or dealt[-1])
+    digests = {(r.doc_id, r.text_crc32, r.shard, r.slot) for r in queries.op8_sharding(spark, SF).collect()}
+    assert dealt[0].columns == ["doc_id", "text", "shard", "slot"]
+    assert {(r.doc_id, zlib.crc32((r.text or "").encode()), r.shard, r.slot) for r in dealt[0].collect()} == digests
+
+
+def test_targets_are_bounded_by_bytes(spark):
+    of_shard = sharding.sizes(1000, 4)
+    assert sharding.targets_of(of_shard, 10_000, 1000, 10_000).tolist() == [1] * 4
+    assert sharding.targets_of(of_shard, 10_000_000, 1000, 500_000).tolist() == [5] * 4
+    assert sharding.targets_of(of_shard, 10_000, 100, 10_000).tolist() == [3] * 4
+    assert sharding.targets_of(sharding.sizes(2, 4), 10_000_000, 1000, 10).tolist() == [1] * 4
+    df = spark.range(0, 200, 1, 4).selectExpr("id AS n", "repeat('x', 1000) AS text")
+    found = sharding.shuffle(df, 2, target_bytes=20_000)
+    rows = found.collect()
+    whole(rows, 2)
+    assert sorted(r.n for r in rows) == list(range(200)) and all(len(r.text) == 1000 for r in rows)

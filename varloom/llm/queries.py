@@ -72,12 +72,11 @@ def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = sharding.shuffle(table(spark, folder, "documents").select("doc_id", "text"), 40)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = table(spark, folder, "documents").select(
-        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
-    )
+    size, crc = (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
     law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
-    return sharding.shuffle(rows, 40).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+    return dealt.select("doc_id", size, crc, law, "shard", "slot", grown)
 
 
 @query

@@ -25,8 +25,10 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from varloom.llm.common import stored
 
-#: Rows a target holds at most; a shard is as many targets as it needs, side by side.
+#: Rows a target holds at most, and bytes at the mean size of a row; a shard is as many
+#: targets as it needs, side by side.
 TARGET_ROWS = 200_000
+TARGET_BYTES = 64 << 20
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -89,7 +91,16 @@ def sizes(rows: int, parts: int) -> np.ndarray:
     return np.full(parts, rows // parts, np.int64) + (np.arange(parts) < rows % parts)
 
 
-def shuffle(df: DataFrame, shards: int, seed: int = 0, target_rows: int = TARGET_ROWS) -> DataFrame:
+def targets_of(of_shard: np.ndarray, size: int, target_rows: int, target_bytes: int) -> np.ndarray:
+    """Targets that each shard needs, where all rows together have ``size`` bytes."""
+    rows = max(1, int(of_shard.sum()))
+    by_bytes = [-(-n * size // (rows * target_bytes)) for n in of_shard.tolist()]
+    return np.clip(np.maximum(-(-of_shard // target_rows), by_bytes), 1, np.maximum(1, of_shard))
+
+
+def shuffle(
+    df: DataFrame, shards: int, seed: int = 0, target_rows: int = TARGET_ROWS, target_bytes: int = TARGET_BYTES
+) -> DataFrame:
     """``df`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 within its shard).
 
     Shard sizes are at most one row apart. The order is uniformly random over all rows,
@@ -105,17 +116,20 @@ def shuffle(df: DataFrame, shards: int, seed: int = 0, target_rows: int = TARGET
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
-            places = [pa.array(np.full(len(b), part)), pa.array(np.arange(at, at + len(b)))]
+            each = -(-b.nbytes // max(1, len(b)))
+            places = [np.full(len(b), part), np.arange(at, at + len(b)), np.full(len(b), each)]
             at += len(b)
-            yield pa.RecordBatch.from_arrays([*b.columns, *places], [*b.schema.names, "_part_", "_at_"])
+            names = [*b.schema.names, "_part_", "_at_", "_bytes_"]
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, places)], names)
 
-    numbered = stored(kept.mapInArrow(number, extended("_part_", "_at_")), "numbered")
-    held = {r["_part_"]: r["n"] for r in numbered.groupBy("_part_").agg(F.count("*").alias("n")).collect()}
+    numbered = stored(kept.mapInArrow(number, extended("_part_", "_at_", "_bytes_")), "numbered")
+    totals = numbered.groupBy("_part_").agg(F.count("*").alias("n"), F.sum("_bytes_").alias("size")).collect()
+    held, size = {r["_part_"]: r["n"] for r in totals}, sum(r["size"] for r in totals)
     parts = sorted(held)
     before = np.concatenate([[0], np.cumsum([held[p] for p in parts])]).astype(np.int64)
     rows = int(before[-1])
     of_shard = sizes(rows, shards)
-    blocks = np.maximum(1, -(-of_shard // target_rows))
+    blocks = targets_of(of_shard, size, target_rows, target_bytes)
     targets = np.concatenate([sizes(n, k) for n, k in zip(of_shard.tolist(), blocks.tolist(), strict=True)])
     shard_of = np.repeat(np.arange(shards), blocks)
     first = np.concatenate([[0], np.cumsum(targets)])[:-1]
@@ -145,5 +159,5 @@ def shuffle(df: DataFrame, shards: int, seed: int = 0, target_rows: int = TARGET
             "slot", pa.array(slot)
         )
 
-    dealt = numbered.mapInArrow(deal, extended("_part_", "_at_", "_to_"))
+    dealt = numbered.drop("_bytes_").mapInArrow(deal, extended("_part_", "_at_", "_to_"))
     return dealt.groupBy("_to_").applyInArrow(settle, extended("shard", "slot"))
