@@ -97,3 +97,22 @@ def test_overlapping_spans_are_masked_once(spark):
         [("x 12345 y", [("card", 2, 5), ("phone", 4, 7)])], "text string, s array<struct<kind:string,begin:long,stop:long>>"
     )
     assert df.select(pii.redact("text", "s").alias("m")).first().m == "x [CARD] y"
+
+
+@pytest.mark.parametrize("gap", [" or ", " some words between them" * 6])
+@pytest.mark.parametrize("detected_at", [0, 150, 300])
+def test_hundreds_of_repeats_are_all_added(field, gap, detected_at):
+    parts = ["017 555 7713"] * 300
+    parts.insert(detected_at, "+1 (017) 555-7713")
+    text = f"{gap} call ".join(parts)
+    found = pii.all_spans(field, text, pii.base_spans(text))
+    assert len([x for x in found if x[0] == 3]) == 301
+    other = f"{gap} call ".join(["018 555 7714"] * 300)
+    assert pii.all_spans(field, other, pii.base_spans(other)) == []
+
+
+def test_ties_of_repeats_are_few_and_short():
+    text = " and then ".join(["+1 (017) 555-7713", *["017 555 7713", "(017) 555 7713"] * 100])
+    g = pii.graph_of(text, pii.base_spans(text))
+    ties = g.edges[g.edges[:, 2] > 0]
+    assert len(ties) <= 2 * len(g.spans) and set(ties[ties[:, 0] == 0, 1].tolist()) == set(range(1, 201))

@@ -27,7 +27,9 @@ TRAIN_DOCS = 10_000
 TRAIN_NODES = 200
 #: Marginal probability from which an open node becomes a span.
 SURE = 0.9
-ROUNDS = 15
+#: Message passing ends when no message changes by more than this, or after so many rounds.
+SETTLED = 1e-4
+ROUNDS = 200
 #: Characters between two nodes that still count as neighbours.
 NEAR = 80
 
@@ -93,8 +95,9 @@ class Graph:
     """Nodes of one document in order: spans, fixed labels (-1: open), features, and edges.
 
     ``edges`` holds (first node, second node, kind of edge): 0 neighbours, 1 equal content,
-    2 similar content. Each node has one edge to the next of its content, so a value that
-    repeats n times adds n - 1 edges.
+    2 similar content. Each node is tied to the first detected node of its content, or to the
+    first node of all and to the first detected one of similar content, so evidence is one
+    edge away however often a value repeats, and n repeats add at most 2 n edges.
     """
 
     spans: list[tuple[int, int]]
@@ -135,20 +138,31 @@ def graph_of(text: str, base: list[tuple[int, int, int]]) -> Graph | None:
     if not free:
         return None
     nodes = sorted([(s, e, k + 1) for s, e, k in merged] + [(s, e, -1) for s, e in free])
-    edges, equal, similar, rows = [], {}, {}, []
-    for i, (s, e, _) in enumerate(nodes):
+    edges, rows, keys, tails = [], [], [], []
+    for s, e, _ in nodes:
         chunk = text[s:e]
         digits = digits_of(chunk)
         rows.append(features_of(chunk, digits))
-        key = chunk.lower() if "@" in chunk else digits
-        tail = chunk.lower().split("@")[0] if "@" in chunk else digits[-7:]
-        if i and s - nodes[i - 1][1] <= NEAR:
+        keys.append(chunk.lower() if "@" in chunk else digits)
+        tails.append(chunk.lower().split("@")[0] if "@" in chunk else digits[-7:])
+    equal, similar = {}, {}
+    known_equal, known_similar = {}, {}
+    for i, (_, _, label) in enumerate(nodes):
+        for hubs, name in ((equal, keys[i]), (similar, tails[i])):
+            hubs.setdefault(name, i)
+        if label >= 0:
+            known_equal.setdefault(keys[i], i)
+            known_similar.setdefault(tails[i], i)
+    for i, (key, tail) in enumerate(zip(keys, tails, strict=True)):
+        if i and nodes[i][0] - nodes[i - 1][1] <= NEAR:
             edges.append((i - 1, i, 0))
-        if key in equal:
-            edges.append((equal[key], i, 1))
-        elif tail in similar:
-            edges.append((similar[tail], i, 2))
-        equal[key] = similar[tail] = i
+        hub = known_equal.get(key, equal[key])
+        if hub != i:
+            edges.append((min(hub, i), max(hub, i), 1))
+        if key not in known_equal or hub == i:
+            other = known_similar.get(tail, similar[tail])
+            if other != i and keys[other] != key and (tail in known_similar or hub == i):
+                edges.append((min(other, i), max(other, i), 2))
     return Graph(
         [(s, e) for s, e, _ in nodes],
         np.array([k for _, _, k in nodes]),
@@ -169,7 +183,7 @@ def marginals(field: Field, g: Graph) -> np.ndarray:
     """Label probabilities per node by damped sum-product message passing; fixed nodes are clamped."""
     local = g.features @ field.unary
     fixed = g.label >= 0
-    local[fixed] = -50.0
+    local[fixed] = -1e6  # beyond what the messages of any number of repeats add up to
     local[np.flatnonzero(fixed), g.label[fixed]] = 0.0
     if not len(g.edges):
         e = np.exp(local - local.max(1, keepdims=True))
@@ -185,7 +199,10 @@ def marginals(field: Field, g: Graph) -> np.ndarray:
         sent = (belief[source] - message[opposite])[:, :, None] + potential
         top = sent.max(1)
         fresh = top + np.log(np.exp(sent - top[:, None]).sum(1))
-        message = 0.5 * message + 0.5 * (fresh - fresh.max(1, keepdims=True))
+        change = 0.5 * (fresh - fresh.max(1, keepdims=True) - message)
+        message = message + change
+        if np.abs(change).max() < SETTLED:
+            break
     belief = local.copy()
     np.add.at(belief, target, message)
     e = np.exp(belief - belief.max(1, keepdims=True))
@@ -222,6 +239,8 @@ def fit(graphs: list[Graph], seed: int = 5) -> Field:
         for a, b, kind in g.edges.tolist():
             near[a, kind, label[b]] += 1
             near[b, kind, label[a]] += 1
+        # A value that repeats often has one node with many edges; two of a sort tell as much.
+        near = np.minimum(near, 2)
         x.append(g.features)
         around.append(near.reshape(len(label), -1))
         y.append(label)
