@@ -59,3 +59,14 @@ def test_held_out_rows_are_never_learned_from(spark):
     share = df.filter("h").count()
     assert 150 < share < 250
     assert spark.createDataFrame([(None,)], "doc_id long").select(held_out().alias("h")).first().h
+
+
+def test_every_language_is_learned_from_a_bounded_sample(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(langid, "DOCS_IN_ALL", 500)
+    monkeypatch.setattr(langid, "train", lambda x, y, languages: given.append((x, y)) or languages)
+    rows = [(i, f"text {i} of words", f"l{i % 230:03}") for i in range(1150)]
+    names = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert names == [f"l{i:03}" for i in range(230)]
+    x, y = given[0]
+    assert len(x) == 460 and np.bincount(y).tolist() == [2] * 230

@@ -13,18 +13,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import fields, per_batch, texts_of, unit_hash
+from varloom.llm.common import fields, per_batch, stored, texts_of, unit_hash
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-#: Documents learned from per language, and windows from each.
+#: Documents learned from per language and in all languages, and windows from each.
 DOCS_PER_LANG = 400
+DOCS_IN_ALL = 80_000
 WINDOWS_PER_DOC = 3
 EPOCHS = 10
-#: Languages learned, the most frequent ones.
-LANGUAGES = 200
 UNDETERMINED = "und"
 
 
@@ -147,28 +146,31 @@ def has_letter(text: str) -> bool:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Network | None:
     """A network from rows of known language; None if there is none.
 
-    At most ``DOCS_PER_LANG`` documents of each of ``LANGUAGES`` languages are learned from, those of smallest
-    hash, with ``WINDOWS_PER_DOC`` windows each; only these windows reach the driver.
+    Every language is learned, from at most ``DOCS_PER_LANG`` documents or an equal share of
+    ``DOCS_IN_ALL``, at least one: those of smallest hash, with ``WINDOWS_PER_DOC`` windows
+    each; only these windows reach the driver.
     """
     rows = labelled.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
     rows = rows.filter("l is not null and t is not null and t != ''")
-    frequent = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(LANGUAGES)
-    counts = {r.l: r["count"] for r in frequent.collect()}
-    if not counts:
+    counts = stored(rows.groupBy("l").agg(F.count("*").alias("n")), "languages")
+    languages = sorted(r.l for r in counts.select("l").collect())
+    if not languages:
         return None
-    share = F.create_map(*[F.lit(v) for l, n in counts.items() for v in (l, 2.0 * DOCS_PER_LANG / n + 20.0 / n)])
+    most = max(1, min(DOCS_PER_LANG, DOCS_IN_ALL // len(languages)))
+    share = counts.select("l", ((2.0 * most + 20.0) / F.col("n")).alias("share"))
     cut = per_batch(_cutter, "array<binary>")
     few = (
         rows.withColumn("u", unit_hash("k", 11))
-        .filter(F.col("u") < F.coalesce(share[F.col("l")], F.lit(-1.0)))
+        .join(F.broadcast(share), "l")
+        .filter(F.col("u") < F.col("share"))
         .withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("u", "k", F.xxhash64("t"))))
-        .filter(F.col("r") <= DOCS_PER_LANG)
+        .filter(F.col("r") <= most)
         .select("l", "r", F.posexplode(cut("t")).alias("p", "w"))
     )
     got = sorted(few.collect(), key=lambda r: (r.r, r.l, r.p))
-    languages = sorted(counts)
+    number = {l: i for i, l in enumerate(languages)}
     x = np.array([np.frombuffer(r.w, np.uint8) for r in got])
-    y = np.array([languages.index(r.l) for r in got])
+    y = np.array([number[r.l] for r in got])
     return train(x, y, languages)
 
 
