@@ -96,3 +96,44 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert simhash.one_of_each(repeated).count() == 1
     empty = df.limit(0)
     assert simhash.near_duplicates(empty).collect() == [] and simhash.one_of_each(empty).collect() == []
+
+
+def five_words(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def slow_copies(texts):
+    """{key: smallest key reachable} by pairs of Jaccard similarity of at least 0.8."""
+    sets = {k: five_words(t) for k, t in texts.items()}
+    low = {k: k for k in texts}
+    keys = sorted(texts)
+    for a in keys:
+        for b in keys:
+            if a < b and low[a] != low[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((low[a], low[b]))
+                low = {k: x if v == y else v for k, v in low.items()}
+    return low
+
+
+@pytest.mark.parametrize("first_round", [8, 1])
+def test_near_copies_equal_brute_force_jaccard(spark, monkeypatch, first_round):
+    monkeypatch.setattr(simhash, "FIRST_ROUND", first_round)
+    rng = np.random.default_rng(4)
+    texts = {}
+    for group in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 3000, 120)]
+        for copy in range(6 if group else 40):
+            changed = list(words)
+            for at in rng.choice(120, copy % 6, replace=False):
+                changed[at] = f"c{rng.integers(1000)}"
+            texts[group * 100 + copy] = " ".join(changed)
+    texts |= {9000: "One two", 9001: "one  TWO", 9002: "one", 9003: texts[0], 9004: texts[100] + " end"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    want = slow_copies(texts)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    assert got == want
+    prints = slow_components({k: slow_fingerprint(t) for k, t in texts.items()})
+    assert any(prints[k] == k != want[k] for k in texts)
+    kept = simhash.one_of_each(df, groups=simhash.similar_groups)
+    assert {r.doc_id for r in kept.collect()} == set(want.values())

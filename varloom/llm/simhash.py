@@ -9,19 +9,28 @@ a tree of its own. Linked fingerprints are then joined into components with tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.llm.common import fields, per_batch, stored
 
 SEED = 42
+#: Near copies by ``similar_groups``: words of a shingle, and the least Jaccard similarity as a fraction.
+COPY_WORDS = 5
+COPY_SHARE = (4, 5)
+#: MinHash bands and rows of each: a pair at exactly 0.8 shares no band once in 8 million.
+BANDS, BAND_ROWS = 40, 5
+#: Members of a bucket that are compared with all its others in the first round.
+FIRST_ROUND = 8
+#: Nodes that are sent to all executors at most.
+BROADCAST_NODES = 2_000_000
 WORDS = 3
 RADIUS = 2
 #: Fingerprints the routing tree is drawn from, and the number a shard should hold.
@@ -254,13 +263,115 @@ def near_duplicates(
     )
 
 
-def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def shingle_set(text: str, words: int = COPY_WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the shingles, words as in ``fingerprint``; empty without a word."""
+    tokens = text.encode().translate(LOWER).split()
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    if len(tokens) < words:
+        grams = [b" ".join(tokens)]
+    else:
+        grams = map(b" ".join, zip(*[tokens[i:] for i in range(words)], strict=False))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(g, SEED) for g in grams], np.uint64))
+
+
+def node_of(shingles: np.ndarray) -> int:
+    """A number for the set itself: texts of equal sets are one node."""
+    return xxhash.xxh64_intdigest(shingles.tobytes(), SEED)
+
+
+def bands_of(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """One hash per band of the smallest values under ``BAND_ROWS`` orders each."""
+    least = np.full(len(factors), np.iinfo(np.uint64).max)
+    for at in range(0, len(shingles), 1024):
+        some = shingles[at : at + 1024, None] * factors[None, :]
+        np.minimum(least, (some ^ (some >> np.uint64(29))).min(0), out=least)
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64)
+
+
+def _with_node(text: str, extra: str):
+    """struct(node, bands) or struct(node, shingles) of a text; null counts as empty."""
+
+    def start():
+        factors = np.random.default_rng(9).integers(1, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+        def work(batch: pa.Array) -> pa.Array:
+            nodes, lists = [], []
+            for value in batch:
+                shingles = shingle_set(value.as_py() or "")
+                nodes.append(node_of(shingles))
+                lists.append((bands_of(shingles, factors) if extra == "bands" else shingles).view(np.int64))
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.int64), *lists])
+            return pa.StructArray.from_arrays(
+                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                ["node", extra],
+            )
+
+        return work
+
+    return per_batch(start, f"node long, {extra} array<long>")(F.col(text))
+
+
+def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, component_id) for every row of ``df``, as ``near_duplicates`` but by what the texts share.
+
+    Texts are linked if the Jaccard similarity of their five-word shingles is at least 0.8.
+    Candidates share a MinHash band; each is then compared by its whole sets. In buckets of
+    many members some are compared with all others, twice as many each round, until those
+    left are connected or every pair has been compared; pairs already connected are spared.
+    """
+    rows = df.select(F.col(key), _with_node(text, "bands").alias("_n_"))
+    rows = stored(rows.select(key, "_n_.*"), "shingled")
+    buckets = rows.select("node", F.explode("bands").alias("band")).distinct()
+    buckets = stored(buckets, "buckets")
+    shared = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    place = F.row_number().over(Window.partitionBy("band").orderBy("node"))
+    buckets = stored(buckets.join(shared, "band").withColumn("place", place), "shared-buckets")
+    candidates = stored(buckets.select("node").distinct(), "candidates")
+    nodes = F.broadcast(candidates) if candidates.count() <= BROADCAST_NODES else candidates
+    sets = df.select(_with_node(text, "shingles").alias("_n_")).select("_n_.*").join(nodes, "node")
+    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingle-sets")
+    low = df.sparkSession.createDataFrame([], "bits long, low long")
+    done, now = 0, FIRST_ROUND
+    while True:
+        labelled = buckets.filter(F.col("n") > done).join(low.withColumnRenamed("bits", "node"), "node", "left")
+        labelled = labelled.select("band", "place", "node", F.coalesce("low", "node").alias("low"))
+        some = labelled.filter((F.col("place") > done) & (F.col("place") <= now))
+        pairs = some.alias("x").join(labelled.alias("y"), "band").filter("y.place > x.place AND y.low != x.low")
+        pairs = stored(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
+        if not pairs.isEmpty():
+            x = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+            y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+            both = F.size(F.array_intersect("of_a", "of_b"))
+            part, whole = COPY_SHARE
+            near = both * (part + whole) >= (F.size("of_a") + F.size("of_b")) * part
+            found = pairs.join(x, "b").join(y, "a").filter(near).select(
+                F.greatest("a", "b").alias("bits"), F.least("a", "b").alias("low")
+            )
+            low = components(low.union(found))
+        if buckets.filter(F.col("n") > now).isEmpty():
+            break
+        done, now = now, 2 * now
+    first = rows.groupBy("node").agg(F.min(key).alias("first"))
+    named = first.join(low.withColumnRenamed("bits", "node"), "node", "left")
+    named = stored(named.select("node", "first", F.coalesce("low", "node").alias("low")), "named")
+    ids = named.groupBy("low").agg(F.min("first").alias("component_id"))
+    return rows.join(named.join(ids, "low").select("node", "component_id"), "node", "left").select(key, "component_id")
+
+
+def one_of_each(
+    df: DataFrame, key: str = "doc_id", text: str = "text", groups: Callable[..., DataFrame] = near_duplicates
+) -> DataFrame:
     """Rows of ``df`` without near-duplicates: the row of smallest key of each component stays.
 
+    ``groups`` finds the components: ``near_duplicates`` or ``similar_groups``.
     Repeated rows of that key count as copies: one of them stays. Components of rows without
     a key keep all their rows, since nothing tells which is which.
     """
-    found = stored(near_duplicates(df, key, text), "components")
+    found = stored(groups(df, key, text).select(key, "component_id"), "components")
     kept = found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("_n_"))
     kept = stored(kept, "kept")
     nulls = df.filter(F.col(key).isNull())
