@@ -40,15 +40,36 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds == 0
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores behind it as keep it apart from ``df``'s columns."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def text_id(text: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a whole text, as two numbers."""
+    return F.xxhash64(text), F.xxhash64(F.lit(11), text)
+
+
 def unit_hash(name: str, seed: int) -> Column:
     """A fixed number in [0, 1) for each value, for bounded samples that repeat exactly."""
     return F.pmod(F.xxhash64(F.col(name), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
 
 
 def slices(batch: pa.Array) -> Iterator[pa.Array]:
-    """A batch in pieces of about ``SLICE_BYTES`` of text, or of ``SLICE_ROWS`` rows."""
-    if pa.types.is_string(batch.type) or pa.types.is_binary(batch.type):
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    """A batch in pieces of about ``SLICE_BYTES`` of text, or of ``SLICE_ROWS`` rows.
+
+    Of structs, the first field is the text.
+    """
+    sized = batch.field(0) if pa.types.is_struct(batch.type) else batch
+    if pa.types.is_string(sized.type) or pa.types.is_binary(sized.type):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(sized), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     else:
         ends = np.zeros(len(batch), np.int64)
     at = 0

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import bpe, decontam, langid, licenses, pii, quality, sharding, simhash, topk, warc
+from varloom.llm import (
+    bpe,
+    collocations,
+    decontam,
+    langid,
+    licenses,
+    linededup,
+    periodic,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    topk,
+    warc,
+)
 from varloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +109,30 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, net).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = linededup.drop_repeated(table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query
+def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """Of documents whose identifier's crc32 is divisible by 10, the words repeat from some place on."""
+    docs = table(spark, folder, "documents").select("doc_id", periodic.looped("doc_id", "text").alias("text"))
+    found = periodic.with_runs(docs)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    lines = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 ORACLE["op6_licenses"] = licenses.oracle()
 
 # SHA-1 in base32: ten hex digits are eight letters of five bits.
@@ -124,3 +162,54 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+ORACLE["op11_line_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (f.key IS NOT NULL) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f ON k.key = f.key GROUP BY r
+"""
+
+ORACLE["op12_collocations"] = """
+WITH p AS (
+  SELECT lang, row_number() OVER () AS piece, words FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS t
+    FROM documents) CROSS JOIN LATERAL (SELECT [w FOR w IN string_split_regex(t, '[ \t]+') IF w <> ''] AS words)),
+g AS (
+  SELECT lang, words[s:s + m - 1] AS w, count(*) AS f
+  FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS s FROM p) CROSS JOIN range(1, 6) AS x(m)
+  WHERE s + m - 1 <= len(words) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE len(w) = 1 GROUP BY lang),
+h AS (SELECT * FROM g WHERE f >= 100),
+c AS (SELECT * FROM h WHERE len(w) >= 2),
+cuts AS (
+  SELECT c.lang, c.w, c.f AS a, k, x.f AS l, y.f AS r, n.n,
+    (1000::HUGEINT * c.f * n.n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM c) AS c
+  JOIN h AS x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN h AS y ON y.lang = c.lang AND y.w = c.w[k + 1:]
+  JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, w[s:s + m - 1] AS w, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, len(w))) AS s FROM c) CROSS JOIN range(2, 5) AS x(m)
+  WHERE s + m - 1 <= len(w) AND m < len(w) GROUP BY ALL
+  UNION ALL SELECT lang, w[2:], f FROM c WHERE false),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN (SELECT lang, w, max(longer) AS longer FROM (
+    SELECT lang, w, longer FROM inside UNION ALL
+    SELECT lang, w[len(w) - m + 1:] AS w, f AS longer FROM c CROSS JOIN range(2, 5) AS x(m) WHERE m < len(w)) GROUP BY ALL) AS i
+  ON best.lang = i.lang AND best.w = i.w WHERE longer IS NULL OR 100 * longer < 100 * a),
+ranked AS (
+  SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
