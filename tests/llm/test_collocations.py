@@ -84,18 +84,27 @@ def test_products_beyond_64_bits(spark):
 def test_trie_bursts_spills_whole_subtrees_and_loses_nothing():
     rng = np.random.default_rng(1)
     trie, want, got = Trie(room=500, burst=8), Counter(), Counter()
-    for _ in range(20_000):
-        path = tuple(rng.integers(1, 9, rng.integers(2, 6)).tolist())
-        trie.add(path)
-        want[path] += 1
-        if trie.size > trie.room:
-            spilled = list(trie.spill())
-            assert spilled == sorted(spilled)
-            assert not {p[0] for p, _ in spilled} & set(trie.root)
-            for p, n in spilled:
-                got[p] += n
-    for p, n in trie.spill(1.0):
-        got[p] += n
+
+    def spilled(share):
+        before = set(trie.root)
+        paths, counts = trie.spill(share)
+        assert {p[0] for p in paths} == before - set(trie.root)
+        for ids, n in collocations.runs_of(paths, counts):
+            rows = [tuple(r) for r in ids.tolist()]
+            assert rows == sorted(set(rows))
+            for row, count in zip(rows, n.tolist(), strict=True):
+                got[tuple(x for x in row if x)] += count
+
+    for _ in range(200):
+        paths = [tuple(rng.integers(1, 9, rng.integers(2, 6)).tolist()) for _ in range(100)]
+        trie.add_all(paths)
+        for path in paths:
+            for length in range(2, len(path) + 1):
+                want[path[:length]] += 1
+        while trie.size > trie.room:
+            spilled(0.5)
+    assert any(tree[1] for tree in trie.root.values())
+    spilled(1.0)
     assert got == want and trie.size == 0 and not trie.root
 
 

@@ -1,22 +1,26 @@
 """Collocations: word sequences that occur together more often than their parts suggest.
 
-Phrases are counted in tries of bounded size, one per task. A trie's upper levels are nodes by
-word id; below hang hash containers from the rest of a phrase to its count, and a container
-that grows over a bound bursts into a node with containers of its own. A full trie spills its
-largest subtrees whole, as runs sorted by prefix; Spark partitions the runs by prefix, the
-whole phrase being the prefix, and merges counts there. So a word that opens a third of all
-phrases spreads over all partitions, and each task sends at most one row per phrase and spill.
-
-Words are counted first. Pairs are counted next, of frequent words only, and longer phrases of
-frequent pairs only, since no phrase is more frequent than its parts. What is frequent is told
-by a bit table of fixed size, which may say yes too often but never no, so counts are exact and
+Phrases are counted in tries of bounded size, one per task. A path is the window of up to five
+words that starts at a word; a phrase's count is the sum over the paths it begins. A trie's
+upper levels are nodes by word id; below hang hash containers from the rest of a path to its
+count, and a container that grows over a bound bursts into a node with containers of its own.
+A full trie spills its largest subtrees whole, as runs of phrases sorted by prefix; Spark
+partitions the runs by prefix, the whole phrase being the prefix, and merges counts there. So
+a word that opens a third of all phrases spreads over all partitions, and each task sends at
+most one row per phrase and spill.
+
+Words are counted first, then hashes of pairs of frequent words. Windows end where a pair is
+not frequent, since no phrase is more frequent than its parts. What is frequent is told by a
+bit table of fixed size, which may say yes too often but never no, so counts are exact and
 memory is bounded at any vocabulary. Word ids are 64-bit hashes, drawn anew with another seed
 while any frequent word shares its id with another word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +38,12 @@ UNKNOWN = "und"
 PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" "
 )
-#: Phrases a task holds before it spills, entries a container bursts at, and levels of nodes.
+#: Paths a task holds before it spills, entries a container bursts at, and pairs held at once.
 ROOM = 400_000
 BURST = 1024
-NODES = 2
+PAIRS_HELD = 4_000_000
 #: Words whose ids a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Bits of the tables of frequent words and pairs, in buckets of a bitmap each.
 TABLE_BITS = 1 << 25
 BUCKET_BITS = 1 << 15
@@ -55,62 +59,81 @@ IDS = ["w1", "w2", "w3", "w4", "w5"]
 
 
 class Trie:
-    """Counts of paths of word ids, at most ``room`` of them held; ``spill`` gives some up."""
+    """Counts of paths of word ids, about ``room`` of them held; ``spill`` gives some up."""
 
     def __init__(self, room: int = ROOM, burst: int = BURST):
         self.room, self.burst = room, burst
+        # A subtree is [entries, burst, children]: counts by the rest of the path, or, once
+        # burst, containers of the same kind by the next word.
         self.root: dict[int, list] = {}
         self.size = 0
 
-    def add(self, path: tuple[int, ...], n: int = 1) -> None:
-        # A subtree is [entries, kind, children]; children are counts by the rest of the path,
-        # or subtrees by the next word once it has burst.
-        tree, depth = self.root.get(path[0]), 1
-        if tree is None:
-            tree = self.root[path[0]] = [0, False, {}]
-        top = tree
-        while tree[1] and len(path) > depth:
-            below = tree[2].get(path[depth])
-            if below is None:
-                below = tree[2][path[depth]] = [0, False, {}]
-            tree, depth = below, depth + 1
-        held, rest = tree[2], path[depth:]
-        before = held.get(rest)
-        if before is not None:
-            held[rest] = before + n
-            return
-        held[rest] = n
-        self.size += 1
-        top[0] += 1
-        if len(held) > self.burst and depth < NODES and all(held):
-            tree[1], tree[2] = True, self._parted(held)
+    def add_all(self, paths: Iterable[tuple[int, ...]]) -> None:
+        """Counts paths of at least two words."""
+        root, burst, added = self.root, self.burst, 0
+        for path in paths:
+            top = root.get(path[0])
+            if top is None:
+                top = root[path[0]] = [0, False, {}]
+            held, rest = top[2], path[1:]
+            if top[1]:
+                held = held.setdefault(path[1], {})
+                rest = path[2:]
+            before = held.get(rest)
+            if before is not None:
+                held[rest] = before + 1
+                continue
+            held[rest] = 1
+            added += 1
+            top[0] += 1
+            if not top[1] and len(held) > burst:
+                top[1], top[2] = True, self._parted(held)
+        self.size += added
 
     @staticmethod
-    def _parted(held: dict[tuple[int, ...], int]) -> dict[int, list]:
-        parts: dict[int, list] = {}
+    def _parted(held: dict[tuple[int, ...], int]) -> dict[int, dict]:
+        parts: dict[int, dict] = {}
         for rest, n in held.items():
-            parts.setdefault(rest[0], [0, False, {}])[2][rest[1:]] = n
+            parts.setdefault(rest[0], {})[rest[1:]] = n
         return parts
 
-    def _walk(self, tree: list, prefix: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
-        for step in sorted(tree[2]):
-            if tree[1]:
-                yield from self._walk(tree[2][step], (*prefix, step))
-            else:
-                yield prefix + step, tree[2][step]
-
-    def spill(self, share: float = 0.5) -> Iterator[tuple[tuple[int, ...], int]]:
-        """(path, count) of the largest subtrees, removed until ``share`` of the entries is gone."""
-        wanted, gone = share * self.size, []
+    def spill(self, share: float = 0.5) -> tuple[list[tuple[int, ...]], list[int]]:
+        """Paths and counts of the largest subtrees, removed until ``share`` of the entries is gone."""
+        wanted, paths, counts = share * self.size, [], []
         for first in sorted(self.root, key=lambda w: -self.root[w][0]):
             if wanted <= 0:
                 break
-            gone.append(first)
-            wanted -= self.root[first][0]
-        for first in sorted(gone):
-            tree = self.root.pop(first)
-            self.size -= tree[0]
-            yield from self._walk(tree, (first,))
+            entries, parted, held = self.root.pop(first)
+            wanted -= entries
+            self.size -= entries
+            for step, below in held.items() if parted else [(None, held)]:
+                start = (first,) if step is None else (first, step)
+                paths += [start + rest for rest in below]
+                counts += below.values()
+        return paths, counts
+
+
+def runs_of(paths: list[tuple[int, ...]], counts: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, counts) of all phrases of two words or more that the paths begin with, sorted by prefix.
+
+    One matrix for each length; ids beyond a phrase's length are 0.
+    """
+    if not paths:
+        return
+    sizes = np.fromiter(map(len, paths), np.int64, len(paths))
+    table = np.zeros((len(paths), LONGEST), np.int64)
+    table[np.arange(LONGEST)[None] < sizes[:, None]] = np.fromiter(chain.from_iterable(paths), np.int64, int(sizes.sum()))
+    order = np.lexsort(table.T[::-1])
+    table, sizes, n = table[order], sizes[order], np.array(counts, np.int64)[order]
+    for length in range(2, LONGEST + 1):
+        long = sizes >= length
+        part, of_part = table[long, :length], n[long]
+        if not len(part):
+            return
+        first = np.flatnonzero(np.append(True, (part[1:] != part[:-1]).any(1)))
+        ids = np.zeros((len(first), LONGEST), np.int64)
+        ids[:, :length] = part[first]
+        yield ids, np.add.reduceat(of_part, first)
 
 
 def pieces(text: str) -> list[list[bytes]]:
@@ -118,26 +141,19 @@ def pieces(text: str) -> list[list[bytes]]:
     return [p.split() for p in text.encode().translate(PLAIN).split(b"\n")]
 
 
-def bit_of(*ids: np.ndarray) -> np.ndarray:
-    """The place of a word, or of a pair, in a table of bits."""
-    mixed = ids[0].astype(np.uint64)
-    for other in ids[1:]:
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + other.astype(np.uint64)
+def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """48 bits of two word ids: two pairs may share them, which only makes both count as frequent."""
+    mixed = left.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) + right.astype(np.uint64)
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return ((mixed >> np.uint64(32)) % np.uint64(TABLE_BITS)).astype(np.int64)
-
-
-def bit_table(df: DataFrame, *columns: str) -> np.ndarray:
-    """Bytes of a table in which the places of ``df``'s rows are set; ``TABLE_BITS`` in all."""
+    return (mixed >> np.uint64(16)).astype(np.int64)
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = bit_of(*[c.to_numpy().view(np.uint64) for c in batch.columns])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(found))], ["place"])
 
-    at = df.select(*columns).mapInArrow(places, "place long")
-    maps = at.groupBy((F.col("place") / BUCKET_BITS).cast("int").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("place") % BUCKET_BITS).alias("bits")
+def bit_table(df: DataFrame, column: str) -> np.ndarray:
+    """Bytes of a table in which the places of ``df``'s hashes are set; ``TABLE_BITS`` in all."""
+    place = F.pmod(F.col(column), F.lit(TABLE_BITS))
+    maps = df.groupBy((place / BUCKET_BITS).cast("int").alias("bucket")).agg(
+        F.bitmap_construct_agg(place % BUCKET_BITS).alias("bits")
     )
     table = np.zeros(TABLE_BITS // 8, np.uint8)
     size = BUCKET_BITS // 8
@@ -146,7 +162,8 @@ def bit_table(df: DataFrame, *columns: str) -> np.ndarray:
     return table
 
 
-def holds(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+def holds(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    places = hashes % TABLE_BITS
     return (table[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -163,27 +180,24 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     """(lang, word, n) over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[str, bytes], int] = {}
-
-        def out() -> pa.RecordBatch:
-            keys = sorted(seen)
-            arrays = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()).cast(pa.string())]
-            batch = pa.RecordBatch.from_arrays([*arrays, pa.array([seen[k] for k in keys], pa.int64())], ["lang", "word", "n"])
+        seen: dict[str, Counter] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for language, words in seen.items():
+                keys = sorted(words)
+                arrays = [pa.array([language] * len(keys), pa.string()), pa.array(keys, pa.binary()).cast(pa.string())]
+                counts = pa.array([words[k] for k in keys], pa.int64())
+                yield pa.RecordBatch.from_arrays([*arrays, counts], ["lang", "word", "n"])
             seen.clear()
-            return batch
 
         for batch in batches:
             languages = iter(batch.column(0).to_pylist())
             for piece in slices(batch.column(1)):
                 for value, language in zip(piece, languages, strict=False):
-                    for words in pieces(value.as_py()):
-                        for word in words:
-                            key = (language, word)
-                            seen[key] = seen.get(key, 0) + 1
-                    if len(seen) > ROOM:
-                        yield out()
-        if seen:
-            yield out()
+                    seen.setdefault(language, Counter()).update(value.as_py().encode().translate(PLAIN).split())
+                if sum(map(len, seen.values())) > ROOM:
+                    yield from out()
+        yield from out()
 
     local = df.select(*_parts(text, lang)).mapInArrow(count, "lang string, word string, n long")
     return local.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -211,84 +225,102 @@ def numbered(words: DataFrame, least: int) -> tuple[DataFrame, int]:
     raise RuntimeError(f"no seed below {SEEDS} tells all frequent words apart")
 
 
+class Ids(dict):
+    """Numbers of one language's words, 0 for those not in the table of frequent ones."""
+
+    def __init__(self, language: str, seed: int, table: np.ndarray):
+        self.language, self.seed, self.table = language, seed, table
+
+    def __missing__(self, word: bytes) -> int:
+        number = word_id(self.language, word, self.seed)
+        place = number % TABLE_BITS
+        found = self[word] = number if self.table[place >> 3] >> (place & 7) & 1 else 0
+        return found
+
+
+def sequences(batches: Iterator[pa.RecordBatch], seed: int, table: np.ndarray) -> Iterator[list[int]]:
+    """Word ids of (lang, text) rows, some texts at a time; 0 for other words and between pieces."""
+    known: dict[str, Ids] = {}
+    for batch in batches:
+        languages = iter(batch.column(0).to_pylist())
+        for piece in slices(batch.column(1)):
+            out: list[int] = []
+            for value, language in zip(piece, languages, strict=False):
+                ids = known.get(language)
+                if ids is None:
+                    ids = known[language] = Ids(language, seed, table)
+                for words in pieces(value.as_py()):
+                    out += [ids[w] for w in words]
+                    out.append(0)
+            if sum(map(len, known.values())) > REMEMBERED:
+                known.clear()
+            yield out
+
+
+def pair_counts(df: DataFrame, seed: int, words: np.ndarray, text: str, lang: str) -> DataFrame:
+    """(pair, n): how often pairs of frequent words of one hash occur."""
+    tables = df.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            pairs, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
+
+        for sequence in sequences(batches, seed, tables.value):
+            ids = np.array(sequence, np.int64)
+            at = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
+            held.append(pair_hash(ids[at], ids[at + 1]))
+            size += len(at)
+            if size > PAIRS_HELD:
+                yield out()
+                size = 0
+        if held:
+            yield out()
+
+    return df.select(*_parts(text, lang)).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
 def phrase_counts(
-    df: DataFrame, lengths: range, seed: int, words: np.ndarray, pairs: np.ndarray | None, text: str, lang: str
+    df: DataFrame, seed: int, words: np.ndarray, pairs: np.ndarray, text: str, lang: str
 ) -> DataFrame:
-    """(w1 .. w5, n): counts of phrases of these lengths made of frequent words, and pairs if given.
-
-    Ids beyond a phrase's length are 0.
-    """
-    spark = df.sparkSession
-    tables = spark.sparkContext.broadcast((words, pairs))
+    """(w1 .. w5, n): counts of phrases of 2 to 5 words all of whose pairs are in the table."""
+    tables = df.sparkSession.sparkContext.broadcast((words, pairs))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, paired = tables.value
         trie = Trie()
-        ids: dict[str, dict[bytes, int]] = {}
-        remembered = 0
-
-        def rows(found: Iterator[tuple[tuple[int, ...], int]]) -> Iterator[pa.RecordBatch]:
-            flat, counts = [], []
-            for path, n in found:
-                flat.append(path + (0,) * (LONGEST - len(path)))
-                counts.append(n)
-                if len(flat) == 1 << 16:
-                    yield made(flat, counts)
-                    flat, counts = [], []
-            if flat:
-                yield made(flat, counts)
-
-        def made(flat: list, counts: list) -> pa.RecordBatch:
-            table = np.array(flat, np.int64)
-            arrays = [pa.array(np.ascontiguousarray(table[:, i])) for i in range(LONGEST)]
-            return pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64())], [*IDS, "n"])
 
-        for batch in batches:
-            languages = iter(batch.column(0).to_pylist())
-            for piece in slices(batch.column(1)):
-                for value, language in zip(piece, languages, strict=False):
-                    of_language = ids.setdefault(language, {})
-                    sequence: list[int] = []
-                    for held in pieces(value.as_py()):
-                        for word in held:
-                            found = of_language.get(word)
-                            if found is None:
-                                number = word_id(language, word, seed)
-                                place = int(bit_of(np.array([number], np.uint64))[0])
-                                found = number if known[place >> 3] >> (place & 7) & 1 else 0
-                                of_language[word] = found
-                                remembered += 1
-                            sequence.append(found)
-                        sequence.append(0)
-                    if remembered > REMEMBERED:
-                        ids.clear()
-                        remembered = 0
-                    counted(trie, sequence, paired, lengths)
-                    while trie.size > trie.room:
-                        yield from rows(trie.spill())
-        yield from rows(trie.spill(1.0))
+        def rows(share: float) -> Iterator[pa.RecordBatch]:
+            for ids, n in runs_of(*trie.spill(share)):
+                columns = [pa.array(np.ascontiguousarray(ids[:, i])) for i in range(LONGEST)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], [*IDS, "n"])
+
+        for sequence in sequences(batches, seed, known):
+            trie.add_all(windows(sequence, paired))
+            while trie.size > trie.room:
+                yield from rows(0.5)
+        yield from rows(1.0)
 
     local = df.select(*_parts(text, lang)).mapInArrow(count, ", ".join(f"{i} long" for i in [*IDS, "n"]))
     return local.groupBy(*IDS).agg(F.sum("n").alias("n"))
 
 
-def counted(trie: Trie, sequence: list[int], pairs: np.ndarray | None, lengths: range) -> None:
-    """Adds the phrases of one text; a word id of 0, or a pair not in ``pairs``, ends a stretch."""
+def windows(sequence: list[int], pairs: np.ndarray) -> Iterator[tuple[int, ...]]:
+    """From each word the words up to the fifth, or to the first pair that is not frequent."""
     ids = np.array(sequence, np.int64)
+    if len(ids) < 2:
+        return
     joined = (ids[:-1] != 0) & (ids[1:] != 0)
-    if pairs is not None and len(joined):
-        at = np.flatnonzero(joined)
-        joined[at] = holds(pairs, bit_of(ids[at].view(np.uint64), ids[at + 1].view(np.uint64)))
-    # Words that follow each word within its stretch.
+    at = np.flatnonzero(joined)
+    joined[at] = holds(pairs, pair_hash(ids[at], ids[at + 1]))
     ends = np.flatnonzero(np.append(~joined, True))
-    reach = ends[np.searchsorted(ends, np.arange(len(joined) + 1))] - np.arange(len(joined) + 1)
-    shortest = lengths[0] - 1
-    starts = np.flatnonzero(reach >= shortest)
-    longest = lengths[-1]
-    for at, more in zip(starts.tolist(), np.minimum(reach[starts], longest - 1).tolist(), strict=True):
-        path = tuple(sequence[at : at + more + 1])
-        for length in range(shortest + 1, more + 2):
-            trie.add(path[:length])
+    starts = np.flatnonzero(joined)
+    stops = np.minimum(ends[np.searchsorted(ends, starts)], starts + LONGEST - 1) + 1
+    for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
+        yield tuple(sequence[start:stop])
 
 
 def _array(of: Column, size: Column) -> Column:
@@ -368,14 +400,10 @@ def collocations(
     words = every.filter(F.col("n") >= least).join(totals, "lang")
     words = stored(words.select("lang", "word", "n", "id", "total"), "frequent-words")
     known = bit_table(words, "id")
-
-    def frequent(lengths: range, pairs: np.ndarray | None) -> DataFrame:
-        made = phrase_counts(df, lengths, seed, known, pairs, text, lang).filter(F.col("n") >= least)
-        ids = F.filter(F.array(*IDS), lambda w: w != 0)
-        return stored(made.select(ids.alias("ids"), F.col("n").alias("a")), "phrases")
-
-    two = frequent(range(2, 3), None)
-    more = frequent(range(3, LONGEST + 1), bit_table(two.select(F.col("ids")[0].alias("w1"), F.col("ids")[1].alias("w2")), "w1", "w2"))
-    found = stored(scored(two.unionByName(more), words, percent), "scored-phrases")
+    pairs = bit_table(pair_counts(df, seed, known, text, lang).filter(F.col("n") >= least), "pair")
+    made = phrase_counts(df, seed, known, pairs, text, lang).filter(F.col("n") >= least)
+    ids = F.filter(F.array(*IDS), lambda w: w != 0)
+    phrases = stored(made.select(ids.alias("ids"), F.col("n").alias("a")), "phrases")
+    found = stored(scored(phrases, words, percent), "scored-phrases")
     ranked = best_of(found, top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
