@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from test_pii import plain_spans
-from test_simhash import slow_components, slow_fingerprint
+from test_simhash import slow_copies
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
@@ -38,7 +38,7 @@ def test_stages_follow_each_other_as_brute_force_says(spark, tmp_path):
     assert all(any(c.isalpha() for c in r.text or "") for r in after.values())
     assert all(not any(c.isalpha() for c in before[k].text or "") for k in before.keys() - after.keys())
     before, after = kept["near_duplicates"]
-    found = slow_components({k: slow_fingerprint(r.text) for k, r in before.items()})
+    found = slow_copies({k: r.text for k, r in before.items()})
     assert set(after) == {k for k in before if found[k] == k}
     before, after = kept["decontamination"]
     items = [decontam.shingles(decontam.words_of(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

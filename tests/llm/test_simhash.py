@@ -137,3 +137,30 @@ def test_near_copies_equal_brute_force_jaccard(spark, monkeypatch, first_round):
     assert any(prints[k] == k != want[k] for k in texts)
     kept = simhash.one_of_each(df, groups=simhash.similar_groups)
     assert {r.doc_id for r in kept.collect()} == set(want.values())
+
+
+@pytest.mark.parametrize("many", [100, 400])
+def test_a_common_part_makes_no_pairs(spark, monkeypatch, many):
+    """60 common words and 16 of one's own: candidates by band, but none shares a rare shingle."""
+    seen = []
+    real = simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, label: seen.append((label, real(df, label))) or seen[-1][1])
+    common = " ".join(f"c{i}" for i in range(60))
+    texts = {k: common + " " + " ".join(f"o{k}x{i}" for i in range(16)) for k in range(many)}
+    texts |= {k + many: texts[k] + " more" for k in range(20)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    assert got == {k: k % many for k in texts}
+    assert sum(made.count() for label, made in seen if label == "pairs") <= 60
+    assert next(made.count() for label, made in seen if label == "candidates") > many
+
+
+def test_a_huge_group_and_null_texts(spark):
+    """400 copies changed at one of 200 places each, beside nulls, which are copies of the empty text."""
+    words = [f"w{i}" for i in range(200)]
+    texts = {k: " ".join([*words[:k % 200], f"new{k}", *words[k % 200 + 1 :]]) for k in range(400)}
+    rows = [*texts.items(), (900, None), (901, ""), (902, " "), (None, "alone in here"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in simhash.similar_groups(df).collect()), key=repr)
+    want = [(k, 0) for k in texts] + [(900, 900), (901, 900), (902, 900), (None, None), (None, 900)]
+    assert got == sorted(want, key=repr)

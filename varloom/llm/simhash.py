@@ -27,7 +27,7 @@ COPY_WORDS = 5
 COPY_SHARE = (4, 5)
 #: MinHash bands and rows of each: a pair at exactly 0.8 shares no band once in 8 million.
 BANDS, BAND_ROWS = 40, 5
-#: Members of a bucket that are compared with all its others in the first round.
+#: Sets with a shingle that are compared, on average, with all its others in the first round.
 FIRST_ROUND = 8
 #: Nodes that are sent to all executors at most.
 BROADCAST_NODES = 2_000_000
@@ -315,46 +315,69 @@ def _with_node(text: str, extra: str):
     return per_batch(start, f"node long, {extra} array<long>")(F.col(text))
 
 
+def rare_shingles(sets: DataFrame) -> DataFrame:
+    """(token, node, size, n): the rarest shingles of each set that others have too, and in how many sets.
+
+    Sets as similar as ``COPY_SHARE`` share one of their ``size - ceil(share * size) + 1`` rarest
+    shingles, in any order that all sets agree on. Those that no other set has come first and
+    join nothing; a set with so many of them has no partner, and no row here.
+    """
+    part, whole = COPY_SHARE
+    tokens = sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
+    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = tokens.join(common, "token").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"))
+    own = F.col("size") - F.size("t")
+    room = F.greatest(F.lit(0), F.expr(f"size - (size * {part} + {whole - 1}) div {whole} + 1").cast("int") - own)
+    return held.select("node", "size", F.explode(F.slice("t", F.lit(1), room)).alias("t")).select("t.token", "node", "size", "t.n")
+
+
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, component_id) for every row of ``df``, as ``near_duplicates`` but by what the texts share.
 
     Texts are linked if the Jaccard similarity of their five-word shingles is at least 0.8.
-    Candidates share a MinHash band; each is then compared by its whole sets. In buckets of
-    many members some are compared with all others, twice as many each round, until those
-    left are connected or every pair has been compared; pairs already connected are spared.
+    Sets that share a MinHash band are candidates; pairs of candidates that share one of their
+    rarest shingles are compared by their whole sets. Of many sets with a shingle some are
+    compared with all others, four times as many each round, until those left are connected
+    or every pair has been compared; pairs already connected are spared.
     """
     rows = df.select(F.col(key), _with_node(text, "bands").alias("_n_"))
     rows = stored(rows.select(key, "_n_.*"), "shingled")
-    buckets = rows.select("node", F.explode("bands").alias("band")).distinct()
-    buckets = stored(buckets, "buckets")
-    shared = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    place = F.row_number().over(Window.partitionBy("band").orderBy("node"))
-    buckets = stored(buckets.join(shared, "band").withColumn("place", place), "shared-buckets")
-    candidates = stored(buckets.select("node").distinct(), "candidates")
+    bands = rows.select("node", F.explode("bands").alias("band"))
+    # Bands of one node only are told by their least and greatest node.
+    shared = bands.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("band")
+    candidates = stored(bands.join(shared, "band").select("node").distinct(), "candidates")
     nodes = F.broadcast(candidates) if candidates.count() <= BROADCAST_NODES else candidates
     sets = df.select(_with_node(text, "shingles").alias("_n_")).select("_n_.*").join(nodes, "node")
     sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingle-sets")
+    # A set's turn in any bucket of n sets is its fixed number times n.
+    turn = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) / float(1 << 30) * F.col("n")
+    buckets = stored(rare_shingles(sets).withColumn("turn", turn), "rare-shingles")
+    part, whole = COPY_SHARE
     low = df.sparkSession.createDataFrame([], "bits long, low long")
     done, now = 0, FIRST_ROUND
     while True:
-        labelled = buckets.filter(F.col("n") > done).join(low.withColumnRenamed("bits", "node"), "node", "left")
-        labelled = labelled.select("band", "place", "node", F.coalesce("low", "node").alias("low"))
-        some = labelled.filter((F.col("place") > done) & (F.col("place") <= now))
-        pairs = some.alias("x").join(labelled.alias("y"), "band").filter("y.place > x.place AND y.low != x.low")
+        labelled = buckets.join(low.withColumnRenamed("bits", "node"), "node", "left")
+        labelled = labelled.withColumn("low", F.coalesce("low", "node"))
+        apart = labelled.groupBy("token").agg(F.min("low").alias("x"), F.max("low").alias("y")).filter("x != y").select("token")
+        labelled = stored(labelled.join(apart, "token"), "apart")
+        some = labelled.filter((F.col("turn") >= done) & (F.col("turn") < now))
+        pairs = some.alias("x").join(labelled.alias("y"), "token").filter(
+            "(y.turn, y.node) > (x.turn, x.node) AND y.low != x.low "
+            f"AND least(x.size, y.size) * {whole} >= greatest(x.size, y.size) * {part}"
+        )
         pairs = stored(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
         if not pairs.isEmpty():
             x = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
             y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
             both = F.size(F.array_intersect("of_a", "of_b"))
-            part, whole = COPY_SHARE
             near = both * (part + whole) >= (F.size("of_a") + F.size("of_b")) * part
             found = pairs.join(x, "b").join(y, "a").filter(near).select(
                 F.greatest("a", "b").alias("bits"), F.least("a", "b").alias("low")
             )
             low = components(low.union(found))
-        if buckets.filter(F.col("n") > now).isEmpty():
+        if labelled.filter(F.col("n") > now).isEmpty():
             break
-        done, now = now, 2 * now
+        done, now = now, 4 * now
     first = rows.groupBy("node").agg(F.min(key).alias("first"))
     named = first.join(low.withColumnRenamed("bits", "node"), "node", "left")
     named = stored(named.select("node", "first", F.coalesce("low", "node").alias("low")), "named")
