@@ -251,3 +251,65 @@ def test_bag_comparison(spark):
     assert not CM.same_rows(a, a.selectExpr("cast(x as bigint) x"))
     assert CM.fingerprint(a).first() == CM.fingerprint(a.repartition(3)).first()
     assert CM.fingerprint(a).first() != CM.fingerprint(b).first()
+
+
+def test_tree_leaves_out_files_with_damaged_pages(spark, tmp_path):
+    """No row of a half-readable file is kept; what was readable is reported."""
+    root = tmp_path / "in"
+    for name in ("a", "b"):
+        rows = spark.range(0, 200_000, 1, 1).selectExpr("id", "concat('text', id) AS t")
+        writer = rows.write.option("parquet.block.size", "200000").option("parquet.page.size", "20000")
+        writer.parquet(str(root / name))
+    harmed = next((root / "b").glob("*.parquet"))
+    data = bytearray(harmed.read_bytes())
+    data[len(data) // 2 : len(data) // 2 + 20_000] = b"\xff" * 20_000
+    (root / "b" / f".{harmed.name}.crc").unlink()
+    harmed.write_bytes(data)
+    table, left_out = RE.reencode_tree(spark, str(root), str(tmp_path / "out"), on_error="skip")
+    (row,) = left_out.collect()
+    assert os.path.basename(row.path) == harmed.name and row.rows == 200_000 and 0 <= row.readable < 200_000
+    assert f"{row.readable} of 200000 rows" in row.problem
+    assert table.count() == 200_000 and table.select("source").distinct().count() == 1
+    again, left_out = RE.reencode_tree(spark, str(root), str(tmp_path / "out"), on_error="skip")
+    assert left_out.count() == 1 and again.count() == 200_000
+    with pytest.raises(Exception):
+        RE.reencode_tree(spark, str(root), str(tmp_path / "stop"))
+
+
+def test_the_latest_record_of_a_file_counts(spark, tmp_path):
+    """A file that goes from A to B and back to A, times included, ends with A's rows."""
+    place, out = tmp_path / "in" / "chr1.vcf", str(tmp_path / "out")
+    place.parent.mkdir()
+    head = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n"
+    form = lambda n: head + "".join(f"chr1\t{i}\t.\tA\tC\t.\t.\t.\n" for i in range(1, n + 1))
+
+    def converted(n, time):
+        place.write_text(form(n))
+        os.utime(place, (time, time))
+        files = list_files(spark, str(place.parent))
+        return K.convert_listed(spark, files, out)[0].table.count()
+
+    assert [converted(3, 1000), converted(5, 2000), converted(3, 1000), converted(4, 500)] == [3, 5, 3, 4]
+
+
+def test_a_job_that_died_is_redone_after_the_file_is_put_back(spark, tmp_path, monkeypatch):
+    place, out = tmp_path / "in" / "chr1.vcf", str(tmp_path / "out")
+    place.parent.mkdir()
+    head = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n"
+
+    def converted(n, time):
+        place.write_text(head + "".join(f"chr1\t{i}\t.\tA\tC\t.\t.\t.\n" for i in range(1, n + 1)))
+        os.utime(place, (time, time))
+        return K.convert_listed(spark, list_files(spark, str(place.parent)), out)[0].table.count()
+
+    assert converted(3, 1000) == 3
+    real = K.save
+
+    def dies(*args, **options):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(K, "save", dies)
+    with pytest.raises(RuntimeError):
+        converted(5, 2000)
+    monkeypatch.setattr(K, "save", real)
+    assert converted(3, 1000) == 3

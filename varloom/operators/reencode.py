@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions import paths as P
-from varloom.operators.sinks import is_reusable, save
+from varloom.operators.sinks import fixed, is_reusable, save
 from varloom.schema import SOURCE_COL
 from varloom.sources.columnar import scan, scan_split
 from varloom.sources.files import file_system, is_directory, modified_ms, qualified
@@ -86,6 +86,35 @@ def check_footers(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(read_footers, FOOTER_SCHEMA)
 
 
+def readable_rows(rows: DataFrame) -> DataFrame:
+    """(path, readable): rows of each file that can be read with all their columns.
+
+    ``rows`` is a scan that goes on behind damaged files; of such a file it may have given
+    some rows.
+    """
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]) if rows.columns else F.lit(1)
+    # Counting both signs of a hash makes the scan decode every column.
+    return (
+        rows.select(P.decoded_path(F.col("_metadata.file_path")).alias("path"), every.alias("h"))
+        .groupBy("path")
+        .agg((F.count_if(F.col("h") >= 0) + F.count_if(F.col("h") < 0)).alias("readable"))
+    )
+
+
+def damaged(footers: DataFrame, rows: DataFrame) -> DataFrame:
+    """(path, rows, readable, problem) of the files that the scan ``rows`` does not give in full.
+
+    ``rows`` as the footer says, null where that cannot be read; ``readable`` as they were
+    found. The table is stored: it takes a scan of all files.
+    """
+    met = footers.join(readable_rows(rows), "path", "left")
+    found = F.coalesce("readable", F.lit(0))
+    text = F.concat_ws(" ", found.cast("string"), F.lit("of"), F.col("rows").cast("string"), F.lit("rows are readable"))
+    problem = F.coalesce("problem", F.when(found < F.col("rows"), text))
+    met = met.select("path", "rows", found.alias("readable"), problem.alias("problem"))
+    return fixed(met.filter(F.col("problem").isNotNull()), "damaged-files")
+
+
 def reencode_tree(
     spark: SparkSession,
     root: str,
@@ -103,8 +132,9 @@ def reencode_tree(
     names them. In any other tree each input file becomes the partition ``source=<its
     relative path without the suffix>``, so equal names in different folders stay apart.
 
-    Returns (table, report of the files left out). With ``on_error="skip"`` files with
-    an unreadable footer are left out and reported; ``"fail"`` stops at the first.
+    Returns (table, report of the files left out). With ``on_error="skip"`` a first scan
+    reads every file; those without a readable footer, or of which not all rows could be
+    read, are reported and none of their rows is rewritten. ``"fail"`` stops at the first.
     """
     if on_error not in ("fail", "skip"):
         raise ValueError(f"on_error must be fail or skip, not {on_error!r}")
@@ -112,42 +142,46 @@ def reencode_tree(
     if not is_directory(spark, root):
         raise NotADirectoryError(root)
     root = qualified(spark, root)
-    broken = (
-        check_footers(files).filter(F.col("problem").isNotNull()).select("path", "problem")
-    )
-    if on_error == "fail":
-        broken = broken.filter(F.lit(False))
+    none = spark.createDataFrame([], "path string, rows long, readable long, problem string")
+    fresh = False
     if not overwrite and is_reusable(spark, out):
         made = F.timestamp_millis(F.lit(modified_ms(spark, f"{out}/_SUCCESS")))
-        if files.filter(F.col("modified") > made).isEmpty():
-            return _tree_table(spark, out, partition_by), broken
+        fresh = files.filter(F.col("modified") > made).isEmpty()
+    if fresh and on_error == "fail":
+        return _tree_table(spark, out, partition_by), none
     if files.isEmpty():
-        return None, broken
-    # Without a broken file the folder itself is read; only a repair run needs the list.
-    some_broken = on_error == "skip" and not broken.isEmpty()
-    wanted: str | list[str] = root
-    if some_broken or not recursive:
-        sound = files.join(broken, "path", "left_anti").select("path")
-        wanted = [r.path for r in sound.collect()]
-        if not wanted:
-            return None, broken
+        return None, none
+    if on_error == "skip":
+        footers = fixed(check_footers(files), "footers")
+        if footers.filter(F.col("problem").isNull()).isEmpty():
+            return None, footers.select("path", "rows", F.lit(0).cast("long").alias("readable"), "problem")
     # Files may differ in columns; the result has all of them.
     reader = spark.read.option("mergeSchema", "true")
+    if on_error == "skip":
+        # Sums of pages, where the writer left them, tell damage that still decodes.
+        reader = reader.option("ignoreCorruptFiles", "true").option("parquet.page.verify-checksum.enabled", "true")
+    wanted = root if recursive else f"{root}/*.parquet"
     if partition_by:
-        reader = reader.option("basePath", root)
-        rows = reader.load(wanted)
+        rows = reader.option("basePath", root).load(wanted)
         columns = tuple(partition_by)
     else:
-        rows = reader.option("recursiveFileLookup", "true").load(wanted)
-        relative = P.relative_path(P.decoded_path(F.col("_metadata.file_path")), root)
-        rows = rows.withColumn(SOURCE_COL, F.regexp_replace(relative, "[.]parquet$", ""))
+        rows = reader.option("recursiveFileLookup", str(recursive).lower()).load(wanted)
         columns = (SOURCE_COL,)
-    rows = rows.sortWithinPartitions(
-        *[c for c in (*columns, "chrom", "start") if c in rows.columns]
-    )
+    path = P.decoded_path(F.col("_metadata.file_path"))
+    broken = damaged(footers, rows) if on_error == "skip" else none
+    if fresh:
+        return _tree_table(spark, out, partition_by), broken
+    some_broken = not broken.isEmpty()
+    kept = rows.withColumn("_file", path) if some_broken else rows
+    if not partition_by:
+        relative = P.relative_path(path, root)
+        kept = kept.withColumn(SOURCE_COL, F.regexp_replace(relative, "[.]parquet$", ""))
+    if some_broken:
+        kept = kept.join(broken.select(F.col("path").alias("_file")), "_file", "left_anti").drop("_file")
+    kept = kept.sortWithinPartitions(*[c for c in (*columns, "chrom", "start") if c in kept.columns])
     save(
         spark,
-        rows,
+        kept,
         out,
         mode="overwrite",
         profile=profile,

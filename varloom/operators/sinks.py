@@ -20,7 +20,7 @@ PROFILES = {"default": "snappy", "compact": "zstd"}
 SAVE_MODES = ("fail", "reuse", "overwrite", "partitions")
 # Hidden folder of a table naming what was written to it in full.
 DONE_FOLDER = "_sources"
-FILES_DONE = f"{SOURCE_COL} string, path string, size bigint, modified timestamp"
+FILES_DONE = f"{SOURCE_COL} string, path string, size bigint, modified timestamp, run bigint"
 
 
 def default_output(path: str, suffix: str = ".parquet") -> str:
@@ -97,18 +97,33 @@ def save(
 
 
 def finished(spark: SparkSession, out: str, schema: str) -> DataFrame | None:
-    """What a table says was written to it in full; None while it says nothing.
+    """What a table says was written to it, record by record; None while it says nothing.
 
-    A job that died while writing has not recorded its input, so that is written again,
-    replacing whatever partitions it left.
+    Records are numbered by ``run``; only the latest of each file or source counts. A job
+    that died while writing has not recorded its input, so that is written again, replacing
+    whatever partitions it left.
     """
     if not exists(spark, f"{out}/{DONE_FOLDER}"):
         return None
     return spark.read.schema(schema).parquet(f"{out}/{DONE_FOLDER}")
 
 
-def mark_finished(done: DataFrame, out: str) -> None:
-    done.write.mode("append").parquet(f"{out}/{DONE_FOLDER}")
+def latest(records: DataFrame, key: str) -> DataFrame:
+    """The record of the last run for each value of ``key``; records without a number come first."""
+    rest = [c for c in records.columns if c not in (key, "run")]
+    numbered = F.struct(F.coalesce("run", F.lit(0).cast("bigint")).alias("run"), *rest)
+    return records.groupBy(key).agg(F.max(numbered).alias("record")).select(key, "record.*")
+
+
+def last_run(records: DataFrame | None) -> int:
+    """The highest number of a record, 0 without any."""
+    if records is None:
+        return 0
+    return int(records.agg(F.coalesce(F.max("run"), F.lit(0))).first()[0])
+
+
+def mark_finished(done: DataFrame, out: str, run: int) -> None:
+    done.withColumn("run", F.lit(run).cast("bigint")).write.mode("append").parquet(f"{out}/{DONE_FOLDER}")
 
 
 def file_mark(path: Column) -> Column:
@@ -124,28 +139,33 @@ def fixed(df: DataFrame, label: str) -> DataFrame:
 
 
 def not_finished(files: DataFrame, done: DataFrame | None) -> DataFrame:
-    """Files that were not converted as they are now: new ones, and those of other size or time."""
+    """Files that the table does not hold as they are now: new ones, and those of other size or time.
+
+    ``done`` has the latest record of each file.
+    """
     if done is None:
         return files
     same = (files["path"] == done["path"]) & (files["size"] == done["size"])
     return files.join(done, same & files["modified"].eqNullSafe(done["modified"]), "left_anti")
 
 
-def forget_changed(spark: SparkSession, pending: DataFrame, done: DataFrame | None, *tables: str) -> None:
+def forget_changed(spark: SparkSession, pending: DataFrame, done: DataFrame, run: int, out: str, *others: str) -> None:
     """Remove what earlier forms of changed files left in the tables, one file at a time.
 
-    A job that dies afterwards converts them anew, as their new form is not recorded.
+    Records first that ``out`` holds no form of them, so that a job that dies afterwards
+    converts them anew even if they are put back to the form they had.
     """
-    if done is None:
-        return
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    known = done.select("path").distinct()
-    changed = pending.join(known, "path", "left_semi").select(
-        vcf.source_of(F.col("path")).alias("source"), file_mark(F.col("path")).alias("mark")
+    changed = pending.join(done.select("path"), "path", "left_semi").select(
+        vcf.source_of(F.col("path")).alias(SOURCE_COL), "path"
     )
-    for row in changed.toLocalIterator():
-        for table in tables:
-            delete_tree(spark, f"{table}/{SOURCE_COL}={escape(row.source)}/{FILE_COL}={row.mark}")
+    if changed.isEmpty():
+        return
+    nothing = changed.withColumn("size", F.lit(None).cast("bigint")).withColumn("modified", F.lit(None).cast("timestamp"))
+    mark_finished(nothing, out, run)
+    for row in changed.select(SOURCE_COL, file_mark(F.col("path")).alias("mark")).toLocalIterator():
+        for table in (out, *others):
+            delete_tree(spark, f"{table}/{SOURCE_COL}={escape(row[SOURCE_COL])}/{FILE_COL}={row.mark}")
 
 
 @dataclass(frozen=True)
@@ -184,17 +204,19 @@ def convert_vcf(
     """
     if mode not in ("fail", "reuse", "overwrite"):
         raise ValueError(f"mode must be fail, reuse or overwrite, not {mode!r}")
-    files = vcf.listed(spark, paths)
+    files, run = vcf.listed(spark, paths), 1
     rejects_path = rejects_out or f"{out}_rejects"
     write_mode = "overwrite" if mode == "reuse" else mode
     if partition_by_source:
-        done = finished(spark, out, FILES_DONE) if mode == "reuse" else None
+        records = finished(spark, out, FILES_DONE) if mode == "reuse" else None
+        done = None if records is None else latest(records, "path")
         files = fixed(not_finished(files, done), "pending-files")
         if done is not None:
             write_mode = "partitions"
             if files.isEmpty():
                 return Converted(scan_split(spark, out, [SOURCE_COL]), out, False, 0, None)
-            forget_changed(spark, files, done, out, rejects_path)
+            run = last_run(records) + 2
+            forget_changed(spark, files, done, run - 1, out, rejects_path)
     elif mode == "reuse" and is_reusable(spark, out, newer_than):
         return Converted(scan(spark, out), out, False, 0, None)
 
@@ -222,7 +244,7 @@ def convert_vcf(
         stored = scan(spark, out)
     else:
         written = vcf.source_of(F.col("path")).alias(SOURCE_COL)
-        mark_finished(files.select(written, "path", "size", "modified"), out)
+        mark_finished(files.select(written, "path", "size", "modified"), out, run)
         made = table.drop(FILE_COL).schema
         first = None if write_mode == "partitions" else made
         stored = scan_split(spark, out, [SOURCE_COL], written=first, empty=made)

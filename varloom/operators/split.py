@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions.alleles import allele_count, allele_rows
 from varloom.functions.paths import decoded_path
-from varloom.operators.sinks import finished, fixed, mark_finished, save
+from varloom.operators.sinks import finished, fixed, last_run, latest, mark_finished, save
 from varloom.schema import (
     ALLELE_SEP,
     EXPLODE_TYPES,
@@ -22,7 +22,7 @@ from varloom.sources.files import delete_tree
 
 LAYOUTS = ("rebalance", "range", "direct")
 # A source that was split, and what its input was like then.
-SOURCES_DONE = f"{SOURCE_COL} string, stamp string"
+SOURCES_DONE = f"{SOURCE_COL} string, stamp string, held boolean, run bigint"
 
 
 def variant_types(variants: DataFrame, type_col: str = TYPE_COL) -> DataFrame:
@@ -124,7 +124,8 @@ def split_by_type(
     if missing:
         raise ValueError(f"columns {missing} not in the table; have {variants.columns}")
     columns = (type_col, source_col)
-    done = None if overwrite else finished(spark, out, SOURCES_DONE)
+    records, run = None if overwrite else finished(spark, out, SOURCES_DONE), 1
+    done = None if records is None else latest(records, SOURCE_COL)
     if source_col not in variants.columns:
         if done is not None:
             raise FileExistsError(f"{out} holds a table, and this one has no column {source_col!r}")
@@ -136,6 +137,7 @@ def split_by_type(
         present = present.withColumn("stamp", F.lit(None).cast("string"))
     if done is not None:
         same = (present[SOURCE_COL].eqNullSafe(done[SOURCE_COL])) & present["stamp"].eqNullSafe(done["stamp"])
+        same = same & F.coalesce(done["held"], F.lit(True))
         present = present.join(done, same, "left_anti")
     pending = fixed(present, "pending-sources")
     if done is not None:
@@ -144,27 +146,34 @@ def split_by_type(
             return table, split_manifest(table, type_col, source_col)
         wanted = pending.select(F.col(SOURCE_COL).alias("_source"))
         variants = variants.join(wanted, F.col(source_col).eqNullSafe(F.col("_source")), "left_semi")
-        forget_sources(spark, out, pending, done, type_col, source_col)
+        run = last_run(records) + 2
+        forget_sources(spark, out, pending, done, run - 1, type_col, source_col)
     rows = explode_alleles(variants, explode_types, list_col, type_col, sep)
     mode = "overwrite" if done is None else "partitions"
     save(spark, laid_out(rows, layout, columns), out, mode=mode, partition_by=columns, profile=profile)
-    mark_finished(pending.select(SOURCE_COL, "stamp"), out)
+    mark_finished(pending.select(SOURCE_COL, "stamp", F.lit(True).alias("held")), out, run)
     table = scan_split(spark, out, columns, written=rows.schema if done is None else None)
     return table, split_manifest(table, type_col, source_col)
 
 
 def forget_sources(
-    spark: SparkSession, out: str, pending: DataFrame, done: DataFrame, type_col: str, source_col: str
+    spark: SparkSession, out: str, pending: DataFrame, done: DataFrame, run: int, type_col: str, source_col: str
 ) -> None:
-    """Remove the folders of sources whose input has changed, one at a time."""
+    """Remove the folders of sources whose input has changed, one at a time.
+
+    Records first that they are no longer held, so that a job that dies afterwards splits
+    them anew whatever their input is like then.
+    """
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    changed = pending.join(done.select(SOURCE_COL).distinct(), SOURCE_COL, "left_semi").select(SOURCE_COL)
+    name = lambda value: "__HIVE_DEFAULT_PARTITION__" if value is None else escape(value)
+    known = done.select(F.col(SOURCE_COL).alias("_known"))
+    changed = pending.join(known, pending[SOURCE_COL].eqNullSafe(known["_known"]), "left_semi").select(SOURCE_COL)
     if changed.isEmpty():
         return
+    mark_finished(changed.select(SOURCE_COL, F.lit(None).cast("string").alias("stamp"), F.lit(False).alias("held")), out, run)
     kinds = scan_split(spark, out, (type_col, source_col)).select(type_col, source_col).distinct()
-    for row in kinds.join(changed, kinds[source_col] == changed[SOURCE_COL], "left_semi").toLocalIterator():
-        kind = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else escape(row[0])
-        delete_tree(spark, f"{out}/{type_col}={kind}/{source_col}={escape(row[1])}")
+    for row in kinds.join(changed, kinds[source_col].eqNullSafe(changed[SOURCE_COL]), "left_semi").toLocalIterator():
+        delete_tree(spark, f"{out}/{type_col}={name(row[0])}/{source_col}={name(row[1])}")
 
 
 def split_manifest(

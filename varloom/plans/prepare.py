@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions.paths import base_name, decoded_path, variant_stem
 from varloom.operators import manifest as M
-from varloom.operators.sinks import FILES_DONE, Converted, convert_listed, file_mark, finished
+from varloom.operators.sinks import FILES_DONE, Converted, convert_listed, file_mark, finished, latest
 from varloom.operators.split import merge_catalogues, split_by_type
 from varloom.schema import EXPLODE_TYPES, FILE_COL, SOURCE_COL, TYPE_COL
 from varloom.sources.columnar import scan
@@ -93,10 +93,9 @@ def prepare_source(
 
 
 def source_stamps(spark: SparkSession, converted: str) -> DataFrame:
-    """(source, stamp): a number over the latest path, size and time of each source's files."""
-    done = finished(spark, converted, FILES_DONE)
-    latest = done.groupBy(SOURCE_COL, "path").agg(F.max(F.struct("modified", "size")).alias("f"))
-    marks = latest.select(SOURCE_COL, F.xxhash64("path", "f.modified", "f.size").alias("h"))
+    """(source, stamp): a number over path, size and time of each source's files as last converted."""
+    forms = latest(finished(spark, converted, FILES_DONE), "path")
+    marks = forms.select(SOURCE_COL, F.xxhash64("path", "modified", "size").alias("h"))
     return marks.groupBy(SOURCE_COL).agg(F.hex(F.bit_xor("h")).alias("stamp"))
 
 
@@ -112,7 +111,7 @@ def file_status(
     named = wanted.select("path", "size", "modified", source_of(F.col("path")).alias(SOURCE_COL))
     if converted is None:
         return named.drop("modified").withColumn("status", F.lit("not converted"))
-    done = finished(spark, converted.path, FILES_DONE).select("path", "size", "modified").distinct()
+    done = latest(finished(spark, converted.path, FILES_DONE), "path").select("path", "size", "modified")
     done = done.withColumn("done", F.lit(True))
     mark = F.regexp_extract("path", f"/{FILE_COL}=([^/]*)/", 1).alias("mark")
     stored = collect_parquet(spark, converted.path).select(mark).distinct().withColumn("stored", F.lit(True))

@@ -24,6 +24,7 @@ from varloom.plans import prepare, publish
 from varloom.plans import views as V
 from varloom.session import new_folder
 from varloom.sources import columnar, presets, vcf
+from varloom.sources.files import rename
 from varloom.sources.listing import collect_parquet, list_files, matching, with_names
 from varloom.streaming.incremental import incremental_convert
 
@@ -490,6 +491,33 @@ def k5_rejects(spark, sf):
     return kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+CHANGED_LINES = """{start} y as (
+  select chrom, start, id, ref, alt, qual, tsa, db, score as sc, 'chr1' as source from v)
+select * from y"""
+
+
+def _two_forms(spark: SparkSession, sf: str, label: str) -> tuple[str, str, str]:
+    """Folders of all variants in files of equal names: as they are, and later with other ids and scores."""
+    folder = new_folder(spark, label)
+    rows = columnar.spread(V.variants(spark, sf))
+    V.write_named(spark, V.vcf_lines(rows), f"{folder}/first", "chr1.vcf")
+    other = rows.withColumn("id", F.concat(F.col("id"), F.lit("other"))).withColumn("score", F.col("score") + 1)
+    V.write_named(spark, V.vcf_lines(other), f"{folder}/second", "chr1.vcf")
+    return folder, f"{folder}/first", f"{folder}/second"
+
+
+@query("k5_file_changed_back", CHANGED_LINES.format(start=V.WITH_VARIANTS + ","))
+def k5_changed_back(spark, sf):
+    """Files replaced by others of the same names, then put back with their old times."""
+    folder, first, second = _two_forms(spark, sf, "k5b")
+    inside = f"{folder}/in"
+    for form in (first, second, first):
+        rename(spark, form, inside)
+        done = _convert_below(spark, folder)
+        rename(spark, inside, form)
+    return done.table.select(*TWICE_COLUMNS)
+
+
 @query("k6_rebuilt_when_input_changes", f"{V.WITH_VARIANTS} select chrom, start, id, tsa from v")
 def k6_rebuilt(spark, sf):
     """A copy older than its table is made again."""
@@ -523,6 +551,35 @@ def k7_tree(spark, sf):
     return table.select(*SPLIT_COLUMNS)
 
 
+DAMAGED = ("deletion", "indel")
+
+
+@query(
+    "k7_damaged_file_left_out",
+    f"""{V.WITH_VARIANTS}
+    select tsa, start, id, cast(null as varchar) as problem from v where tsa not in {DAMAGED}
+    union all select tsa, cast(null as bigint), cast(null as varchar), case tsa
+      when 'indel' then 'no footer' else concat('some of ', count(*), ' rows are readable') end
+    from v where tsa in {DAMAGED} group by tsa""",
+)
+def k7_damaged(spark, sf):
+    """A table whose files of one type have damaged pages, and those of another no footer: what
+    is left of it, and the report of the files left out, summed up by type."""
+    folder = new_folder(spark, "k7d")
+    rows = columnar.spread(V.variants(spark, sf).select("tsa", "start", "id"))
+    rows.write.partitionBy("tsa").parquet(f"{folder}/in")
+    kind = F.regexp_extract("path", "/tsa=([^/]*)/", 1).alias("tsa")
+    harmed = collect_parquet(spark, f"{folder}/in").select("path", "size", kind).filter(kind.isin(*DAMAGED))
+    harmed.mapInArrow(V.harm_files, "path string").write.format("noop").mode("overwrite").save()
+    table, left_out = RE.reencode_tree(spark, f"{folder}/in", f"{folder}/out", on_error="skip", partition_by=("tsa",))
+    summed = left_out.groupBy(kind).agg(F.sum("rows").alias("rows"), F.count_if(F.col("readable") >= F.col("rows")).alias("whole"))
+    text = F.when(F.col("rows").isNull(), "no footer").when(
+        F.col("whole") == 0, F.concat(F.lit("some of "), F.col("rows").cast("string"), F.lit(" rows are readable"))
+    )
+    report = summed.select("tsa", text.alias("problem"))
+    return table.select("tsa", "start", "id").unionByName(report, allowMissingColumns=True)
+
+
 @query(
     "k8_reencode_report",
     f"""{V.WITH_FILES},
@@ -1019,8 +1076,19 @@ def p1_status(spark, sf):
         chosen = columnar.spread(V.variants(spark, sf).filter(F.col("source") == name))
         V.write_named(spark, V.vcf_lines(chosen), f"{folder}/in", f"{name}.vcf")
     V.write_named(spark, spark.createDataFrame([("##nothing",)], "value string"), f"{folder}/in", "empty.vcf")
-    done = prepare.prepare_source(spark, f"{folder}/in", f"{folder}/out", info_fields=["TSA"])
-    return done.status.select("source", "status")
+    done = prepare.prepare_source(spark, f"{folder}/in/*", f"{folder}/out", info_fields=["TSA"])
+    return done.status.select("source", "status").distinct()
+
+
+@query("p1_older_file_time", PREPARED_SPLIT)
+def p1_older_time(spark, sf):
+    """Files replaced by older ones: the variants and their split follow what is there now."""
+    folder, older, newer = _two_forms(spark, sf, "p1o")
+    for form in (newer, older):
+        rename(spark, form, f"{folder}/in")
+        done = prepare.prepare_source(spark, f"{folder}/in/*", f"{folder}/out", with_splitting=True)
+        rename(spark, f"{folder}/in", form)
+    return done.split_table.select("chrom", "start", "id", "ref", "alt", "tsa")
 
 
 @query("p2_prepare_named_source", PREPARED_SPLIT)

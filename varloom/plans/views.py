@@ -6,6 +6,7 @@ and its oracle. Every view covers its whole base tables.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -156,18 +157,51 @@ def write_vcf(spark: SparkSession, lines: DataFrame, folder: str, compression: s
 def write_named(
     spark: SparkSession, lines: DataFrame, folder: str, name: str, header: Sequence[str] | None = None
 ) -> str:
-    """Write lines as one file of a given name, which takes one task, the header before them."""
-    top = vcf_header(spark)
+    """Write lines as files ``<folder>/p<number>/<name>``, one for each partition with lines.
+
+    The header stands before the lines of each. A task run again replaces its own file.
+    """
+    top = [r.value for r in vcf_header(spark).collect()]
     if header is not None:
-        top = spark.createDataFrame([(h,) for h in ["##fileformat=VCFv4.2", *header]], "value string")
-    place = new_folder(spark, "named")
-    both = top.withColumn("part", F.lit(0)).unionAll(lines.select("value").withColumn("part", F.lit(1)))
-    both.repartition(1).sortWithinPartitions("part").select("value").write.text(place)
-    whole = [r.path for r in list_files(spark, place).collect()]
-    (fs, source), (_, target) = file_system(whole[0]), file_system(f"{folder}/{name}")
-    fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-    fs.move(source, target)
-    return f"{folder}/{name}"
+        top = ["##fileformat=VCFv4.2", *header]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        first = next(batches, None)
+        if first is None:
+            return
+        fs, place = file_system(f"{folder}/p{task.partitionId()}")
+        part = f"{place}/.{name}-{task.taskAttemptId()}"
+        fs.create_dir(place, recursive=True)
+        with fs.open_output_stream(part, compression=None) as out:
+            out.write("".join(f"{line}\n" for line in top).encode())
+            for batch in itertools.chain([first], batches):
+                out.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode())
+        fs.move(part, f"{place}/{name}")
+        yield pa.RecordBatch.from_arrays([pa.array([f"{place}/{name}"])], ["path"])
+
+    lines.select("value").mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def harm_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task body: rows (path, size, tsa) of Parquet files to damage, in the pages or, for indels, in the footer."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            fs, inner = file_system(row["path"])
+            with fs.open_input_stream(inner, compression=None) as stream:
+                data = bytearray(stream.read())
+            at = len(data) - 12 if row["tsa"] == "indel" else 4
+            data[at : at + 12 if at > 4 else len(data) // 2] = b"\xff" * (min(12, len(data) - at) if at > 4 else len(data) // 2 - 4)
+            # A sum of the file that a writer left beside it would tell before Parquet does.
+            folder, _, name = inner.rpartition("/")
+            if fs.get_file_info(f"{folder}/.{name}.crc").type.name == "File":
+                fs.delete_file(f"{folder}/.{name}.crc")
+            with fs.open_output_stream(inner, compression=None) as out:
+                out.write(bytes(data))
+        yield batch.select(["path"])
 
 
 def write_blocks(spark: SparkSession, source: str, folder: str) -> str:

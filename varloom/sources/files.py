@@ -41,6 +41,15 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another place; its files keep their times. An error if there is none."""
+    fs, source = _hadoop(spark, path)
+    target = _hadoop(spark, to)[1]
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def is_complete(spark: SparkSession, table: str) -> bool:
     """A table counts as present only once its committed-job marker exists."""
     return exists(spark, f"{table}/_SUCCESS")
