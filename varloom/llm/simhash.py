@@ -316,19 +316,22 @@ def _with_node(text: str, extra: str):
 
 
 def rare_shingles(sets: DataFrame) -> DataFrame:
-    """(token, node, size, n): the rarest shingles of each set that others have too, and in how many sets.
+    """(token, node, size, n, at): the rarest shingles of each set that others have too, and in how many sets.
 
-    Sets as similar as ``COPY_SHARE`` share one of their ``size - ceil(share * size) + 1`` rarest
-    shingles, in any order that all sets agree on. Those that no other set has come first and
-    join nothing; a set with so many of them has no partner, and no row here.
+    Two sets as similar as ``COPY_SHARE`` share one of their ``size - ceil(share * size) + 1``
+    rarest shingles, in any order that all sets agree on; ``at`` is a shingle's place in that
+    order. Shingles that no other set has come first and join nothing; a set with so many of
+    them has no partner, and no row here.
     """
     part, whole = COPY_SHARE
     tokens = sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     held = tokens.join(common, "token").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"))
-    own = F.col("size") - F.size("t")
-    room = F.greatest(F.lit(0), F.expr(f"size - (size * {part} + {whole - 1}) div {whole} + 1").cast("int") - own)
-    return held.select("node", "size", F.explode(F.slice("t", F.lit(1), room)).alias("t")).select("t.token", "node", "size", "t.n")
+    held = held.withColumn("own", F.col("size") - F.size("t"))
+    room = F.expr(f"cast(size - (size * {part} + {whole - 1}) div {whole} + 1 as int)") - F.col("own")
+    some = F.posexplode(F.slice("t", F.lit(1), F.greatest(F.lit(0), room))).alias("at", "t")
+    each = held.select("node", "size", "own", some)
+    return each.select("t.token", "node", "size", "t.n", (F.col("own") + F.col("at")).alias("at"))
 
 
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -355,15 +358,20 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     part, whole = COPY_SHARE
     low = df.sparkSession.createDataFrame([], "bits long, low long")
     done, now = 0, FIRST_ROUND
+    # First, each set meets others by one shingle only: copies of a large group share many, and
+    # would meet once for each of them.
+    one = buckets.groupBy("node").agg(F.max(F.struct(-F.col("at"), "token", "n", "size", "at", "turn")).alias("o")).select("node", "o.token", "o.n", "o.size", "o.at", "o.turn")
+    few = True
     while True:
-        labelled = buckets.join(low.withColumnRenamed("bits", "node"), "node", "left")
+        labelled = (one if few else buckets).join(low.withColumnRenamed("bits", "node"), "node", "left")
         labelled = labelled.withColumn("low", F.coalesce("low", "node"))
         apart = labelled.groupBy("token").agg(F.min("low").alias("x"), F.max("low").alias("y")).filter("x != y").select("token")
         labelled = stored(labelled.join(apart, "token"), "apart")
         some = labelled.filter((F.col("turn") >= done) & (F.col("turn") < now))
+        # Behind the first shingle that both have, in the order, neither can share more than it still holds.
         pairs = some.alias("x").join(labelled.alias("y"), "token").filter(
             "(y.turn, y.node) > (x.turn, x.node) AND y.low != x.low "
-            f"AND least(x.size, y.size) * {whole} >= greatest(x.size, y.size) * {part}"
+            f"AND least(x.size - x.at, y.size - y.at) * {part + whole} >= (x.size + y.size) * {part}"
         )
         pairs = stored(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
         if not pairs.isEmpty():
@@ -375,6 +383,9 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 F.greatest("a", "b").alias("bits"), F.least("a", "b").alias("low")
             )
             low = components(low.union(found))
+        if few:
+            few = False
+            continue
         if labelled.filter(F.col("n") > now).isEmpty():
             break
         done, now = now, 4 * now
