@@ -20,7 +20,7 @@ from varloom.operators import manifest as M
 from varloom.operators import reencode as RE
 from varloom.operators import sinks as K
 from varloom.operators import split as S
-from varloom.plans import prepare, publish
+from varloom.plans import prepare, publish, versions
 from varloom.plans import views as V
 from varloom.session import new_folder
 from varloom.sources import columnar, presets, vcf
@@ -793,19 +793,44 @@ def m10_publish(spark, sf):
 
 @query(
     "m10_publish_twice",
-    f"{V.WITH_VARIANTS}, y as ({EXPLODED}) select * from y where start % 20 = 1",
+    f"{V.WITH_VARIANTS}, y as ({EXPLODED}) "
+    "select chrom, start, concat(id, ' again') as id, ref, alt, tsa, source from y",
 )
 def m10_twice(spark, sf):
     """A table written anew replaces what was published, and nothing hidden stays behind."""
     _, _, out = _split(spark, sf, "m10t")
     target = f"{new_folder(spark, 'm10t')}/hub"
     publish.publish(spark, out, target)
-    rows = columnar.spread(V.variants(spark, sf).select(*SPLIT_COLUMNS)).filter("start % 20 = 1")
-    S.split_by_type(spark, rows, out, overwrite=True)
+    S.split_by_type(spark, _renamed(spark, sf), out, overwrite=True)
     publish.publish(spark, out, target, stale="remove")
     return columnar.scan_split(spark, f"{target}/data").select(*SPLIT_COLUMNS)
 
 
+def _renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """All variants with other ids."""
+    rows = columnar.spread(V.variants(spark, sf).select(*SPLIT_COLUMNS))
+    return rows.withColumn("id", F.concat(F.col("id"), F.lit(" again")))
+
+
+@query(
+    "m10_publish_versions",
+    f"{V.WITH_VARIANTS}, y as ({EXPLODED}) select y.*, 'first' as version from y "
+    "union all select chrom, start, concat(id, ' again'), ref, alt, tsa, source, 'second' from y",
+)
+def m10_versions(spark, sf):
+    """What a reader of the target finds after each of two publications, each whole."""
+    _, _, out = _split(spark, sf, "m10v")
+    target = f"{new_folder(spark, 'm10v')}/hub"
+    found = []
+    for name in ("first", "second"):
+        if found:
+            S.split_by_type(spark, _renamed(spark, sf), out, overwrite=True)
+        versions.publish_version(spark, out, target)
+        table = columnar.scan_split(spark, f"{versions.current_version(spark, target)}/data")
+        found.append(table.select(*SPLIT_COLUMNS).withColumn("version", F.lit(name)))
+    return found[0].unionByName(found[1])
+
+
 STATS_SQL = """
 select count(*) as num_files, sum(size) / 1073741824.0 as total_size_gb,
        string_agg(distinct source, ',' order by source) as variant_types from expected
