@@ -8,6 +8,7 @@ from conftest import plan_of, rows
 
 from varloom.operators import annotate as AN
 from varloom.operators import lookup as LK
+from varloom.operators import split as S
 
 MADE = ("concat('chr', id % 5) chrom", "id start", "'A' ref", "'C' alt")
 KEYS = "chrom string, start bigint, ref string, alt string"
@@ -75,6 +76,64 @@ def test_agreement_without_broadcast_at_all(spark, sides):
         spark.conf.set(key, before)
 
 
+@pytest.mark.parametrize("heavy_rows", [1, 5, 40, 10_000, 0])
+@pytest.mark.parametrize("max_bytes", [1, 1 << 20])
+@pytest.mark.parametrize("reduction", AN.REDUCTIONS)
+def test_heavy_keys_in_parts_agree_with_brute_force(spark, sides, heavy_rows, max_bytes, reduction):
+    left, right, sample, table = sides
+    many = [("chr1", 7, "A", "G", f"many-{n}") for n in range(90)] + [("chr1", 7, "A", "G", "same")] * 3
+    more = table.unionByName(spark.createDataFrame(many, KEYS + ", ann string"))
+    got = AN.annotate(sample, more, ["ann"], reduction=reduction, heavy_rows=heavy_rows, max_bytes=max_bytes)
+    assert got.columns == [*sample.columns, "ann"]
+    assert rows(got, "sid", "ann") == joined_by_hand(left, right + many)
+    assert AN.annotate(sample.limit(0), more, ["ann"], heavy_rows=heavy_rows).isEmpty()
+    assert AN.annotate(sample, more.limit(0), ["ann"], heavy_rows=heavy_rows).filter("ann is null").count() == len(left)
+
+
+def test_a_hot_annotation_key_fills_no_single_task(spark, tmp_path):
+    made = "if(id % 3 = 0, 'hot', concat('k', id)) chrom", "7L start", "'A' ref", "'C' alt", "id ann"
+    spark.range(30_000).selectExpr(*made).write.parquet(str(tmp_path / "a"))
+    table = spark.read.parquet(str(tmp_path / "a"))
+    sample = table.groupBy("chrom", "start", "ref", "alt").count().drop("count")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, ("-1", "16", "false"), strict=True):
+        spark.conf.set(name, value)
+    try:
+        got = AN.annotate(sample, table, ["ann"], reduction="none", heavy_rows=100)
+        sizes = [r[0] for r in got.groupBy(AN.F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 30_000 and got.select("ann").distinct().count() == 30_000
+        assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+
+
+def test_a_bucketed_annotation_table_stays_where_it_is(spark, tmp_path):
+    made = "if(id % 3 = 0, 'hot', concat('k', id)) chrom", "id % 50 start", "'A' ref", "'C' alt", "id ann"
+    table = spark.range(5000).selectExpr(*made)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        stored = AN.store_in_buckets(table, "annotation_in_buckets", str(tmp_path / "b"), buckets=8)
+        made = "if(id % 2 = 0, 'hot', concat('k', id)) chrom", "id % 50 start", "'A' ref", "if(id < 390, 'C', null) alt", "id sid"
+        spark.range(400).selectExpr(*made).write.parquet(str(tmp_path / "sample"))
+        sample = spark.read.parquet(str(tmp_path / "sample"))
+        plain = AN.annotate(sample, table, ["ann"], reduction="none", heavy_rows=0)
+        for options in ({"reduction": "none"}, {"reduction": "keys"}):
+            got = AN.annotate(sample, stored, ["ann"], heavy_rows=0, **options)
+            assert plan_of(got).count("Arguments: hashpartitioning") == 1, plan_of(got)
+            assert rows(got, "sid", "ann") == rows(plain, "sid", "ann")
+        parts = AN.annotate(sample, stored, ["ann"], reduction="none", heavy_rows=20)
+        assert rows(parts, "sid", "ann") == rows(plain, "sid", "ann")
+        counted = parts.groupBy("chrom", "start", "ref", "alt").count()
+        assert rows(counted) == rows(plain.groupBy("chrom", "start", "ref", "alt").count())
+    finally:
+        spark.conf.set(key, before)
+        spark.sql("DROP TABLE IF EXISTS annotation_in_buckets")
+
+
 def test_annotation_is_cut_where_it_is_scanned(spark, sides, tmp_path):
     _, _, sample, table = sides
     table.write.parquet(str(tmp_path / "a.parquet"))
@@ -167,6 +226,30 @@ def test_range_scan(stored):
     assert "TakeOrderedAndProject" in plan_of(top)
 
 
+def test_range_scan_opens_only_files_that_meet_the_range(spark, tmp_path):
+    rows_in = [(f"chr{c}", p, "A", "C", f"{c}-{p}", kind, "s[1]") for c in (1, 2, 3) for p in range(0, 2000, 10) for kind in ("SNV", "indel")]
+    rows_in.append((None, None, "A", "C", "none", None, None))
+    table = spark.createDataFrame(rows_in, KEYS + ", id string, tsa string, source string")
+    out = str(tmp_path / "split")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        whole, _ = S.split_by_type(spark, table, out, (), layout="range")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    bounds = LK.file_bounds(spark, out)
+    for low, high, chrom in [(100, 150, "chr2"), (0, 5000, None), (1990, 1990, None), (-9, -1, None), (0, 9, "chrX")]:
+        got = LK.range_scan_files(spark, out, bounds, low, high, chrom)
+        assert got.columns == whole.columns
+        assert rows(got) == rows(LK.range_scan(whole, low, high, chrom))
+        scanned = LK.range_scan_files(spark, out, bounds, low, high, chrom, max_files=0)
+        assert rows(scanned) == rows(got)
+    few = LK.range_scan_files(spark, out, bounds, 100, 150, "chr2")
+    assert 0 < len(few.inputFiles()) < len(whole.inputFiles()) / 2
+
+
 def test_text_match(stored):
     assert rows(LK.match_text(stored, "clnsig", "Pathogenic"), "id") == [("rs1",), ("rs4",)]
     assert LK.match_text(stored, "clnsig", "Path.*").count() == 0

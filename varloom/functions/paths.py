@@ -99,10 +99,20 @@ def first_component(relative: Column) -> Column:
 
 def partition_value(component: Column) -> Column:
     """``tsa=SNV`` -> ``SNV``; other directory names are returned as they are."""
-    value = F.regexp_replace(component, "^[^=]+=", "")
+    return unescaped(F.regexp_replace(component, "^[^=]+=", ""))
+
+
+def unescaped(value: Column) -> Column:
+    """The text that a folder name spells; ``+`` in it is a literal plus."""
     return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
 
 
+def folder_value(path: Column, column: str) -> Column:
+    """What the last folder ``column=value`` in a listed path stands for; null for a null value."""
+    folder = F.regexp_extract(path, f".*/{re.escape(column)}=([^/]*)/", 1)
+    return F.when(folder != "__HIVE_DEFAULT_PARTITION__", unescaped(folder))
+
+
 def human_bytes(size: Column) -> Column:
     """A byte count as text: whole bytes below 1 KB, one decimal above."""
     text = None

@@ -14,8 +14,12 @@ what is left takes part in the join. How is chosen by size:
 
 The cuts are taken from keys that are stored once, and the join uses the sample itself. A
 sample that is another table each time it is read, such as one with an unordered limit,
-must be stored by the caller, or its rows may be cut off. A key that the annotation table
-repeats very often cannot be split in a left join; ``dedupe_keys`` is the way out.
+must be stored by the caller, or its rows may be cut off.
+
+A key that the annotation table repeats very often cannot be split in a left join. Such keys
+are counted first and joined apart: their annotations are dealt to parts, and the few sample
+rows of these keys are repeated for each part. A table that is annotated from often is stored
+in buckets of its key, so that only the sample moves.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom.operators.lookup import annotated_only
+from varloom.operators.sinks import fixed
 from varloom.schema import KEY_COLUMNS
 from varloom.session import new_folder
 
@@ -39,6 +44,9 @@ POSITION_COLUMNS = ("chrom", "start")
 # A cut pays off only if the annotation table is this many times the sample.
 WORTHWHILE_RATIO = 4
 MAX_LISTED_CHROMS = 200
+# A key with at least this many annotations is joined in parts of about as many.
+HEAVY_ROWS = 1_000_000
+BUCKETS = 200
 
 # Columns of the clinical source and the prefix of its frequency columns.
 CLINICAL_COLUMNS = ("clnsig", "clndn", "clnrevstat", "clnvc", "mc")
@@ -89,8 +97,10 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_threshold(df: DataFrame) -> int:
-    """Spark's own bound in bytes, whatever unit it is written in."""
+    """Spark's own bound in bytes, whatever unit it is written in; 0 where it never broadcasts."""
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    if text.startswith("-"):
+        return 0
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
@@ -124,6 +134,48 @@ def one_per_key(annotation: DataFrame, keys: Sequence[str], columns: Sequence[st
     return picked.select(*keys, *[F.col("_a").getField(c).alias(c) for c in columns])
 
 
+def heavy_keys(annotation: DataFrame, keys: Sequence[str], heavy_rows: int) -> DataFrame:
+    """(keys, _parts): keys of at least ``heavy_rows`` rows, and into how many parts they go.
+
+    Counted with partial sums before anything moves, and stored.
+    """
+    counted = annotation.select(*keys).na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = F.ceil(F.col("_rows") / heavy_rows).cast("bigint")
+    return fixed(counted.filter(F.col("_rows") >= heavy_rows).select(*keys, parts.alias("_parts")), "heavy-keys")
+
+
+def join_in_parts(
+    sample: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    heavy_rows: int,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """The left join of ``annotate``, with the annotations of heavy keys dealt to parts.
+
+    A heavy key has annotations by its definition, so its sample rows need no outer join.
+    The dealt rows are stored, as a second run of a task might deal them otherwise.
+    """
+    heavy = heavy_keys(right, keys, heavy_rows)
+    weight = sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(ROW_OVERHEAD))
+    size = heavy.agg(F.sum(weight)).first()[0]
+    if size is None:
+        return sample.join(right, list(keys), "left").select(*sample.columns, *columns)
+    listed = F.broadcast(heavy) if size <= max_bytes else heavy
+    named = listed.select(*keys)
+    light = sample.join(named, list(keys), "left_anti").join(
+        right.join(named, list(keys), "left_anti"), list(keys), "left"
+    )
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")).alias("_part")
+    dealt = fixed(right.join(listed, list(keys)).select(*keys, *columns, part), "dealt-annotations")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part")
+    repeated = sample.join(listed, list(keys)).select(*sample.columns, every)
+    met = repeated.join(dealt, [*keys, "_part"])
+    wanted = [*sample.columns, *columns]
+    return light.select(*wanted).unionByName(met.select(*wanted))
+
+
 def annotate(
     sample: DataFrame,
     annotation: DataFrame,
@@ -132,19 +184,43 @@ def annotate(
     reduction: str = "auto",
     dedupe_keys: bool = False,
     max_bytes: int = MAX_BROADCAST_BYTES,
+    heavy_rows: int | None = None,
 ) -> DataFrame:
     """Every sample row with the annotation columns of its key, null where none.
 
     Several annotations of a key give several rows, unless ``dedupe_keys``. A null in a
-    key matches nothing.
+    key matches nothing. Keys of ``heavy_rows`` annotations or more are joined in parts;
+    without a number that is ``HEAVY_ROWS`` where Spark would shuffle the annotation, and
+    with 0 no key is counted.
     """
     right = annotation.select(*keys, *columns)
     right = reduce_annotation(right, sample, keys, reduction, max_bytes)
     if dedupe_keys:
         right = one_per_key(right, keys, columns)
+    elif heavy_rows or (heavy_rows is None and estimated_bytes(right) > broadcast_threshold(right)):
+        return join_in_parts(sample, right, keys, columns, heavy_rows or HEAVY_ROWS, max_bytes)
     return sample.join(right, list(keys), "left").select(*sample.columns, *columns)
 
 
+def store_in_buckets(
+    annotation: DataFrame,
+    name: str,
+    path: str | None = None,
+    keys: Sequence[str] = KEY_COLUMNS,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Store an annotation table as the catalogue's table ``name``, in sorted buckets of its key.
+
+    Joins by exactly these keys then move the sample only, to as many tasks as there are
+    buckets. Rows are dealt by key before the write, so that a bucket is one file or few;
+    adaptive execution cuts a bucket that a hot key makes large.
+    """
+    dealt = annotation.hint("rebalance", buckets, *[F.col(k) for k in keys])
+    writer = dealt.write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return annotation.sparkSession.table(name)
+
+
 def columns_like(table: DataFrame, pattern: str) -> list[str]:
     """Columns whose whole name matches a pattern, in any case."""
     return [c for c in table.columns if re.fullmatch(pattern, c, re.IGNORECASE)]

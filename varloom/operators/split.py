@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions.alleles import allele_count, allele_rows
-from varloom.functions.paths import decoded_path
+from varloom.functions.paths import folder_value
+from varloom.operators.reencode import check_footers
 from varloom.operators.sinks import finished, fixed, last_run, latest, mark_finished, save
 from varloom.schema import (
     ALLELE_SEP,
@@ -19,6 +20,7 @@ from varloom.schema import (
 )
 from varloom.sources.columnar import scan_split
 from varloom.sources.files import delete_tree
+from varloom.sources.listing import collect_parquet
 
 LAYOUTS = ("rebalance", "range", "direct")
 # A source that was split, and what its input was like then.
@@ -143,7 +145,7 @@ def split_by_type(
     if done is not None:
         if pending.isEmpty():
             table = scan_split(spark, out, columns)
-            return table, split_manifest(table, type_col, source_col)
+            return table, split_manifest(spark, out, type_col, source_col)
         wanted = pending.select(F.col(SOURCE_COL).alias("_source"))
         variants = variants.join(wanted, F.col(source_col).eqNullSafe(F.col("_source")), "left_semi")
         run = last_run(records) + 2
@@ -153,7 +155,7 @@ def split_by_type(
     save(spark, laid_out(rows, layout, columns), out, mode=mode, partition_by=columns, profile=profile)
     mark_finished(pending.select(SOURCE_COL, "stamp", F.lit(True).alias("held")), out, run)
     table = scan_split(spark, out, columns, written=rows.schema if done is None else None)
-    return table, split_manifest(table, type_col, source_col)
+    return table, split_manifest(spark, out, type_col, source_col)
 
 
 def forget_sources(
@@ -177,24 +179,20 @@ def forget_sources(
 
 
 def split_manifest(
-    table: DataFrame, type_col: str = TYPE_COL, source_col: str = SOURCE_COL
+    spark: SparkSession, out: str, type_col: str = TYPE_COL, source_col: str = SOURCE_COL
 ) -> DataFrame:
     """Files of a split table: variant_type, source, path, size, rows.
 
-    Reads no column, but counts the rows of each file where the ``rows`` are asked for.
+    From a listing of its folder and from what the files' footers say; no row is read.
     """
-    return (
-        table.select(
-            F.col(type_col).alias("variant_type"),
-            F.col(source_col).alias("source"),
-            F.col("_metadata.file_path").alias("uri"),
-            F.col("_metadata.file_size").alias("size"),
-        )
-        .groupBy("variant_type", "source", "uri", "size")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(
-            "variant_type", "source", decoded_path(F.col("uri")).alias("path"), "size", "rows"
-        )
+    files = collect_parquet(spark, out).select("path", "size")
+    counted = check_footers(files).select("path", "rows")
+    return files.join(counted, "path").select(
+        folder_value(F.col("path"), type_col).alias("variant_type"),
+        folder_value(F.col("path"), source_col).alias("source"),
+        "path",
+        "size",
+        "rows",
     )
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.functions.paths import base_name, decoded_path, variant_stem
+from varloom.functions.paths import base_name, decoded_path, folder_value, variant_stem
 from varloom.operators import manifest as M
 from varloom.operators.sinks import FILES_DONE, Converted, convert_listed, file_mark, finished, latest
 from varloom.operators.split import merge_catalogues, split_by_type
@@ -87,8 +87,8 @@ def prepare_source(
             overwrite=overwrite,
             stamps=source_stamps(spark, converted.path),
         )
-        M.fail_on_problems(split_problems(converted.table, splits))
-    counts = conversion_counts(files, converted, always_variant)
+        M.fail_on_problems(split_problems(stored_sources(spark, converted.path), stored_sources(spark, f"{out}/split")))
+    counts = inputs_and_sources(files, converted, always_variant)
     return Prepared(files, passed, converted, counts, split_table, splits, status, sizes)
 
 
@@ -160,7 +160,12 @@ def check_expected(expected: DataFrame, files: DataFrame) -> DataFrame:
     return sizes
 
 
-def conversion_counts(
+def stored_sources(spark: SparkSession, table: str) -> DataFrame:
+    """(source) of a table laid out by source, from a listing of its files."""
+    return collect_parquet(spark, table).select(folder_value(F.col("path"), SOURCE_COL).alias(SOURCE_COL)).distinct()
+
+
+def inputs_and_sources(
     files: DataFrame, converted: Converted | None, always_variant: bool = False
 ) -> DataFrame:
     """Variant inputs against converted sources (``n_variant``, ``n_parquet``,
@@ -171,16 +176,16 @@ def conversion_counts(
         return inputs.withColumn("n_parquet", F.lit(0).cast("bigint")).withColumn(
             "complete", F.col("n_variant") == 0
         )
-    made = converted.table.select(SOURCE_COL).distinct().count()
+    made = stored_sources(files.sparkSession, converted.path).count()
     return inputs.withColumn("n_parquet", F.lit(made).cast("bigint")).withColumn(
         "complete", F.col("n_parquet") >= F.col("n_variant")
     )
 
 
-def split_problems(table: DataFrame, splits: DataFrame) -> DataFrame:
-    """Check that every source of a table has at least one split file."""
-    sources = table.select(F.col(SOURCE_COL).alias("name")).distinct()
-    made = splits.select(F.col("source").alias("name"), F.lit(True).alias("exists"))
+def split_problems(converted: DataFrame, split: DataFrame) -> DataFrame:
+    """Check that every source of a table has at least one split file; both sides name their sources."""
+    sources = converted.select(F.col(SOURCE_COL).alias("name"))
+    made = split.select(F.col(SOURCE_COL).alias("name"), F.lit(True).alias("exists"))
     return M.check_splits(sources, sources, made)
 
 
@@ -218,7 +223,7 @@ def stem_of_input(spark: SparkSession, paths: Sequence[str]) -> Column:
 __all__ = [
     "Prepared",
     "check_expected",
-    "conversion_counts",
+    "inputs_and_sources",
     "merge_catalogues",
     "prepare_named",
     "prepare_source",

@@ -890,6 +890,19 @@ def q1_range(spark, sf):
     )
 
 
+@query(
+    "q1_range_scan_of_chosen_files",
+    f"{V.WITH_VARIANTS}, y as ({EXPLODED}) select chrom, start, id, ref, alt, tsa, source from y "
+    "where chrom = 'chr3' and start between 1000 and 500000",
+)
+def q1_chosen_files(spark, sf):
+    """Bounds in the footers of a split by range choose the files that are opened."""
+    _, _, out = _split(spark, sf, "q1f", layout="range")
+    return LK.range_scan_files(
+        spark, out, LK.file_bounds(spark, out), 1000, 500000, "chr3", columns=list(SPLIT_COLUMNS)
+    )
+
+
 @query(
     "q1_range_scan_top",
     f"{V.WITH_VARIANTS} select chrom, start, ref, alt, id from v "
@@ -981,6 +994,32 @@ def q4_reduced_by_bitmap(spark, sf):
     return joined.select("id", "start", "alt", "clnsig")
 
 
+HOT_ORACLE = (
+    f"with v as ({V.VARIANTS}), r as ({V.CLINICAL_HOT}) "
+    f"select q.id, q.start, q.alt, r.clnsig, r.clndn from v q left join r on {ON_KEY}"
+)
+
+
+@query("q4_annotate_hot_key", HOT_ORACLE)
+def q4_hot(spark, sf):
+    """One key holds a tenth of the annotation table; it is joined in parts."""
+    sample = V.variants(spark, sf).select("chrom", "start", "ref", "alt", "id")
+    known = V.clinical_hot(spark, sf)
+    joined = AN.annotate(sample, known, ["clnsig", "clndn"], reduction="none", heavy_rows=1000)
+    return joined.select("id", "start", "alt", "clnsig", "clndn")
+
+
+@query("q4_annotate_from_buckets", HOT_ORACLE)
+def q4_buckets(spark, sf):
+    """The annotation table is stored once in buckets of its key; only the sample moves."""
+    place = new_folder(spark, "q4b")
+    name = "annotation_" + place.rsplit("-", 1)[1]
+    known = AN.store_in_buckets(V.clinical_hot(spark, sf), name, f"{place}/buckets", buckets=16)
+    sample = V.variants(spark, sf).select("chrom", "start", "ref", "alt", "id")
+    joined = AN.annotate(sample, known, ["clnsig", "clndn"], reduction="none", heavy_rows=1000)
+    return joined.select("id", "start", "alt", "clnsig", "clndn")
+
+
 @query(
     "q4_annotate_by_id_key",
     f"{V.WITH_BOTH} select q.id, q.start, r.clnsig from v q "

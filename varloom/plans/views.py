@@ -44,6 +44,15 @@ select concat('chr', o_orderkey % 22 + 1) as chrom, o_orderkey * 10 + 1 as start
 from orders
 """
 
+# The same with a tenth of its rows under one key.
+CLINICAL_HOT = f"""
+select case when start % 100 = 1 then 'chr2' else chrom end as chrom,
+       case when start % 100 = 1 then 11 else start end as start,
+       case when start % 100 = 1 then 'C' else ref end as ref,
+       case when start % 100 = 1 then 'T' else alt end as alt, clnsig, clndn
+from ({CLINICAL}) c
+"""
+
 # Expected files (from documents): a place, a name and a size each.
 EXPECTED = """
 select concat('data/', source, '/d', doc_id,
@@ -90,6 +99,10 @@ def clinical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from(spark, CLINICAL, orders=table(spark, sf_dir, "orders"))
 
 
+def clinical_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from(spark, CLINICAL_HOT, orders=table(spark, sf_dir, "orders"))
+
+
 def expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from(spark, EXPECTED, documents=table(spark, sf_dir, "documents"))
 
