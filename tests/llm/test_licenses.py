@@ -11,6 +11,10 @@ GPL = """/* This program is free software: you can redistribute it and/or modify
  * but WITHOUT ANY WARRANTY; without even the implied warranty of
  * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
  * GNU General Public License for more details. */"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
 MIT = ". ".join(licenses.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-as-is", "mit-liability"))
 
 
@@ -25,6 +29,17 @@ MIT = ". ".join(licenses.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-
         (GPL, {"GPL-3.0-or-later": 1}),
         (MIT, {"MIT": 1}),
         ("# SPDX-License-Identifier: MPL-2.0\ncode", {"MPL-2.0": 1}),
+        ("SPDX-License-Identifier: GPL-3.0-or-later", {"GPL-3.0-or-later": 1}),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND LGPL-2.1-only\nx", {"MIT": 1, "Apache-2.0": 1, "LGPL-2.1": 1}),
+        ("SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0", {"GPL-2.0-or-later": 1}),
+        ("SPDX-License-Identifier: Zlib\n" + "a line\n" * 50 + "MIT", {"Zlib": 1}),
+        ("SPDX-License-Identifier: no such name\nMIT", {}),
+        ("SPDX-License-Identifier:", {}),
+        (LGPL, {"LGPL-2.1-or-later": 1}),
+        (LGPL.replace("Lesser", "Affero").replace("2.1", "3").replace("library", "program"), {"AGPL-3.0-or-later": 1}),
+        (MIT.replace("The above", "one\ntwo\nthree\nThe above"), {"MIT": 1}),
+        (MIT.replace("The above", "one\ntwo\nthree\nfour\nThe above"), {}),
+        ("word " * 400_000 + "\nLicensed under MIT.", {"MIT": 1}),
         ("MIT\nApache 2.0 License", {}),
         ("We licensed under the table a thing.", {}),
         ("Licensed under the Apache License, Version 2.0 without more", {}),
@@ -45,8 +60,12 @@ def test_a_longer_rule_takes_its_sentences_from_shorter_ones(spark):
 
 def test_every_known_sentence_has_an_anchor_or_needs_a_tag():
     for sentence, name in licenses.known().items():
-        assert name.startswith("name:") or any(a in sentence for a in licenses.ANCHORS), sentence
+        if sentence.startswith("tag:"):
+            assert name.startswith("name:")
+            continue
+        assert any(a in sentence for a in licenses.ANCHORS), sentence
         assert sentence == licenses.plain(sentence)
+    assert any(a in licenses.TAG.lower() for a in licenses.ANCHORS)
 
 
 def test_repeats_null_keys_clashing_names_and_no_rows(spark):
