@@ -81,3 +81,26 @@ def test_no_rows_on_either_side(spark, bench):
     df = spark.createDataFrame([(1, "text")], "doc_id long, text string")
     assert decontam.find_leaks(df, bench.limit(0)).select(F.size("leaks")).first()[0] == 0
     assert decontam.find_leaks(df.limit(0), bench).collect() == []
+
+
+def test_many_items_and_a_long_text_in_bounded_memory():
+    """Sums of spans and blocks are held in pieces: 20,000 items, then a text of 20 MB."""
+    import tracemalloc
+
+    rows = []
+    for i in range(20_000):
+        words = [f"w{(i * 31 + k * k * 7 + i // 3000 * k) % 3000}" for k in range(12)] + [f"own{i}", "common"]
+        rows.append((i, " ".join(words), [(w, 1 / len(set(words))) for w in sorted(set(words))]))
+    vocabulary = {t: n for n, t in enumerate(sorted({t for r in rows for t, _ in r[2]}))}
+    index = decontam.build(rows, vocabulary, 64)
+    texts = ["common other " * 300 + rows[7][1], "", rows[19_999][1], "nothing common here " * 200]
+    long = "common w1 filler " * 1_200_000 + rows[1234][1] + " tail" * 100
+    tracemalloc.start()
+    got = decontam.search([index], vocabulary, texts)
+    assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    assert [{x[0] for x in g} for g in got] == [{7}, set(), {19_999}, set()]
+    tracemalloc.reset_peak()
+    small = decontam.build(rows[:2000], vocabulary, 64)
+    assert {x[0] for x in decontam.search([small], vocabulary, [long])[0]} == {1234}
+    assert tracemalloc.get_traced_memory()[1] < 250 << 20
+    tracemalloc.stop()

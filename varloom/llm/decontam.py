@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import pickle
 import re
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +34,12 @@ SHINGLE = 5
 BLOCK = 4
 #: Text bytes of the items searched for in one pass; more items take more passes.
 PASS_BYTES = 16 << 20
+#: Sums of a span and a block, and words (or characters cut into words), held at once.
+CELLS = 1 << 20
+PIECE_WORDS = 1 << 16
 
 WORD = re.compile(r"\w+")
+NO_WORD = re.compile(r"\W")
 SENTENCE_END = re.compile(r"[.!?]\s+")
 
 
@@ -40,7 +47,7 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
+def shingles(words: list | array) -> set[tuple]:
     """Five-word shingles; fewer words make one shingle, no words none."""
     if len(words) < SHINGLE:
         return {tuple(words)} if words else set()
@@ -66,7 +73,8 @@ class Items:
     span, so each occurrence lies wholly in one. Block maxima are kept by term:
     ``block_start[t]:block_start[t+1]`` within ``pairs``, ``block`` and ``block_top``; the
     postings of such a pair of term and block are ``post_start[j]:post_start[j+1]`` within
-    ``item`` and ``weight``.
+    ``item`` and ``weight``. ``parts`` are the numbers of the words of an item, of its question
+    and of its answer.
     """
 
     span: int
@@ -78,7 +86,7 @@ class Items:
     block_start: np.ndarray
     block: np.ndarray
     block_top: np.ndarray
-    parts: list[tuple[set, set, set]]
+    parts: list[tuple[array, array, array]]
 
 
 def length_class(words: int) -> int:
@@ -87,10 +95,11 @@ def length_class(words: int) -> int:
 
 def build(rows: list, vocabulary: dict[str, int], span: int) -> Items:
     """``rows``: (id, text, [(term, weight)]) of one class."""
-    entries = sorted((vocabulary[t], i, w) for i, r in enumerate(rows) for t, w in r[2])
-    terms = np.array([e[0] for e in entries], np.int64)
-    item = np.array([e[1] for e in entries], np.int64)
-    weight = np.array([e[2] for e in entries])
+    item = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+    terms = np.fromiter((vocabulary[t] for r in rows for t, _ in r[2]), np.int64, len(item))
+    weight = np.fromiter((w for r in rows for _, w in r[2]), np.float64, len(item))
+    order = np.lexsort((item, terms))
+    item, terms, weight = item[order], terms[order], weight[order]
     pairs, post_start, where = np.unique(
         terms * (len(rows) // BLOCK + 1) + item // BLOCK, return_index=True, return_inverse=True
     )
@@ -99,10 +108,8 @@ def build(rows: list, vocabulary: dict[str, int], span: int) -> Items:
     block_terms, block = np.divmod(pairs, len(rows) // BLOCK + 1)
     block_start = np.searchsorted(block_terms, np.arange(len(vocabulary) + 1))
     post_start = np.append(post_start, len(terms))
-    parts = []
-    for r in rows:
-        question, answer = question_and_answer(r[1])
-        parts.append((shingles(words_of(r[1])), shingles(words_of(question)), set(words_of(answer))))
+    numbers = lambda text: array("i", ids_of(text, vocabulary).tolist())
+    parts = [tuple(map(numbers, (r[1], *question_and_answer(r[1])))) for r in rows]
     return Items(span, [r[0] for r in rows], item, weight, pairs, post_start, block_start, block, block_top, parts)
 
 
@@ -150,62 +157,88 @@ def wand(index: Items, terms: np.ndarray, blocks: np.ndarray, threshold: float)
     return found
 
 
-def candidates(index: Items, ids: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-    """(document, first word, blocks) of the passages whose block maxima can reach the threshold.
+def reach_of(index: Items, span: np.ndarray, ids: np.ndarray, spans: int) -> np.ndarray:
+    """Sums of block maxima, spans by blocks, of the known terms that occur in each span.
 
-    Maxima are summed per span; a passage, being two spans, is bounded by their sum.
-    ``bounds`` are the documents' first words within ``ids``.
+    A common term has a maximum in most blocks, so maxima are added up some at a time.
     """
-    counts = np.diff(bounds)
-    spans = np.maximum(1, -(-counts // index.span))
-    first = np.concatenate([[0], np.cumsum(spans)])
-    doc = np.repeat(np.arange(len(counts)), counts)
-    span = first[doc] + (np.arange(len(ids)) - bounds[doc]) // index.span
     known = ids >= 0
     size = len(index.block_start)
-    pairs = np.unique(span[known] * size + ids[known])
-    span, term = np.divmod(pairs, size)
+    span, term = np.divmod(np.unique(span[known] * size + ids[known]), size)
     width = index.block_start[term + 1] - index.block_start[term]
-    at = np.repeat(index.block_start[term] - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
+    ends = np.cumsum(width)
     blocks = len(index.ids) // BLOCK + 1
-    reach = np.bincount(np.repeat(span, width) * blocks + index.block[at], index.block_top[at], int(first[-1]) * blocks)
-    reach = reach.reshape(-1, blocks)
-    both = reach.copy()
-    both[:-1] += reach[1:]
-    last = first[1:] - 1
-    both[last] = reach[last]
-    hits = both >= THRESHOLD - 1e-9
-    out = []
-    for s in np.flatnonzero(hits.any(1)).tolist():
-        d = int(np.searchsorted(first, s, "right")) - 1
-        out.append((d, int(bounds[d]) + (s - int(first[d])) * index.span, np.flatnonzero(hits[s])))
-    return out
+    reach = np.zeros(spans * blocks)
+    at = 0
+    while at < len(term):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CELLS, "right")))
+        w = width[at:to]
+        place = np.repeat(index.block_start[term[at:to]] - np.concatenate([[0], np.cumsum(w)[:-1]]), w) + np.arange(w.sum())
+        cell = np.repeat(span[at:to], w) * blocks + index.block[place]
+        reach += np.bincount(cell, index.block_top[place], len(reach))
+        at = to
+    return reach.reshape(spans, blocks)
+
+
+def candidates(index: Items, ids: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(document, first word, blocks) of the passages whose block maxima can reach the threshold.
+
+    Maxima are summed per span; a passage, being two spans, is bounded by their sum.
+    ``bounds`` are the documents' first words within ``ids``. Spans are taken in pieces, each
+    with the span behind it, so what is held depends neither on the texts nor on the items.
+    """
+    spans = np.maximum(1, -(-np.diff(bounds) // index.span))
+    doc = np.repeat(np.arange(len(spans)), spans)
+    first = np.cumsum(spans) - spans
+    begin = bounds[doc] + (np.arange(len(doc)) - first[doc]) * index.span
+    stop = np.minimum(begin + index.span, bounds[doc + 1])
+    step = max(1, min(CELLS // (len(index.ids) // BLOCK + 1), PIECE_WORDS // index.span))
+    for s in range(0, len(doc), step):
+        e = min(s + step + 1, len(doc))
+        span = np.repeat(np.arange(e - s), stop[s:e] - begin[s:e])
+        reach = reach_of(index, span, ids[begin[s] : stop[e - 1]], e - s)
+        follows = np.append(doc[s + 1 : e] == doc[s : e - 1], False)
+        both = reach + np.where(follows[:, None], np.roll(reach, -1, 0), 0)
+        hits = both[:step] >= THRESHOLD - 1e-9
+        for i in np.flatnonzero(hits.any(1)).tolist():
+            yield int(doc[s + i]), int(begin[s + i]), np.flatnonzero(hits[i])
+
+
+def ids_of(text: str, vocabulary: dict[str, int]) -> np.ndarray:
+    """Numbers of a text's words, -1 for words of no item. Words are made some at a time."""
+    text, at, out = text.lower(), 0, [np.empty(0, np.int32)]
+    while at < len(text):
+        end = NO_WORD.search(text, min(len(text), at + PIECE_WORDS))
+        to = end.start() if end else len(text)
+        words = WORD.findall(text, at, to)
+        out.append(np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words)))
+        at = to
+    return np.concatenate(out)
 
 
 def search(indexes: list[Items], vocabulary: dict[str, int], texts: list[str]) -> list[list[tuple]]:
     """Per text: (id, score, overlap, question_overlap, answer_overlap) of the items it leaks."""
-    lists = [words_of(t) for t in texts]
-    bounds = np.concatenate([[0], np.cumsum([len(w) for w in lists])])
-    words = list(chain.from_iterable(lists))
-    ids = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+    lists = [ids_of(t, vocabulary) for t in texts]
+    bounds = np.concatenate([[0], np.cumsum([len(w) for w in lists], dtype=np.int64)])
+    ids = np.concatenate(lists) if len(lists) > 1 else lists[0]
+    del lists
     found: list[dict] = [{} for _ in texts]
     for index in indexes:
         for d, begin, blocks in candidates(index, ids, bounds):
-            end = min(begin + 2 * index.span, int(bounds[d + 1]))
-            terms = np.unique(ids[begin:end])
+            passage = ids[begin : min(begin + 2 * index.span, int(bounds[d + 1]))]
+            terms = np.unique(passage)
             hits = wand(index, terms[terms >= 0], blocks, THRESHOLD)
             if not hits:
                 continue
-            passage = words[begin:end]
+            passage = passage.tolist()
             grams, present = shingles(passage), set(passage)
             for i, score in hits:
-                whole, question, answer = index.parts[i]
-                if len(whole) == 1 and len(next(iter(whole))) < SHINGLE:
-                    short = next(iter(whole))
-                    grams = grams | set(zip(*[passage[k:] for k in range(len(short))], strict=False))
-                if len(question) == 1 and len(next(iter(question))) < SHINGLE:
-                    short = next(iter(question))
-                    grams = grams | set(zip(*[passage[k:] for k in range(len(short))], strict=False))
+                whole, question = map(shingles, index.parts[i][:2])
+                answer = set(index.parts[i][2])
+                for part in (whole, question):
+                    short = next(iter(part)) if len(part) == 1 else ()
+                    if 0 < len(short) < SHINGLE:
+                        grams = grams | set(zip(*[passage[k:] for k in range(len(short))], strict=False))
                 o, q, a = share(whole, grams), share(question, grams), share(answer, present)
                 if o >= OVERLAP or (q >= OVERLAP and a >= OVERLAP):
                     known = found[d].get((index.span, i))
@@ -255,19 +288,26 @@ def find_leaks(
     passes = -(-size // PASS_BYTES)
     found = []
     for number in range(passes):
-        rows = weighted.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == number).orderBy("row").collect()
-        found.append(_leaks_of_pass(df, rows, text, made))
+        part = weighted.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == number)
+        found.append(_leaks_of_pass(df, part.orderBy("row").toArrow(), text, made))
     empty = F.array().cast(ArrayType(made))
     return df.withColumn(into, F.concat(*found) if found else empty)
 
 
-def _leaks_of_pass(df: DataFrame, rows: list, text: str, made: StructType):
-    vocabulary: dict[str, int] = {}
+def _leaks_of_pass(df: DataFrame, items: pa.Table, text: str, made: StructType):
+    # Columns, not rows: a pass has a few million terms, most of them repeated.
+    flat = items["terms"].combine_chunks().flatten()
+    coded = pc.dictionary_encode(flat.field("term"))
+    names = coded.dictionary.to_pylist()
+    vocabulary = {t: i for i, t in enumerate(names)}
+    codes, weights = coded.indices.to_numpy(), flat.field("w").to_numpy()
+    ends = np.cumsum(pc.list_value_length(items["terms"]).to_numpy())
+    ids, texts = items["id"].to_pylist(), items["text"]
     classes: dict[int, list] = {}
-    for r in rows:
-        for t in r.terms:
-            vocabulary.setdefault(t.term, len(vocabulary))
-        classes.setdefault(length_class(r.length), []).append((r.id, r.text, [(t.term, t.w / r["self"]) for t in r.terms]))
+    for i, (length, own) in enumerate(zip(items["length"].to_pylist(), items["self"].to_pylist(), strict=True)):
+        at = slice(ends[i - 1] if i else 0, ends[i])
+        terms = [(names[c], w) for c, w in zip(codes[at].tolist(), (weights[at] / own).tolist(), strict=True)]
+        classes.setdefault(length_class(length), []).append((ids[i], texts[i].as_py(), terms))
     indexes = [build(rs, vocabulary, span) for span, rs in sorted(classes.items())]
     # As bytes that carry their classes along: executors need no copy of this package.
     shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps((indexes, vocabulary)))
