@@ -88,3 +88,16 @@ def test_targets_are_bounded_by_bytes(spark):
     rows = found.collect()
     whole(rows, 2)
     assert sorted(r.n for r in rows) == list(range(200)) and all(len(r.text) == 1000 for r in rows)
+
+
+def test_columns_of_its_own_names_and_places_within_large_shards(spark):
+    """Own column names stay apart, and over seeds a row lands in each place of its shard alike."""
+    df = spark.range(0, 60, 1, 3).selectExpr("id AS n", "id * 2 AS _to_", "id * 3 AS _part_", "id * 5 AS _at_", "7L AS _bytes_")
+    landed = Counter()
+    for seed in range(12):
+        rows = sharding.shuffle(df, 2, seed=seed, target_rows=10).collect()
+        whole(rows, 2)
+        assert all((r._to_, r._part_, r._at_, r._bytes_) == (2 * r.n, 3 * r.n, 5 * r.n, 7) for r in rows)
+        landed.update((r.n // 20, r.shard * 3 + r.slot // 10) for r in rows)
+    # 20 rows of each input partition, six tenths of the places, twelve seeds: 40 expected.
+    assert sum((landed[p, t] - 40) ** 2 / 40 for p in range(3) for t in range(6)) < 35

@@ -1,9 +1,11 @@
 """Uniform shuffles into shards of exact sizes, without any task seeing all rows.
 
-How many rows go from each partition to each target is a random matrix with fixed row and
+How many rows go from each partition to each shard is a random matrix with fixed row and
 column sums, drawn from its exact (hypergeometric) law. Given the matrix, each partition
-deals its rows out in random order, rows are exchanged, and each target puts what it got in
-random order. Every order of all rows is then equally likely.
+deals its rows out in random order. A large shard is several targets side by side: each row
+takes one at random, as the leading part of a random key would say; rows are exchanged, and
+each target puts what it got in random order. Every order of all rows is then equally likely,
+shards have exact sizes, and what a task draws depends on its rows and the number of shards.
 
 The matrix is never built: its rows are the leaves of a tree of partitions, in which each
 node splits its column counts between two halves. A task draws only the nodes above its own
@@ -16,19 +18,20 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from varloom.llm.common import stored
+from varloom.llm.common import free_names, stored
 
-#: Rows a target holds at most, and bytes at the mean size of a row; a shard is as many
-#: targets as it needs, side by side.
+#: Rows a target holds on average at most, and bytes at the mean size of a row; a shard is
+#: as many targets as it needs, side by side.
 TARGET_ROWS = 200_000
 TARGET_BYTES = 64 << 20
+#: Tasks that the exchange has at most; targets beyond them are settled one after another.
+MOST_TASKS = 20_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -73,9 +76,9 @@ def split(rng: np.random.Generator, counts: np.ndarray, draws: int) -> np.ndarra
     return out
 
 
-def matrix_row(seed: int, before: np.ndarray, targets: np.ndarray, partition: int) -> np.ndarray:
-    """Rows that ``partition`` sends to each target. ``before``: rows ahead of each partition, then all."""
-    low, high, counts = 0, len(before) - 1, targets
+def matrix_row(seed: int, before: np.ndarray, shards: np.ndarray, partition: int) -> np.ndarray:
+    """Rows that ``partition`` sends to each shard. ``before``: rows ahead of each partition, then all."""
+    low, high, counts = 0, len(before) - 1, shards
     while high - low > 1:
         middle = (low + high) // 2
         left = split(np.random.default_rng([seed, low, high]), counts, int(before[middle] - before[low]))
@@ -109,6 +112,7 @@ def shuffle(
     named ``shard`` or ``slot`` are replaced; an empty table stays empty.
     """
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("shard", "slot")])
+    part_, at_, bytes_, to_ = free_names(kept, "_part_", "_at_", "_bytes_", "_to_")
     extended = lambda *names: StructType(
         [*kept.schema.fields, *[StructField(n, LongType() if n != "shard" else IntegerType()) for n in names]]
     )
@@ -119,45 +123,50 @@ def shuffle(
             each = -(-b.nbytes // max(1, len(b)))
             places = [np.full(len(b), part), np.arange(at, at + len(b)), np.full(len(b), each)]
             at += len(b)
-            names = [*b.schema.names, "_part_", "_at_", "_bytes_"]
+            names = [*b.schema.names, part_, at_, bytes_]
             yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, places)], names)
 
-    numbered = stored(kept.mapInArrow(number, extended("_part_", "_at_", "_bytes_")), "numbered")
-    totals = numbered.groupBy("_part_").agg(F.count("*").alias("n"), F.sum("_bytes_").alias("size")).collect()
-    held, size = {r["_part_"]: r["n"] for r in totals}, sum(r["size"] for r in totals)
-    parts = sorted(held)
-    before = np.concatenate([[0], np.cumsum([held[p] for p in parts])]).astype(np.int64)
-    rows = int(before[-1])
-    of_shard = sizes(rows, shards)
+    numbered = stored(kept.mapInArrow(number, extended(part_, at_, bytes_)), "numbered")
+    totals = numbered.groupBy(part_).agg(F.count("*").alias("n"), F.sum(bytes_).alias("size")).collect()
+    held, size = {r[part_]: r["n"] for r in totals}, sum(r["size"] for r in totals)
+    place_of = {p: i for i, p in enumerate(sorted(held))}
+    before = np.concatenate([[0], np.cumsum([held[p] for p in place_of])]).astype(np.int64)
+    of_shard = sizes(int(before[-1]), shards)
     blocks = targets_of(of_shard, size, target_rows, target_bytes)
-    targets = np.concatenate([sizes(n, k) for n, k in zip(of_shard.tolist(), blocks.tolist(), strict=True)])
-    shard_of = np.repeat(np.arange(shards), blocks)
-    first = np.concatenate([[0], np.cumsum(targets)])[:-1]
-    slot_of = first - np.concatenate([[0], np.cumsum(of_shard)])[:-1][shard_of]
-    plan = df.sparkSession.sparkContext.broadcast((parts, before, targets, shard_of, slot_of))
+    first = np.cumsum(blocks) - blocks
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, before, targets, _, _ = plan.value
         dealt: dict[int, np.ndarray] = {}
         for b in batches:
-            part, at = b.column("_part_").to_numpy(), b.column("_at_").to_numpy()
+            part, at = b.column(part_).to_numpy(), b.column(at_).to_numpy()
             target = np.empty(len(b), np.int64)
             for p in np.unique(part).tolist():
                 if p not in dealt:
-                    i = parts.index(p)
-                    order = np.repeat(np.arange(len(targets)), matrix_row(seed, before, targets, i))
-                    dealt[p] = np.random.default_rng([seed, i]).permutation(order)
+                    i = place_of[p]
+                    rng = np.random.default_rng([seed, i])
+                    shard = rng.permutation(np.repeat(np.arange(shards), matrix_row(seed, before, of_shard, i)))
+                    dealt[p] = first[shard] + (rng.random(len(shard)) * blocks[shard]).astype(np.int64)
                 target[part == p] = dealt[p][at[part == p]]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(target)], [*b.schema.names, "_to_"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(target)], [*b.schema.names, to_])
+
+    # Targets are drawn from seeds, so the places alone tell how many rows each will get.
+    places = StructType([StructField(n, LongType()) for n in (part_, at_, to_)])
+    got = numbered.select(part_, at_).mapInArrow(deal, places).groupBy(to_).count().collect()
+    filled = np.zeros(int(blocks.sum()), np.int64)
+    filled[[r[to_] for r in got]] = [r["count"] for r in got]
+    shard_of = np.repeat(np.arange(shards), blocks)
+    slot_of = np.cumsum(filled) - filled - (np.cumsum(of_shard) - of_shard)[shard_of]
+    plan = df.sparkSession.sparkContext.broadcast((shard_of, slot_of))
 
-    def settle(key: tuple, rows: pd.DataFrame | pa.Table) -> pa.Table:
-        _, _, targets, shard_of, slot_of = plan.value
+    def settle(key: tuple, rows: pa.Table) -> pa.Table:
+        shard_of, slot_of = plan.value
         to = key[0].as_py()
-        order = rows.sort_by([("_part_", "ascending"), ("_at_", "ascending")]).drop_columns(["_part_", "_at_", "_to_"])
+        order = rows.sort_by([(part_, "ascending"), (at_, "ascending")]).drop_columns([part_, at_, to_])
         slot = slot_of[to] + np.random.default_rng([seed, to, 1]).permutation(len(order))
         return order.append_column("shard", pa.array(np.full(len(order), shard_of[to], np.int32))).append_column(
             "slot", pa.array(slot)
         )
 
-    dealt = numbered.drop("_bytes_").mapInArrow(deal, extended("_part_", "_at_", "_to_"))
-    return dealt.groupBy("_to_").applyInArrow(settle, extended("shard", "slot"))
+    dealt = numbered.drop(bytes_).mapInArrow(deal, extended(part_, at_, to_))
+    spread = dealt.repartition(min(len(filled), MOST_TASKS), to_)
+    return spread.groupBy(to_).applyInArrow(settle, extended("shard", "slot"))
