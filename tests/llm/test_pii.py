@@ -116,3 +116,14 @@ def test_ties_of_repeats_are_few_and_short():
     g = pii.graph_of(text, pii.base_spans(text))
     ties = g.edges[g.edges[:, 2] > 0]
     assert len(ties) <= 2 * len(g.spans) and set(ties[ties[:, 0] == 0, 1].tolist()) == set(range(1, 201))
+
+
+def test_nodes_learned_from_are_bounded_in_all(spark, monkeypatch):
+    """Copies of one text count once, and graphs are taken only while they fit."""
+    seen = []
+    monkeypatch.setattr(pii, "fit", seen.extend)
+    monkeypatch.setattr(pii, "NODES_IN_ALL", 50)
+    texts = [(f"call +49 30 555{i:04} or 030 555{i:04} at 10.0.0.{i % 250}",) for i in range(200)]
+    pii.learn(spark.createDataFrame(texts + texts[:1] * 500, "text string"))
+    assert 0 < sum(len(g.spans) for g in seen) <= 50
+    assert len({tuple(map(tuple, g.features.tolist())) + tuple(g.spans) for g in seen}) >= 1 and len(seen) > 5

@@ -17,14 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import fields, per_batch, unit_hash
+from varloom.llm.common import fields, per_batch, stored, unit_hash
 
 KINDS = ("email", "ip", "card", "phone")
 #: Label 0 is "no personal data"; kind k has label k + 1.
 LABELS = len(KINDS) + 1
-#: Documents and nodes of each that the field is fitted on.
+#: Documents, nodes of each, and nodes in all that the field is fitted on.
 TRAIN_DOCS = 10_000
 TRAIN_NODES = 200
+NODES_IN_ALL = 40_000
 #: Marginal probability from which an open node becomes a span.
 SURE = 0.9
 #: Message passing ends when no message changes by more than this, or after so many rounds.
@@ -286,8 +287,9 @@ def all_spans(field: Field, text: str, base: list[tuple[int, int, int]]) -> list
 def learn(df: DataFrame, text: str = "text") -> Field:
     """The field, fitted on a sample of about ``TRAIN_DOCS`` documents chosen by their hash.
 
-    Detected spans are the only labels. Graphs of documents with a number or @ reach the
-    driver, with at most ``TRAIN_NODES`` nodes each. No documents: a field that adds nothing.
+    Detected spans are the only labels. Graphs of different texts with a number or @ reach
+    the driver, with at most ``TRAIN_NODES`` nodes each and ``NODES_IN_ALL`` together: those
+    of smallest hash. No documents: a field that adds nothing.
     """
     total = df.count()
     if not total:
@@ -317,9 +319,13 @@ def learn(df: DataFrame, text: str = "text") -> Field:
         return work
 
     sample = df.select(F.col(text).alias("t")).withColumn("u", unit_hash("t", 17))
-    sample = sample.filter(F.col("u") < TRAIN_DOCS / total).select(per_batch(start, kind)("t").alias("g"))
+    sample = sample.filter((F.col("u") < TRAIN_DOCS / total) & F.col("t").rlike("[0-9@]")).dropDuplicates(["u"])
+    made = stored(sample.select("u", per_batch(start, kind)("t").alias("g")).filter(F.size("g") > 0), "graphs")
+    nodes = made.select("u", F.size("g").alias("n")).orderBy("u").limit(2 * TRAIN_DOCS).collect()
+    fits = np.cumsum([r.n for r in nodes]) <= NODES_IN_ALL
+    last = nodes[int(fits.sum()) - 1].u if fits.any() else -1.0
     graphs = []
-    for row in sample.filter(F.size("g") > 0).limit(2 * TRAIN_DOCS).collect():
+    for row in made.filter(F.col("u") <= last).collect():
         edges = [(a, b, k) for n in row.g for a, b, k in zip(n.a, n.b, n.k, strict=True)]
         graphs.append(
             Graph(
