@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from varloom.llm import langid, queries
@@ -70,3 +71,10 @@ def test_every_language_is_learned_from_a_bounded_sample(spark, monkeypatch):
     assert names == [f"l{i:03}" for i in range(230)]
     x, y = given[0]
     assert len(x) == 460 and np.bincount(y).tolist() == [2] * 230
+
+
+def test_more_values_than_documents_learned_from_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "DOCS_IN_ALL", 3)
+    df = spark.createDataFrame([(i, "some words", f"l{i}") for i in range(4)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        langid.learn(df)

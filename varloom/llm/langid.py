@@ -147,16 +147,18 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """A network from rows of known language; None if there is none.
 
     Every language is learned, from at most ``DOCS_PER_LANG`` documents or an equal share of
-    ``DOCS_IN_ALL``, at least one: those of smallest hash, with ``WINDOWS_PER_DOC`` windows
-    each; only these windows reach the driver.
+    ``DOCS_IN_ALL``: those of smallest hash, with ``WINDOWS_PER_DOC`` windows each; only
+    these windows reach the driver. More than ``DOCS_IN_ALL`` languages are an error.
     """
     rows = labelled.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
     rows = rows.filter("l is not null and t is not null and t != ''")
     counts = stored(rows.groupBy("l").agg(F.count("*").alias("n")), "languages")
-    languages = sorted(r.l for r in counts.select("l").collect())
+    languages = sorted(r.l for r in counts.select("l").limit(DOCS_IN_ALL + 1).collect())
+    if len(languages) > DOCS_IN_ALL:
+        raise ValueError(f"more than {DOCS_IN_ALL} values of {lang!r}: not a column of languages")
     if not languages:
         return None
-    most = max(1, min(DOCS_PER_LANG, DOCS_IN_ALL // len(languages)))
+    most = min(DOCS_PER_LANG, DOCS_IN_ALL // len(languages))
     share = counts.select("l", ((2.0 * most + 20.0) / F.col("n")).alias("share"))
     cut = per_batch(_cutter, "array<binary>")
     few = (
