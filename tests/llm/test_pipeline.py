@@ -79,3 +79,8 @@ def test_nulls_clashing_names_and_no_rows(spark):
             assert sorted(got, key=repr) == sorted([(None, True), (3, True)], key=repr)
         else:
             assert got == []
+
+
+def test_least_score_follows_the_number_of_languages():
+    assert pipeline.least_score(1) == 0 and abs(pipeline.least_score(4) - 0.3) < 1e-12
+    assert all(1 / n < pipeline.least_score(n) < 1 / n + 1 / 15 for n in (2, 3, 10, 1000))
