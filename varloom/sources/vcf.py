@@ -24,7 +24,9 @@ from varloom.sources.listing import list_files
 
 # A body line: eight columns at least, the second a number; comments never match.
 # Quantifiers are possessive: a line that fails does so without going back.
-BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]++\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]"
+BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]{%s}+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]"
+# A bigint holds any number of so many digits.
+SAFE_DIGITS = 18
 RANGE_BYTES = 64 << 20
 MIN_RANGE_BYTES = 4 << 20
 # Beyond this many ranges they grow instead: each is a task, dealt out by one.
@@ -140,7 +142,9 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
     if text_paths:
         path = P.decoded_path(F.col("_metadata.file_path")).alias("path")
         # Lines end at a line feed, and one carriage return before it goes, as in ranges.
-        value = F.regexp_replace("value", "\r\\z", "").alias("value")
+        text = F.col("value")
+        cut = F.substring(text, F.lit(1), F.length(text) - 1)
+        value = F.when(F.endswith(text, F.lit("\r")), cut).otherwise(text).alias("value")
         text = spark.read.text(text_paths, lineSep="\n").select(value, path)
         # A gzip file is one task; parsing its lines is the heavier part.
         parts.append(spread(text) if any(p.endswith(".gz") for p in text_paths) else text)
@@ -194,9 +198,11 @@ def listed(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def is_body_line(value: Column) -> Column:
-    """Eight columns, and a position that a bigint holds."""
+    """Eight columns, and a position that a bigint holds; only a long one is cast to tell."""
     position = F.substring_index(F.substring_index(value, "\t", 2), "\t", -1)
-    return F.regexp_like(value, F.lit(BODY_LINE)) & position.try_cast("bigint").isNotNull()
+    plain = F.regexp_like(value, F.lit(BODY_LINE % f"1,{SAFE_DIGITS}"))
+    long = F.regexp_like(value, F.lit(BODY_LINE % f"{SAFE_DIGITS + 1},"))
+    return plain | (long & position.try_cast("bigint").isNotNull())
 
 
 def is_content_line(value: Column) -> Column:
