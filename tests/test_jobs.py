@@ -254,10 +254,31 @@ def test_incremental_takes_each_file_once(spark, landing, tmp_path):
     assert spark.read.parquet(f"{out}_rejects").count() == 4
 
 
+def test_incremental_follows_changed_files(spark, landing, tmp_path):
+    """A file replaced under its name, by a newer and by an older one, replaces its rows."""
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    run = lambda: incremental_convert(spark, str(landing), out, state, follow_changes=True)
+    assert rows(run().groupBy("source").count()) == [("a", 4), ("b", 4)]
+    (landing / "a.vcf").write_text(HEADER + "chr9\t7\tnew\tA\tC\t.\t.\tTSA=SNV\n")
+    (landing / "c.vcf").write_text(HEADER + BODY)
+    got = run()
+    assert rows(got.groupBy("source").count()) == [("a", 1), ("b", 4), ("c", 4)]
+    assert rows(got.filter("source = 'a'"), "chrom", "id") == [("chr9", "new")]
+    (landing / "c.vcf").write_text(HEADER + "chr8\t7\told\tA\tC\t.\t.\tTSA=SNV\n")
+    os.utime(landing / "c.vcf", (1_000_000_000, 1_000_000_000))
+    assert rows(run().filter("source = 'c'"), "id") == [("old",)]
+    assert run().count() == 6
+    assert incremental_convert(spark, str(landing), str(tmp_path / "by_batch"), str(tmp_path / "s2")).count() == 6
+    with pytest.raises(ValueError, match="batches"):
+        incremental_convert(spark, str(landing), str(tmp_path / "by_batch"), str(tmp_path / "s2"), follow_changes=True)
+
+
 def test_incremental_without_variant_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "note.txt").write_text("x")
     assert incremental_convert(spark, str(tmp_path / "in"), str(tmp_path / "o"), str(tmp_path / "s")) is None
+    empty = incremental_convert(spark, str(tmp_path / "in"), str(tmp_path / "o"), str(tmp_path / "f"), follow_changes=True)
+    assert empty is None
 
 
 def test_shared_folder_is_the_configured_one(spark):

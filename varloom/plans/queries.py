@@ -637,6 +637,20 @@ def k10_widens(spark, sf):
     return table.select("start", F.array_join(whole, ",").alias("af"))
 
 
+@query("k10_changed_files", CHANGED_LINES.format(start=V.WITH_VARIANTS + ","))
+def k10_changed(spark, sf):
+    """Files replaced in the landing folder are converted again in place of their old rows."""
+    folder, first, second = _two_forms(spark, sf, "k10c")
+    inside = f"{folder}/in"
+    for form in (second, first):
+        rename(spark, form, inside)
+        table = incremental_convert(
+            spark, inside, f"{folder}/out", f"{folder}/state", ["TSA", "DB", "SC"], follow_changes=True
+        )
+        rename(spark, inside, form)
+    return table.select(*TWICE_COLUMNS)
+
+
 # ---------------------------------------------------------------- manifests
 
 
