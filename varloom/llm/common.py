@@ -95,6 +95,8 @@ def per_batch(
         for batch in batches:
             for piece in slices(batch):
                 yield work(piece)
+        # Workers live on for other stages; what Arrow keeps for reuse would add up in them.
+        pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, returns).asNondeterministic()
 
