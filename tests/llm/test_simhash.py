@@ -165,3 +165,19 @@ def test_a_huge_group_and_null_texts(spark):
     got = sorted((tuple(r) for r in simhash.similar_groups(df).collect()), key=repr)
     want = [(k, 0) for k in texts] + [(900, 900), (901, 900), (902, 900), (None, None), (None, 900)]
     assert got == sorted(want, key=repr)
+
+
+def test_fingerprints_name_candidates_of_near_copies(spark, monkeypatch):
+    """Copies of close fingerprints are met without any MinHash band, and still compared exactly."""
+    monkeypatch.setattr(simhash, "sharing_a_band", lambda rows: rows.select("node").limit(0))
+    words = [f"w{i}" for i in range(400)]
+    texts = {k: " ".join([*words, f"end{k}"]) for k in range(4)}
+    # Its repeated part of an odd number of shingles decides the fingerprint, but half are its own.
+    line = " ".join(f"r{i}" for i in range(41))
+    texts |= {10 + k: " ".join([line] * 300 + [f"o{k}x{i}" for i in range(40)]) for k in range(2)}
+    texts |= {20: "far from all the others"}
+    df = spark.createDataFrame([*texts.items(), (30, None), (31, "")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    assert got == slow_copies(texts) | {30: 30, 31: 30} and len(set(got.values())) == 5
+    prints = slow_components({k: slow_fingerprint(t) for k, t in texts.items()})
+    assert [prints[k] for k in (1, 2, 3, 11)] == [0, 0, 0, 10]

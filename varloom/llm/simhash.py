@@ -242,6 +242,13 @@ def components(edges: DataFrame) -> DataFrame:
         edges = after
 
 
+def with_low(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Adds ``low`` to rows of distinct ``bits``: the lowest fingerprint each is connected to, itself included."""
+    low = components(links(distinct, radius))
+    rest = [c for c in distinct.columns if c != "bits"]
+    return distinct.join(low, "bits", "left").select("bits", *rest, F.coalesce("low", "bits").alias("low"))
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS
 ) -> DataFrame:
@@ -254,8 +261,7 @@ def near_duplicates(
     """
     rows = stored(with_fingerprint(df.select(F.col(key), F.col(text))).select(key, "bits"), "fingerprints")
     lowest = stored(rows.groupBy("bits").agg(F.min(key).alias("first")), "distinct-fingerprints")
-    low = components(links(lowest, radius))
-    named = lowest.join(low, "bits", "left").select("bits", "first", F.coalesce("low", "bits").alias("low"))
+    named = with_low(lowest, radius)
     ids = named.groupBy("low").agg(F.min("first").alias("component_id"))
     by_bits = named.join(ids, "low").select("bits", "component_id")
     return rows.join(by_bits, "bits", "left").select(
@@ -292,27 +298,50 @@ def bands_of(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def _with_node(text: str, extra: str):
-    """struct(node, bands) or struct(node, shingles) of a text; null counts as empty."""
+    """struct(node, bands, bits) or struct(node, shingles) of a text; null counts as empty."""
 
     def start():
         factors = np.random.default_rng(9).integers(1, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
         def work(batch: pa.Array) -> pa.Array:
-            nodes, lists = [], []
+            nodes, lists, prints = [], [], []
             for value in batch:
-                shingles = shingle_set(value.as_py() or "")
+                whole = value.as_py() or ""
+                shingles = shingle_set(whole)
                 nodes.append(node_of(shingles))
                 lists.append((bands_of(shingles, factors) if extra == "bands" else shingles).view(np.int64))
+                if extra == "bands":
+                    prints.append(fingerprint(whole))
             ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *lists])
-            return pa.StructArray.from_arrays(
-                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["node", extra],
-            )
+            columns = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            if extra == "bands":
+                return pa.StructArray.from_arrays([*columns, pa.array(np.array(prints, np.uint64).view(np.int64))], ["node", extra, "bits"])
+            return pa.StructArray.from_arrays(columns, ["node", extra])
 
         return work
 
-    return per_batch(start, f"node long, {extra} array<long>")(F.col(text))
+    return per_batch(start, f"node long, {extra} array<long>" + (", bits long" if extra == "bands" else ""))(F.col(text))
+
+
+def close_by_fingerprint(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node) of ``rows`` (node, bits) whose SimHash component, as of ``near_duplicates``, holds other nodes too.
+
+    A node comes once for each of its fingerprints: texts of one set may repeat its shingles
+    unequally often.
+    """
+    prints = rows.groupBy("bits").agg(F.min("node").alias("x"), F.max("node").alias("y"))
+    named = stored(with_low(stored(prints, "distinct-fingerprints"), radius), "fingerprint-groups")
+    several = named.groupBy("low").agg(F.min("x").alias("x"), F.max("y").alias("y")).filter("x != y").select("low")
+    return rows.join(named.join(several, "low").select("bits"), "bits").select("node")
+
+
+def sharing_a_band(rows: DataFrame) -> DataFrame:
+    """(node) of ``rows`` (node, bands) that share a MinHash band with other nodes, once for each such band."""
+    bands = rows.select("node", F.explode("bands").alias("band"))
+    # Bands of one node only are told by their least and greatest node.
+    shared = bands.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("band")
+    return bands.join(shared, "band").select("node")
 
 
 def rare_shingles(sets: DataFrame) -> DataFrame:
@@ -338,17 +367,16 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """(key, component_id) for every row of ``df``, as ``near_duplicates`` but by what the texts share.
 
     Texts are linked if the Jaccard similarity of their five-word shingles is at least 0.8.
-    Sets that share a MinHash band are candidates; pairs of candidates that share one of their
-    rarest shingles are compared by their whole sets. Of many sets with a shingle some are
+    Candidates are the sets that SimHash puts into one component, as ``near_duplicates`` does,
+    and those further apart in bits that share a MinHash band: a fifth of the shingles changes
+    some ten bits, which is beyond what the trees can search. Pairs of candidates that share one
+    of their rarest shingles are compared by their whole sets. Of many sets with a shingle some are
     compared with all others, four times as many each round, until those left are connected
     or every pair has been compared; pairs already connected are spared.
     """
     rows = df.select(F.col(key), _with_node(text, "bands").alias("_n_"))
     rows = stored(rows.select(key, "_n_.*"), "shingled")
-    bands = rows.select("node", F.explode("bands").alias("band"))
-    # Bands of one node only are told by their least and greatest node.
-    shared = bands.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("band")
-    candidates = stored(bands.join(shared, "band").select("node").distinct(), "candidates")
+    candidates = stored(close_by_fingerprint(rows).union(sharing_a_band(rows)).distinct(), "candidates")
     nodes = F.broadcast(candidates) if candidates.count() <= BROADCAST_NODES else candidates
     sets = df.select(_with_node(text, "shingles").alias("_n_")).select("_n_.*").join(nodes, "node")
     sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingle-sets")
