@@ -266,3 +266,25 @@ def test_id_lookup(spark, stored):
     table = spark.createDataFrame([("rs2",), ("rs2",)], "any string")
     assert rows(LK.lookup_ids(stored, table), "id") == [("rs2",)]
     assert LK.lookup_ids(stored, table).columns == stored.columns
+
+
+@pytest.mark.parametrize("options", [{}, {"dedupe_keys": True}, {"heavy_rows": 2}])
+def test_rows_without_a_whole_key_are_not_shuffled(spark, tmp_path, options):
+    """Nulls in the key match nothing; by key they would all go to one task."""
+    rows = [(None if n % 2 else f"k{n}", n % 3 or None, n) for n in range(60)]
+    spark.createDataFrame(rows, "a string, b int, n int").write.parquet(str(tmp_path / "s"))
+    known = [(f"k{n}", n % 3 or None, f"c{n}") for n in range(60)] + [(None, 1, "no"), ("k4", 1, "c4")]
+    spark.createDataFrame(known, "a string, b int, clnsig string").write.parquet(str(tmp_path / "r"))
+    sample, annotation = (spark.read.parquet(str(tmp_path / x)) for x in "sr")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        got = AN.annotate(sample, annotation, ["clnsig"], keys=["a", "b"], **options)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        found = sorted(((r.n, r.clnsig) for r in got.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [(n, f"c{n}" if n % 2 == 0 and n % 3 else None) for n in range(60)]
+    want += [] if "dedupe_keys" in options else [(4, "c4")]
+    assert found == sorted(want, key=repr)
+    assert "Union" in plan and "isnull(a" in plan

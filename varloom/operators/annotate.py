@@ -14,7 +14,8 @@ what is left takes part in the join. How is chosen by size:
 
 The cuts are taken from keys that are stored once, and the join uses the sample itself. A
 sample that is another table each time it is read, such as one with an unordered limit,
-must be stored by the caller, or its rows may be cut off.
+must be stored by the caller, or its rows may be cut off. Where both sides are shuffled,
+sample rows with a null in their key are read apart and never move.
 
 A key that the annotation table repeats very often cannot be split in a left join. Such keys
 are counted first and joined apart: their annotations are dealt to parts, and the few sample
@@ -24,10 +25,11 @@ in buckets of its key, so that only the sample moves.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.operators.lookup import annotated_only
@@ -195,11 +197,22 @@ def annotate(
     """
     right = annotation.select(*keys, *columns)
     right = reduce_annotation(right, sample, keys, reduction, max_bytes)
+    shuffled = estimated_bytes(right) > broadcast_threshold(right)
     if dedupe_keys:
         right = one_per_key(right, keys, columns)
-    elif heavy_rows or (heavy_rows is None and estimated_bytes(right) > broadcast_threshold(right)):
-        return join_in_parts(sample, right, keys, columns, heavy_rows or HEAVY_ROWS, max_bytes)
-    return sample.join(right, list(keys), "left").select(*sample.columns, *columns)
+    whole = rest = sample
+    if shuffled:
+        # Rows without a whole key match nothing; shuffled by key, all would meet in one task.
+        is_whole = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        whole, rest = sample.filter(is_whole), sample.filter(~is_whole)
+    if not dedupe_keys and (heavy_rows or (heavy_rows is None and shuffled)):
+        met = join_in_parts(whole, right, keys, columns, heavy_rows or HEAVY_ROWS, max_bytes)
+    else:
+        met = whole.join(right, list(keys), "left").select(*sample.columns, *columns)
+    if not shuffled:
+        return met
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
+    return met.union(rest.select(*sample.columns, *nothing))
 
 
 def store_in_buckets(
