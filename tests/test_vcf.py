@@ -233,3 +233,28 @@ def test_truncated_gzip_is_an_error():
     packed = gzip.compress(b"abc" * 1000)[:-20]
     with pytest.raises(ValueError):
         b"".join(blocks.inflated(io.BytesIO(packed), 16))
+
+
+def test_short_ranges_share_tasks_and_read_little(spark, tmp_path):
+    """A range reads not much more than its own bytes, and no task is made for each small one."""
+    import random
+
+    draw = random.Random(1)
+    text = "".join(f"{i} {draw.random()} {draw.random()}\n" for i in range(60_000)).encode()
+    data = block_gzip(text, 20_000)
+    (tmp_path / "a.vcf.bgz").write_bytes(data)
+    lines = vcf.read_lines(spark, str(tmp_path), range_bytes=2_000)
+    assert len(data) // 2_000 > 500 and lines.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+    assert sorted(r.value for r in lines.collect()) == sorted(text.decode().splitlines())
+
+    class Counting(io.BytesIO):
+        taken = 0
+
+        def read(self, size=-1):
+            got = super().read(size)
+            self.taken += len(got)
+            return got
+
+    stream = Counting(data)
+    assert b"".join(blocks.owned_text(stream, 100_000, 300_000, len(data))) in text
+    assert stream.taken < 200_000 + 5 * blocks.BLOCK_MAX

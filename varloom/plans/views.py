@@ -12,6 +12,7 @@ import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,6 +168,17 @@ def write_vcf(spark: SparkSession, lines: DataFrame, folder: str, compression: s
     return folder
 
 
+# Lines that are joined to one piece of text at a time.
+LINES_AT_ONCE = 16_384
+
+
+def text_of(lines: pa.Array) -> pa.Buffer | bytes:
+    """The lines as one text, a line feed behind each; a null reads ``None``."""
+    ended = pc.binary_join_element_wise(pc.fill_null(lines, "None"), "", "\n")
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(ended)], pa.int32()), ended), "")
+    return whole[0].as_buffer()
+
+
 def write_named(
     spark: SparkSession, lines: DataFrame, folder: str, name: str, header: Sequence[str] | None = None
 ) -> str:
@@ -191,7 +203,8 @@ def write_named(
         with fs.open_output_stream(part, compression=None) as out:
             out.write("".join(f"{line}\n" for line in top).encode())
             for batch in itertools.chain([first], batches):
-                out.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode())
+                for at in range(0, batch.num_rows, LINES_AT_ONCE):
+                    out.write(text_of(batch.column(0).slice(at, LINES_AT_ONCE)))
         fs.move(part, f"{place}/{name}")
         yield pa.RecordBatch.from_arrays([pa.array([f"{place}/{name}"])], ["path"])
 
@@ -234,7 +247,9 @@ def write_blocks(spark: SparkSession, source: str, folder: str) -> str:
             yield batch
 
     files = list_files(spark, source).select("path")
-    files.repartition(8).mapInArrow(copy, "path string").write.format("noop").mode("overwrite").save()
+    # From one partition rows are dealt in turn, so that every task gets one file.
+    dealt = files.coalesce(1).repartition(max(files.count(), 1))
+    dealt.mapInArrow(copy, "path string").write.format("noop").mode("overwrite").save()
     return folder
 
 

@@ -64,8 +64,13 @@ def first_member(data: bytes) -> int:
     return -1
 
 
-def members(stream, start: int, size: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, text) of each block from the first one at or after ``start``."""
+def members(stream, start: int, size: int, stop: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(offset, text) of each block from the first one at or after ``start``.
+
+    Reading goes on as long as blocks are asked for; a caller that wants those up to ``stop``
+    names it, and little is read behind it.
+    """
+    stop = size if stop is None else stop
     stream.seek(start)
     data = stream.read(2 * BLOCK_MAX + 64)
     skip = first_member(data)
@@ -76,7 +81,7 @@ def members(stream, start: int, size: int) -> Iterator[tuple[int, bytes]]:
     while base + at < size:
         length = member_length(data, at)
         if length < 0 or (length > 0 and at + length > len(data)):
-            more = stream.read(READ_SIZE)
+            more = stream.read(min(READ_SIZE, max(stop - base - len(data), 0) + 2 * BLOCK_MAX))
             if not more:
                 raise ValueError("block-compressed file ends inside a block")
             base, data, at = base + at, data[at:] + more, 0
@@ -90,7 +95,7 @@ def members(stream, start: int, size: int) -> Iterator[tuple[int, bytes]]:
 def owned_text(stream, start: int, stop: int, size: int) -> Iterator[bytes]:
     """Text of the lines a range owns, in pieces that may break inside a line."""
     skipping = start > 0
-    for offset, text in members(stream, start, size):
+    for offset, text in members(stream, start, size, stop):
         if skipping:
             if offset >= stop:
                 return

@@ -75,15 +75,15 @@ def stored_schema(spark: SparkSession, root: str, file_format: str = "parquet")
         raise
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, parts: int = 0) -> DataFrame:
     """Spread rows over all cores if the scan would leave most of them idle.
 
     One large gzip file, or one row group, is a single task however heavy the work on
     its rows. Tables of at least as many partitions as cores are returned untouched, so
-    nothing is shuffled at scale.
+    nothing is shuffled at scale; others are dealt to ``parts``, if that is more.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(cores, parts)) if df.rdd.getNumPartitions() < cores else df
 
 
 def type_directory(

@@ -29,6 +29,9 @@ BODY_LINE = r"^[^#\t][^\t]*+\t[0-9]{%s}+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t[^
 SAFE_DIGITS = 18
 RANGE_BYTES = 64 << 20
 MIN_RANGE_BYTES = 4 << 20
+RANGE_TASKS_PER_CORE = 8
+# Compressed bytes of whole gzip files whose lines one task gets, where lines are dealt anew.
+GZIP_SHARE_BYTES = 32 << 20
 # Beyond this many ranges they grow instead: each is a task, dealt out by one.
 MAX_RANGES = 50_000
 BLOCK_SUFFIXES = (".bgz", ".bgzf")
@@ -113,8 +116,9 @@ def info_fields(spark: SparkSession, paths: Paths) -> list[str]:
 def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Text lines (value, path) of plain, gzip and block-gzip files.
 
-    * Plain text splits by byte ranges inside Spark's own reader, and so do small gzip
-      files, one task each.
+    * Plain text splits by byte ranges inside Spark's own reader, and small gzip files are
+      one task each. Where there are few gzip files their lines are dealt to all cores, in
+      parts of bounded size.
     * ``.bgz`` files, and gzip files beyond 4 MB that turn out to be block compressed, are
       cut into ranges that tasks decode independently. Ranges are ``range_bytes`` long,
       shorter where that would leave cores idle, longer where there would be too many.
@@ -147,7 +151,8 @@ def read_lines(spark: SparkSession, paths: Paths, range_bytes: int = RANGE_BYTES
         value = F.when(F.endswith(text, F.lit("\r")), cut).otherwise(text).alias("value")
         text = spark.read.text(text_paths, lineSep="\n").select(value, path)
         # A gzip file is one task; parsing its lines is the heavier part.
-        parts.append(spread(text) if any(p.endswith(".gz") for p in text_paths) else text)
+        zipped = [files[p] for p in text_paths if p.endswith(".gz")]
+        parts.append(spread(text, sum(zipped) // GZIP_SHARE_BYTES) if zipped else text)
     if ranged:
         parts.append(_range_lines(spark, ranged, range_bytes))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -166,9 +171,13 @@ def _range_lines(
     spark: SparkSession, files: list[tuple[str, int, bool]], range_bytes: int
 ) -> DataFrame:
     total = sum(size for _, size, blocked in files if blocked)
-    share = max(MIN_RANGE_BYTES, total // spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    share = max(MIN_RANGE_BYTES, total // cores)
     step = max(min(range_bytes, share), total // MAX_RANGES)
-    count = sum(-(-size // step) if blocked else 1 for _, size, blocked in files)
+    # Short ranges share tasks: each core gets several tasks, or each task some megabytes.
+    shared = max(RANGE_TASKS_PER_CORE * cores, total // MIN_RANGE_BYTES)
+    count = min(shared, sum(-(-size // step) for _, size, blocked in files if blocked))
+    count += sum(not blocked for _, _, blocked in files)
     starts = F.when(
         F.col("blocked"),
         F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(step).cast("bigint")),
@@ -183,7 +192,7 @@ def _range_lines(
             ).otherwise(F.col("size")),
         )
     )
-    # From one partition rows are dealt in turn, so that every task gets one range.
+    # From one partition rows are dealt in turn, so that tasks get equal numbers of ranges.
     return ranges.coalesce(1).repartition(max(count, 1)).mapInArrow(blocks.read_ranges, blocks.LINES_SCHEMA)
 
 
