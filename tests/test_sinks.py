@@ -313,3 +313,31 @@ def test_a_job_that_died_is_redone_after_the_file_is_put_back(spark, tmp_path, m
         converted(5, 2000)
     monkeypatch.setattr(K, "save", real)
     assert converted(3, 1000) == 3
+
+
+def test_a_folder_for_each_file_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Accepted rows and rejects, whose sort would hold all that a task reads."""
+    from pyspark.sql import DataFrameWriter
+
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    real, before = DataFrameWriter.save, spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, out: seen.append(spark.conf.get(name)) or real(self, out))
+    for n in range(12):
+        folder = tmp_path / "in" / f"f{n} %"
+        folder.mkdir(parents=True)
+        (folder / "x.vcf").write_text(f"chr1\t{n}\t.\tA\tC\t.\t.\tDB\nchr1\tbad {n}\n")
+    done = K.convert_vcf(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["DB"], partition_by_source=True)
+    assert seen == [str(K.OPEN_WRITERS)] * 2 and spark.conf.get(name) == before
+    assert sorted((r.source, r.start) for r in done.table.collect()) == [("x", n) for n in range(12)]
+    kept = spark.read.parquet(done.rejects_path)
+    assert {r.value for r in kept.collect()} == {f"chr1\tbad {n}" for n in range(12)} and kept.count() == 12
+
+
+def test_lines_joined_to_a_text(spark):
+    import pyarrow as pa
+
+    from varloom.plans import views
+
+    lines = pa.array(["x", "a\tb", "", None, "\u00e9"]).slice(1)
+    assert bytes(views.text_of(lines)) == "a\tb\n\nNone\n\u00e9\n".encode()
+    assert bytes(views.text_of(lines.slice(0, 0))) == b""

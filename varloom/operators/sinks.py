@@ -17,6 +17,8 @@ from varloom.sources.files import delete_tree, exists, is_complete, is_directory
 
 # Encoding profiles: the codec, and whether rows are ordered for tighter encoding.
 PROFILES = {"default": "snappy", "compact": "zstd"}
+# Folders that a task of a partitioned write holds open before it sorts what is left by folder.
+OPEN_WRITERS = 8
 SAVE_MODES = ("fail", "reuse", "overwrite", "partitions")
 # Hidden folder of a table naming what was written to it in full.
 DONE_FOLDER = "_sources"
@@ -68,12 +70,15 @@ def save(
     batch_size: int | None = None,
     max_file_rows: int | None = None,
     newer_than: str | None = None,
+    few_folders: bool = False,
 ) -> bool:
     """Write a table; returns False if a finished one was reused.
 
     ``mode``: ``fail`` if something is there, ``reuse`` a finished output (an unfinished
     one is rewritten), ``overwrite``, or ``partitions`` to replace only the partitions
-    that the rows fall into. ``batch_size`` bounds the rows of a row group.
+    that the rows fall into. ``batch_size`` bounds the rows of a row group. ``few_folders``
+    says that the rows of a task mostly fall into few folders, in no order: they are then
+    written without a sort.
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}, not {mode!r}")
@@ -92,7 +97,14 @@ def save(
         writer = writer.option("maxRecordsPerFile", str(max_file_rows))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(out)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    if few_folders:
+        spark.conf.set(name, str(OPEN_WRITERS))
+    try:
+        writer.save(out)
+    finally:
+        spark.conf.set(name, before)
     return True
 
 
@@ -131,6 +143,19 @@ def file_mark(path: Column) -> Column:
     return F.concat(F.lit("f"), F.lower(F.hex(F.xxhash64(path))))
 
 
+def with_folders(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds the source and mark of each line's file, worked out once for each listed file.
+
+    A path that the listing spells otherwise is worked out line by line.
+    """
+    source, mark = vcf.source_of(F.col("path")), file_mark(F.col("path"))
+    known = files.select("path", source.alias("_source"), mark.alias("_mark")).distinct()
+    met = lines.join(F.broadcast(known), "path", "left")
+    return met.select(
+        "value", "path", F.coalesce("_source", source).alias(SOURCE_COL), F.coalesce("_mark", mark).alias(FILE_COL)
+    )
+
+
 def fixed(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table of its own, so that later steps see the same rows."""
     path = new_folder(df.sparkSession, label)
@@ -223,21 +248,24 @@ def convert_vcf(
     fields = vcf.wanted_fields(spark, files, info_fields)
     if agree_with or write_mode == "partitions":
         fields = agreed_fields(spark, agree_with or out, fields)
-    lines = vcf.with_source(vcf.read_lines(spark, files, range_bytes))
+    lines = vcf.read_lines(spark, files, range_bytes)
     keep = [SOURCE_COL]
     if partition_by_source:
-        lines = lines.withColumn(FILE_COL, file_mark(F.col("path")))
+        lines = with_folders(lines, files)
         keep.append(FILE_COL)
+    else:
+        lines = vcf.with_source(lines)
     bodies, parsed = Observation(), Observation()
     seen = F.count_if(vcf.is_content_line(F.col("value"))).alias("n")
     table = vcf.parse_lines(lines.observe(bodies, seen), fields, keep, malformed)
     parts = keep if partition_by_source else []
     counted = table.observe(parsed, F.count(F.lit(1)).alias("n"))
-    save(spark, counted, out, mode=write_mode, partition_by=parts, profile=profile)
+    # A task mostly reads few files, each with a folder of its own.
+    save(spark, counted, out, mode=write_mode, partition_by=parts, profile=profile, few_folders=bool(parts))
     rejected = int(bodies.get["n"]) - int(parsed.get["n"])
     if rejected:
         kept_mode = write_mode if partition_by_source and exists(spark, rejects_path) else "overwrite"
-        save(spark, vcf.rejected_lines(lines), rejects_path, mode=kept_mode, partition_by=parts)
+        save(spark, vcf.rejected_lines(lines), rejects_path, mode=kept_mode, partition_by=parts, few_folders=bool(parts))
     elif write_mode == "overwrite":
         delete_tree(spark, rejects_path)
     if not partition_by_source:
