@@ -7,6 +7,8 @@ import pytest
 from conftest import BODY, HEADER, block_gzip, plan_of, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from varloom.sources import blocks, vcf
 from varloom.sources.vcf import InfoField
@@ -258,3 +260,26 @@ def test_short_ranges_share_tasks_and_read_little(spark, tmp_path):
     stream = Counting(data)
     assert b"".join(blocks.owned_text(stream, 100_000, 300_000, len(data))) in text
     assert stream.taken < 200_000 + 5 * blocks.BLOCK_MAX
+
+
+def test_sources_are_worked_out_once_for_each_file(spark, tmp_path):
+    for name in ("a b.vcf", "c+d.vcf.gz"):
+        text = (HEADER + BODY).encode()
+        (tmp_path / name).write_bytes(gzip.compress(text) if name.endswith("gz") else text)
+    table = vcf.scan_vcf(spark, str(tmp_path))
+    assert "BroadcastHashJoin" in plan_of(table)
+    assert sorted((r.source, r.n) for r in table.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()) == [("a b", 4), ("c+d", 4)]
+    # A path that the listing spells otherwise still has its source.
+    lines = spark.createDataFrame([("x", "/in/e.vcf"), ("y", "/in/f.vcf")], "value string, path string")
+    files = spark.createDataFrame([("/in/e.vcf",), ("/in/e.vcf",), ("/in//f.vcf",)], "path string")
+    assert rows(vcf.with_source(lines, files), "value", "source") == [("x", "e"), ("y", "f")]
+
+
+def test_one_look_tells_readable_lines_and_counts_the_others(spark):
+    text = [*(HEADER + BODY).splitlines(), "", "  ", " #chr1\t1", "chr1\t99999999999999999999\t.\tA\tC\t.\t.\t."]
+    lines = spark.createDataFrame([(v,) for v in text], "value string")
+    seen = Observation()
+    told = vcf.told_lines(lines, seen)
+    assert told.columns == ["value"] and plan_of(told).count("CollectMetrics (") == 1
+    assert rows(told) == rows(lines.filter(vcf.is_body_line(F.col("value"))))
+    assert seen.get["n"] == vcf.rejected_lines(lines).count() == 4

@@ -144,16 +144,9 @@ def file_mark(path: Column) -> Column:
 
 
 def with_folders(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Adds the source and mark of each line's file, worked out once for each listed file.
-
-    A path that the listing spells otherwise is worked out line by line.
-    """
-    source, mark = vcf.source_of(F.col("path")), file_mark(F.col("path"))
-    known = files.select("path", source.alias("_source"), mark.alias("_mark")).distinct()
-    met = lines.join(F.broadcast(known), "path", "left")
-    return met.select(
-        "value", "path", F.coalesce("_source", source).alias(SOURCE_COL), F.coalesce("_mark", mark).alias(FILE_COL)
-    )
+    """Adds the source and mark of each line's file."""
+    path = F.col("path")
+    return vcf.with_path_columns(lines, files, {SOURCE_COL: vcf.source_of(path), FILE_COL: file_mark(path)})
 
 
 def fixed(df: DataFrame, label: str) -> DataFrame:
@@ -249,23 +242,18 @@ def convert_vcf(
     if agree_with or write_mode == "partitions":
         fields = agreed_fields(spark, agree_with or out, fields)
     lines = vcf.read_lines(spark, files, range_bytes)
-    keep = [SOURCE_COL]
-    if partition_by_source:
-        lines = with_folders(lines, files)
-        keep.append(FILE_COL)
-    else:
-        lines = vcf.with_source(lines)
-    bodies, parsed = Observation(), Observation()
-    seen = F.count_if(vcf.is_content_line(F.col("value"))).alias("n")
-    table = vcf.parse_lines(lines.observe(bodies, seen), fields, keep, malformed)
+    keep = [SOURCE_COL, FILE_COL] if partition_by_source else [SOURCE_COL]
+    placed = with_folders if partition_by_source else vcf.with_source
+    rejects = Observation()
+    bodies = placed(vcf.told_lines(vcf.checked_lines(lines, malformed), rejects), files)
+    table = vcf.parse_bodies(bodies, fields, keep)
     parts = keep if partition_by_source else []
-    counted = table.observe(parsed, F.count(F.lit(1)).alias("n"))
     # A task mostly reads few files, each with a folder of its own.
-    save(spark, counted, out, mode=write_mode, partition_by=parts, profile=profile, few_folders=bool(parts))
-    rejected = int(bodies.get["n"]) - int(parsed.get["n"])
+    save(spark, table, out, mode=write_mode, partition_by=parts, profile=profile, few_folders=bool(parts))
+    rejected = int(rejects.get["n"])
     if rejected:
         kept_mode = write_mode if partition_by_source and exists(spark, rejects_path) else "overwrite"
-        save(spark, vcf.rejected_lines(lines), rejects_path, mode=kept_mode, partition_by=parts, few_folders=bool(parts))
+        save(spark, vcf.rejected_lines(placed(lines, files)), rejects_path, mode=kept_mode, partition_by=parts, few_folders=bool(parts))
     elif write_mode == "overwrite":
         delete_tree(spark, rejects_path)
     if not partition_by_source:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -271,16 +271,35 @@ def parse_lines(
     ``malformed="reject"`` leaves unreadable lines to :func:`rejected_lines`;
     ``"fail"`` stops the job at the first one.
     """
-    wanted = as_fields(fields)
-    value = F.col("value")
-    if malformed == "fail":
-        bad = F.raise_error(F.concat(F.lit("malformed VCF line: "), value)).cast("boolean")
-        lines = lines.filter(F.when(is_rejected_line(value), bad).otherwise(F.lit(True)))
-    elif malformed != "reject":
+    lines = checked_lines(lines, malformed)
+    return parse_bodies(lines.filter(is_body_line(F.col("value"))), as_fields(fields), keep)
+
+
+def checked_lines(lines: DataFrame, malformed: str) -> DataFrame:
+    """The lines as they are; with ``malformed="fail"`` the first unreadable one stops the job."""
+    if malformed not in ("reject", "fail"):
         raise ValueError(f"malformed must be 'reject' or 'fail', not {malformed!r}")
+    if malformed == "reject":
+        return lines
+    value = F.col("value")
+    bad = F.raise_error(F.concat(F.lit("malformed VCF line: "), value)).cast("boolean")
+    return lines.filter(F.when(is_rejected_line(value), bad).otherwise(F.lit(True)))
 
+
+def told_lines(lines: DataFrame, rejects: Observation) -> DataFrame:
+    """The readable body lines; ``rejects`` tells as ``n`` how many lines :func:`rejected_lines` holds.
+
+    One look at each line settles both.
+    """
+    value, told = F.col("value"), F.col("_readable")
+    lost = F.count_if(~told & is_content_line(value)).alias("n")
+    return lines.withColumn("_readable", is_body_line(value)).observe(rejects, lost).filter(told).drop("_readable")
+
+
+def parse_bodies(lines: DataFrame, wanted: Sequence[InfoField], keep: Sequence[str] = ()) -> DataFrame:
+    """The same for lines that are all known to be body lines."""
     # The ninth part holds the sample columns unsplit: they are never looked at.
-    cells = lines.filter(is_body_line(value)).select(F.split(value, "\t", 9).alias("c"), *keep)
+    cells = lines.select(F.split(F.col("value"), "\t", 9).alias("c"), *keep)
     cell = lambda i: F.get(F.col("c"), F.lit(i))
     flat = cells.select(
         cell(0).alias("chrom"),
@@ -342,7 +361,7 @@ def scan_vcf(
     """Variant table of VCF files, with the file's stem in column ``source``."""
     files = listed(spark, paths)
     fields = wanted_fields(spark, files, info_fields)
-    lines = with_source(read_lines(spark, files, range_bytes))
+    lines = with_source(read_lines(spark, files, range_bytes), files)
     return parse_lines(lines, fields, [SOURCE_COL], malformed)
 
 
@@ -350,5 +369,16 @@ def source_of(path: Column) -> Column:
     return P.variant_stem(P.base_name(path))
 
 
-def with_source(lines: DataFrame) -> DataFrame:
-    return lines.withColumn(SOURCE_COL, source_of(F.col("path")))
+def with_source(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds the source of each line's file."""
+    return with_path_columns(lines, files, {SOURCE_COL: source_of(F.col("path"))})
+
+
+def with_path_columns(lines: DataFrame, files: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that follow from a line's path, worked out once for each listed file.
+
+    A path that the listing spells otherwise is worked out line by line.
+    """
+    known = files.select("path", *[c.alias(f"_{name}") for name, c in columns.items()]).distinct()
+    met = lines.join(F.broadcast(known), "path", "left")
+    return met.select("value", "path", *[F.coalesce(f"_{name}", c).alias(name) for name, c in columns.items()])
