@@ -99,6 +99,14 @@ def test_overlapping_spans_are_masked_once(spark):
     assert df.select(pii.redact("text", "s").alias("m")).first().m == "x [CARD] y"
 
 
+def test_detecting_redacts_as_the_two_steps_do(spark, field):
+    texts = [None, "", "no data", "a.b@c.de, 1.2.3.4 and 1.2.3.4", "é +1 (017) 555-7713 😀 x@y.z", "@" * 50]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string")
+    one = df.withColumn("p", pii.detected(field, redacted=True)).select("doc_id", "p.*")
+    two = pii.find(df, field).select("doc_id", "base", "spans", pii.redact("text", "spans").alias("redacted"))
+    assert one.orderBy("doc_id").collect() == two.orderBy("doc_id").collect()
+
+
 @pytest.mark.parametrize("gap", [" or ", " some words between them" * 6])
 @pytest.mark.parametrize("detected_at", [0, 150, 300])
 def test_hundreds_of_repeats_are_all_added(field, gap, detected_at):

@@ -81,6 +81,15 @@ def test_nulls_clashing_names_and_no_rows(spark):
             assert got == []
 
 
+def test_masking_takes_one_python_worker_a_task(spark):
+    """Each Python step of a task holds a worker, and all of them live on for the encoding."""
+    docs = spark.createDataFrame([(1, "mail a.b@c.de"), (2, None)], "doc_id long, text string")
+    masked = pipeline.mask(spark, docs, SF)
+    plan = masked._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython \[", plan)) == 1, plan
+    assert {r.doc_id: r.text for r in masked.collect()} == {1: "mail [EMAIL]", 2: None}
+
+
 def test_least_score_follows_the_number_of_languages():
     assert pipeline.least_score(1) == 0 and abs(pipeline.least_score(4) - 0.3) < 1e-12
     assert all(1 / n < pipeline.least_score(n) < 1 / n + 1 / 15 for n in (2, 3, 10, 1000))

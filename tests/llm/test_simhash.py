@@ -181,3 +181,12 @@ def test_fingerprints_name_candidates_of_near_copies(spark, monkeypatch):
     assert got == slow_copies(texts) | {30: 30, 31: 30} and len(set(got.values())) == 5
     prints = slow_components({k: slow_fingerprint(t) for k, t in texts.items()})
     assert [prints[k] for k in (1, 2, 3, 11)] == [0, 0, 0, 10]
+
+
+def test_groups_start_no_tables_from_python(spark, monkeypatch):
+    """Rows handed over by Python bring a second set of workers to every executor."""
+    texts = ["one two three four five six seven"] * 2 + ["quite another text of some more words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}

@@ -339,11 +339,13 @@ def learn(df: DataFrame, text: str = "text") -> Field:
     return fit(graphs)
 
 
-def detected(field: Field, text: str = "text") -> Column:
+def detected(field: Field, text: str = "text", redacted: bool = False) -> Column:
     """struct(base, spans): arrays of (kind, begin, stop), in code points, stop exclusive.
 
     ``base`` holds what the detectors find, ``spans`` that and what the field adds. Null and
-    empty texts have none.
+    empty texts have none. ``redacted`` adds the text as ``redact`` leaves it with ``spans``, in
+    the same pass: a second function would send the texts again, to a second Python worker of
+    each task.
     """
     one = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("stop", pa.int64())]))
 
@@ -352,18 +354,23 @@ def detected(field: Field, text: str = "text") -> Column:
             return [{"kind": KINDS[k], "begin": s, "stop": e} for k, s, e in spans]
 
         def work(batch: pa.Array) -> pa.Array:
-            base, spans = [], []
+            base, spans, texts = [], [], []
             for value in batch:
-                t = value.as_py() or ""
-                found = base_spans(t)
+                t = value.as_py()
+                found = base_spans(t or "")
                 base.append(named(found))
-                spans.append(named(all_spans(field, t, found)))
-            return pa.StructArray.from_arrays([pa.array(base, one), pa.array(spans, one)], ["base", "spans"])
+                spans.append(named(all_spans(field, t or "", found)))
+                if redacted:
+                    texts.append(without(t, spans[-1]))
+            columns = {"base": pa.array(base, one), "spans": pa.array(spans, one)}
+            if redacted:
+                columns["redacted"] = pa.array(texts, pa.string())
+            return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
         return work
 
     kind = "array<struct<kind:string,begin:long,stop:long>>"
-    return per_batch(start, f"base {kind}, spans {kind}")(F.col(text))
+    return per_batch(start, f"base {kind}, spans {kind}" + ", redacted string" * redacted)(F.col(text))
 
 
 def find(df: DataFrame, field: Field, text: str = "text") -> DataFrame:
@@ -382,36 +389,31 @@ def written(spans: str) -> Column:
     )
 
 
+def without(t: str | None, found: list) -> str | None:
+    """One text as ``redact`` leaves it."""
+    if t is None or not found:
+        return t
+    out, at, reach = [], 0, -1
+    for s in sorted(found, key=lambda s: (s["begin"], -s["stop"])):
+        if s["begin"] >= reach:
+            out.append(t[max(at, 0) : s["begin"]])
+            out.append(f"[{s['kind'].upper()}]")
+        reach = max(reach, s["stop"])
+        at = reach
+    return "".join([*out, t[at:]])
+
+
 def redact(text: str, spans: str) -> Column:
     """The text with each span, or run of overlapping spans, replaced by its kind in brackets.
 
     Overlaps show the kind of the span that starts first. Null texts stay null.
     """
 
-    def one(t: str | None, found: list) -> str | None:
-        if t is None or not found:
-            return t
-        out, at, reach = [], 0, -1
-        for s in sorted(found, key=lambda s: (s["begin"], -s["stop"])):
-            if s["begin"] >= reach:
-                out.append(t[max(at, 0) : s["begin"]])
-                out.append(f"[{s['kind'].upper()}]")
-            reach = max(reach, s["stop"])
-            at = reach
-        return "".join([*out, t[at:]])
-
-    def run(batches):
-        for texts, found in batches:
-            yield pa.array([one(t, f) for t, f in zip(texts.to_pylist(), found.to_pylist(), strict=True)], pa.string())
-
-    return F.arrow_udf(_two_columns(run), "string").asNondeterministic()(F.col(text), F.col(spans))
-
-
-def _two_columns(run):
-    from collections.abc import Iterator
+    def start():
+        def work(batch: pa.Array) -> pa.Array:
+            rows = zip(batch.field(0).to_pylist(), batch.field(1).to_pylist(), strict=True)
+            return pa.array([without(t, found) for t, found in rows], pa.string())
 
-    def typed(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        yield from run(batches)
+        return work
 
-    typed.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
-    return typed
+    return per_batch(start, "string")(F.struct(F.col(text), F.col(spans)))

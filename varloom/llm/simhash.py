@@ -384,7 +384,8 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     turn = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) / float(1 << 30) * F.col("n")
     buckets = stored(rare_shingles(sets).withColumn("turn", turn), "rare-shingles")
     part, whole = COPY_SHARE
-    low = df.sparkSession.createDataFrame([], "bits long, low long")
+    # Of no rows; from a list of Python it would start workers of its own on every executor.
+    low = df.sparkSession.range(0).select(F.col("id").alias("bits"), F.col("id").alias("low"))
     done, now = 0, FIRST_ROUND
     # First, each set meets others by one shingle only: copies of a large group share many, and
     # would meet once for each of them.
