@@ -114,3 +114,44 @@ def test_shared_ids_draw_another_seed(spark, monkeypatch):
     words = spark.createDataFrame([("en", "a", 9), ("en", "b", 1), ("en", "c", 9)], "lang string, word string, n long")
     made, seed = collocations.numbered(words, 5)
     assert seed == 1 and made.select("id").distinct().count() == 3
+
+
+def test_only_frequent_windows_leave_the_tasks(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "PAIRS_HELD", 500)
+    monkeypatch.setattr(collocations, "RUN_IDS", 16)
+    rng = random.Random(3)
+    rows = [("en", " ".join(rng.choice("abcdefgh") for _ in range(40)) + rng.choice([". x", "", " one two three four"])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(6)
+    least = 40
+    want, pairs = Counter(), Counter()
+    for _, text in rows:
+        for piece in text.split("."):
+            words = piece.split()
+            for m in range(2, 6):
+                for i in range(len(words) - m + 1):
+                    (pairs if m == 2 else want)[tuple(words[i : i + m])] += 1
+    made, seed = collocations.numbered(collocations.word_counts(df), least)
+    names = {r.id: r.word for r in made.collect()}
+    known = collocations.bit_table(made.filter(f"n >= {least}"), "id")
+    counted = collocations.pair_counts(df, seed, known, "text", "lang").collect()
+    frequent = {w: n for w, n in pairs.items() if n >= least}
+    assert {(names[r.w1], names[r.w2]): r.n for r in counted if r.n >= least} == frequent
+    kept = spark.createDataFrame([r for r in counted if r.n >= least], "w1 long, w2 long, n long")
+    paired = collocations.bit_table(collocations.with_pair_hash(kept), "pair")
+    runs = collocations.frequent_runs(df, seed, known, paired, "text", "lang").cache()
+    assert runs.count() > 20 and all(r.ids[-1] == 0 and len(r.ids) <= 60 for r in runs.collect())
+    table = collocations.window_table(runs, least)
+    got = {tuple(names[w] for w in r[:5] if w): r.n for r in collocations.phrase_counts(runs, table).collect()}
+    # Every pair is frequent and hardly any longer window is: before, all of them were sent.
+    assert len(want) > 10_000 and got == {w: n for w, n in want.items() if n >= least} and len(got) == 3
+
+
+def test_runs_keep_words_in_two_frequent_pairs():
+    table = np.zeros(collocations.TABLE_BITS // 8, np.uint8)
+    for left, right in [(1, 2), (2, 3), (3, 4), (5, 6), (6, 7), (8, 9)]:
+        place = int(collocations.pair_hash(np.array([left]), np.array([right]))[0]) % collocations.TABLE_BITS
+        table[place >> 3] |= 1 << (place & 7)
+    runs = lambda *ids: collocations.runs_in(list(ids), table).tolist()
+    assert runs() == runs(1, 2) == runs(1, 2, 0, 3, 4, 0) == runs(8, 9, 8, 9) == []
+    assert runs(1, 2, 3, 4) == [1, 2, 3, 4, 0]
+    assert runs(9, 1, 2, 3, 5, 6, 7, 0, 8, 9, 0, 2, 3, 4, 0) == [1, 2, 3, 0, 5, 6, 7, 0, 2, 3, 4, 0]

@@ -9,10 +9,12 @@ partitions the runs by prefix, the whole phrase being the prefix, and merges cou
 a word that opens a third of all phrases spreads over all partitions, and each task sends at
 most one row per phrase and spill.
 
-Words are counted first, then hashes of pairs of frequent words. Windows end where a pair is
-not frequent, since no phrase is more frequent than its parts. What is frequent is told by a
-bit table of fixed size, which may say yes too often but never no, so counts are exact and
-memory is bounded at any vocabulary. Word ids are 64-bit hashes, drawn anew with another seed
+Words are counted first, then pairs of frequent words. Runs of three words or more in which
+every pair is frequent are stored, since no phrase is more frequent than its parts. Over these
+runs, occurrences of windows of three to five words are summed by a place of their hash; tries
+then hold only windows whose place is frequent. What is frequent is told by a bit table of fixed
+size, which may say yes too often but never no, so counts are exact and memory is bounded at
+any vocabulary. Word ids are 64-bit hashes, drawn anew with another seed
 while any frequent word shares its id with another word.
 """
 
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import slices, stored
+from varloom.llm.common import give_back, slices, stored
 
 LEAST = 100
 LONGEST = 5
@@ -44,9 +46,15 @@ BURST = 1024
 PAIRS_HELD = 4_000_000
 #: Words whose ids a task remembers.
 REMEMBERED = 400_000
-#: Bits of the tables of frequent words and pairs, in buckets of a bitmap each.
+#: Bits of the tables of frequent words, pairs and longer windows, in buckets of a bitmap each.
+#: A place within a bucket fits 16 bits.
 TABLE_BITS = 1 << 25
 BUCKET_BITS = 1 << 15
+#: Ids after which a stored row of runs ends with its run, and such rows worked on at once.
+RUN_IDS = 256
+RUN_ROWS = 1024
+#: Rows of an Arrow batch of pairs.
+BATCH_ROWS = 1 << 16
 #: A language's phrases are ranked in so many parts first.
 RANK_PARTS = 64
 SEEDS = 16
@@ -113,8 +121,10 @@ class Trie:
         return paths, counts
 
 
-def runs_of(paths: list[tuple[int, ...]], counts: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, counts) of all phrases of two words or more that the paths begin with, sorted by prefix.
+def runs_of(
+    paths: list[tuple[int, ...]], counts: list[int], shortest: int = 2
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, counts) of all phrases of ``shortest`` words or more that the paths begin with, sorted by prefix.
 
     One matrix for each length; ids beyond a phrase's length are 0.
     """
@@ -125,7 +135,7 @@ def runs_of(paths: list[tuple[int, ...]], counts: list[int]) -> Iterator[tuple[n
     table[np.arange(LONGEST)[None] < sizes[:, None]] = np.fromiter(chain.from_iterable(paths), np.int64, int(sizes.sum()))
     order = np.lexsort(table.T[::-1])
     table, sizes, n = table[order], sizes[order], np.array(counts, np.int64)[order]
-    for length in range(2, LONGEST + 1):
+    for length in range(shortest, LONGEST + 1):
         long = sizes >= length
         part, of_part = table[long, :length], n[long]
         if not len(part):
@@ -142,7 +152,10 @@ def pieces(text: str) -> list[list[bytes]]:
 
 
 def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """48 bits of two word ids: two pairs may share them, which only makes both count as frequent."""
+    """48 bits of two numbers: two pairs may share them, which only makes both count as frequent.
+
+    Longer windows are hashed word by word, the hash of a window's start on the left.
+    """
     mixed = left.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     mixed = (mixed ^ (mixed >> np.uint64(29))) + right.astype(np.uint64)
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
@@ -155,6 +168,11 @@ def bit_table(df: DataFrame, column: str) -> np.ndarray:
     maps = df.groupBy((place / BUCKET_BITS).cast("int").alias("bucket")).agg(
         F.bitmap_construct_agg(place % BUCKET_BITS).alias("bits")
     )
+    return _joined(maps)
+
+
+def _joined(maps: DataFrame) -> np.ndarray:
+    """The table of (bucket, bits) rows."""
     table = np.zeros(TABLE_BITS // 8, np.uint8)
     size = BUCKET_BITS // 8
     for row in maps.collect():  # at most TABLE_BITS in all, whatever the input
@@ -198,6 +216,7 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
                 if sum(map(len, seen.values())) > ROOM:
                     yield from out()
         yield from out()
+        give_back()
 
     local = df.select(*_parts(text, lang)).mapInArrow(count, "lang string, word string, n long")
     return local.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -258,68 +277,195 @@ def sequences(batches: Iterator[pa.RecordBatch], seed: int, table: np.ndarray) -
 
 
 def pair_counts(df: DataFrame, seed: int, words: np.ndarray, text: str, lang: str) -> DataFrame:
-    """(pair, n): how often pairs of frequent words of one hash occur."""
+    """(w1, w2, n): how often pairs of frequent words occur."""
     tables = df.sparkSession.sparkContext.broadcast(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        lefts, rights, size = [], [], 0
 
-        def out() -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
+        def out() -> Iterator[pa.RecordBatch]:
+            left, right = np.concatenate(lefts), np.concatenate(rights)
+            lefts.clear()
+            rights.clear()
+            # Half of each id brings equal pairs together; the rare pair that lies between is a row more.
+            order = left & ~0xFFFFFFFF
+            order |= right & 0xFFFFFFFF
+            order = np.argsort(order)
+            left, right = left[order], right[order]
+            del order
+            changes = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+            first = np.flatnonzero(np.append(len(left) > 0, changes))
+            n = np.diff(np.append(first, len(left)))
+            for at in range(0, len(first), BATCH_ROWS):
+                some = first[at : at + BATCH_ROWS]
+                columns = [left[some], right[some], n[at : at + BATCH_ROWS]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [*IDS[:2], "n"])
 
         for sequence in sequences(batches, seed, tables.value):
             ids = np.array(sequence, np.int64)
             at = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
-            held.append(pair_hash(ids[at], ids[at + 1]))
+            lefts.append(ids[at])
+            rights.append(ids[at + 1])
             size += len(at)
             if size > PAIRS_HELD:
-                yield out()
+                yield from out()
                 size = 0
-        if held:
-            yield out()
+        if size:
+            yield from out()
+        give_back()
+
+    local = df.select(*_parts(text, lang)).mapInArrow(count, "w1 long, w2 long, n long")
+    return local.groupBy(*IDS[:2]).agg(F.sum("n").alias("n"))
 
-    return df.select(*_parts(text, lang)).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
+def with_pair_hash(pairs: DataFrame) -> DataFrame:
+    """``pair``, the hash of each row's ``w1`` and ``w2``."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = pair_hash(*(batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes)], ["pair"])
 
-def phrase_counts(
+    return pairs.select(*IDS[:2]).mapInArrow(number, "pair long")
+
+
+def frequent_runs(
     df: DataFrame, seed: int, words: np.ndarray, pairs: np.ndarray, text: str, lang: str
 ) -> DataFrame:
-    """(w1 .. w5, n): counts of phrases of 2 to 5 words all of whose pairs are in the table."""
+    """(ids): word ids of all runs of three words or more whose pairs are in the table, a 0 after each run."""
     tables = df.sparkSession.sparkContext.broadcast((words, pairs))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, paired = tables.value
+        for sequence in sequences(batches, seed, known):
+            ids = runs_in(sequence, paired)
+            if len(ids):
+                ends = np.flatnonzero(ids == 0) + 1
+                ends = ends[np.append(ends[:-1] // RUN_IDS != ends[1:] // RUN_IDS, True)]
+                rows = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([rows], ["ids"])
+        give_back()
+
+    return df.select(*_parts(text, lang)).mapInArrow(cut, "ids array<long>")
+
+
+def runs_in(sequence: list[int], pairs: np.ndarray) -> np.ndarray:
+    """Ids of a sequence's runs of at least three words joined by pairs of the table, a 0 after each run."""
+    ids = np.array(sequence, np.int64)
+    if len(ids) < 3:
+        return ids[:0]
+    joined = (ids[:-1] != 0) & (ids[1:] != 0)
+    at = np.flatnonzero(joined)
+    joined[at] = holds(pairs, pair_hash(ids[at], ids[at + 1]))
+    triple = joined[:-1] & joined[1:]
+    kept = np.zeros(len(ids), bool)
+    for shift in range(3):
+        kept[shift : shift + len(triple)] |= triple
+    at = np.flatnonzero(kept)
+    last = ~np.append(joined, False)[at]
+    out = np.zeros(len(at) + int(last.sum()), np.int64)
+    out[np.arange(len(at)) + np.cumsum(last) - last] = ids[at]
+    return out
+
+
+def held_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Ids of stored runs, some rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, RUN_ROWS):
+            yield batch.column(0).slice(at, RUN_ROWS).flatten().to_numpy(zero_copy_only=False)
+
+
+def starts_of(ids: np.ndarray, table: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, starts, hashes) of the windows of three to five words within runs.
+
+    With a table, only of windows that are in it, as are all shorter ones of the same start.
+    """
+    at = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
+    hashes = pair_hash(ids[at], ids[at + 1])
+    for length in range(3, LONGEST + 1):
+        more = ids[at + length - 1] != 0  # a run ends with 0, so there is an id
+        at = at[more]
+        hashes = pair_hash(hashes[more], ids[at + length - 1])
+        if table is not None:
+            more = holds(table, hashes)
+            at, hashes = at[more], hashes[more]
+        yield length, at, hashes
+
+
+def window_table(runs: DataFrame, least: int) -> np.ndarray:
+    """Bytes of a table in which the places are set whose windows of three to five words make ``least`` together.
+
+    A task sends its sums as (bucket, places, n), one row for each bucket it met and each
+    ``PAIRS_HELD`` windows; a bucket's rows meet in one group, each place at most once in a row.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            places, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            buckets, first = np.unique(places // BUCKET_BITS, return_index=True)
+            inner = np.split((places % BUCKET_BITS).astype(np.uint16), first[1:])
+            sums = np.split(n.astype(np.int64), first[1:])
+            arrays = [pa.array(buckets.astype(np.int32)), *(pa.array([x.tobytes() for x in c], pa.binary()) for c in (inner, sums))]
+            return pa.RecordBatch.from_arrays(arrays, ["bucket", "places", "n"])
+
+        for ids in held_runs(batches):
+            for _, _, hashes in starts_of(ids):
+                held.append(hashes % TABLE_BITS)
+                size += len(hashes)
+            if size > PAIRS_HELD:
+                yield out()
+                size = 0
+        if size:
+            yield out()
+        give_back()
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKET_BITS, np.int64)
+        for batch in batches:
+            for places, n in zip(batch.column("places"), batch.column("n"), strict=True):
+                total[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), np.int64)
+        bits = np.packbits(total >= least, bitorder="little")
+        if bits.any():
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["bucket", "bits"])
+
+    local = runs.mapInArrow(count, "bucket int, places binary, n binary")
+    return _joined(local.groupBy("bucket").applyInArrow(add, "bucket int, bits binary"))
+
+
+def phrase_counts(runs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(w1 .. w5, n): counts of phrases of 3 to 5 words that are in the table with all they begin with."""
+    table = runs.sparkSession.sparkContext.broadcast(frequent)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie()
 
         def rows(share: float) -> Iterator[pa.RecordBatch]:
-            for ids, n in runs_of(*trie.spill(share)):
+            for ids, n in runs_of(*trie.spill(share), 3):
                 columns = [pa.array(np.ascontiguousarray(ids[:, i])) for i in range(LONGEST)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], [*IDS, "n"])
 
-        for sequence in sequences(batches, seed, known):
-            trie.add_all(windows(sequence, paired))
+        for ids in held_runs(batches):
+            trie.add_all(windows(ids, table.value))
             while trie.size > trie.room:
                 yield from rows(0.5)
         yield from rows(1.0)
+        give_back()
 
-    local = df.select(*_parts(text, lang)).mapInArrow(count, ", ".join(f"{i} long" for i in [*IDS, "n"]))
+    local = runs.mapInArrow(count, ", ".join(f"{i} long" for i in [*IDS, "n"]))
     return local.groupBy(*IDS).agg(F.sum("n").alias("n"))
 
 
-def windows(sequence: list[int], pairs: np.ndarray) -> Iterator[tuple[int, ...]]:
-    """From each word the words up to the fifth, or to the first pair that is not frequent."""
-    ids = np.array(sequence, np.int64)
-    if len(ids) < 2:
-        return
-    joined = (ids[:-1] != 0) & (ids[1:] != 0)
-    at = np.flatnonzero(joined)
-    joined[at] = holds(pairs, pair_hash(ids[at], ids[at + 1]))
-    ends = np.flatnonzero(np.append(~joined, True))
-    starts = np.flatnonzero(joined)
-    stops = np.minimum(ends[np.searchsorted(ends, starts)], starts + LONGEST - 1) + 1
-    for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
+def windows(ids: np.ndarray, frequent: np.ndarray) -> Iterator[tuple[int, ...]]:
+    """From each word of the runs the words up to the fifth, or to the first window that is not in the table."""
+    sizes = np.zeros(len(ids), np.int64)
+    for length, at, _ in starts_of(ids, frequent):
+        sizes[at] = length
+    starts = np.flatnonzero(sizes)
+    sequence = ids.tolist()
+    for start, stop in zip(starts.tolist(), (starts + sizes[starts]).tolist(), strict=True):
         yield tuple(sequence[start:stop])
 
 
@@ -400,10 +546,14 @@ def collocations(
     words = every.filter(F.col("n") >= least).join(totals, "lang")
     words = stored(words.select("lang", "word", "n", "id", "total"), "frequent-words")
     known = bit_table(words, "id")
-    pairs = bit_table(pair_counts(df, seed, known, text, lang).filter(F.col("n") >= least), "pair")
-    made = phrase_counts(df, seed, known, pairs, text, lang).filter(F.col("n") >= least)
+    pairs = stored(pair_counts(df, seed, known, text, lang).filter(F.col("n") >= least), "pairs")
+    paired = bit_table(with_pair_hash(pairs), "pair")
+    runs = stored(frequent_runs(df, seed, known, paired, text, lang), "runs")
+    made = phrase_counts(runs, window_table(runs, least)).filter(F.col("n") >= least)
     ids = F.filter(F.array(*IDS), lambda w: w != 0)
-    phrases = stored(made.select(ids.alias("ids"), F.col("n").alias("a")), "phrases")
+    longer = made.select(ids.alias("ids"), F.col("n").alias("a"))
+    phrases = pairs.select(F.array(*IDS[:2]).alias("ids"), F.col("n").alias("a")).unionByName(longer)
+    phrases = stored(phrases, "phrases")
     found = stored(scored(phrases, words, percent), "scored-phrases")
     ranked = best_of(found, top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
